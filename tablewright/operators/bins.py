@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.moments import pearson
 from ..functions.scalar import col, nan_to_null, safe_ratio
 from ..functions.special import normal_quantile
-from .frequency import quantile_values, quantiles
+from .frequency import even_quantiles, quantile_values, quantiles
 
 #: The price segments and their shares.
 PRICE_SHARES = [0.0, 0.5, 0.9, 1.0]
@@ -106,7 +106,7 @@ def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
 def _histogram(df: DataFrame, column: str, bins: int, lo: float, hi: float) -> DataFrame:
     x = nan_to_null(col(column).cast("double"))
     number = F.least(F.width_bucket(x, F.lit(lo), F.lit(hi), F.lit(bins)), F.lit(bins).cast("long")).cast("int")
-    counted = df.select(number.alias("bin")).filter(F.col("bin").isNotNull()).groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
+    counted = df.filter(x.isNotNull()).select(number.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
     width = (hi - lo) / bins
     all_bins = df.sparkSession.range(1, bins + 1, numPartitions=1).select(F.col("id").cast("int").alias("bin"))
     return all_bins.join(counted, "bin", "left").select(
@@ -144,23 +144,25 @@ def density_curve(df: DataFrame, column: str, points: int = 200, bins: int = 512
     )
 
 
-def plotting_positions(points: int) -> list[float]:
-    return [(i + 0.5) / points for i in range(points)]
-
-
 def qq_points(df: DataFrame, column: str, points: int = 99) -> DataFrame:
     """``(point, probability, theoretical, observed, slope, intercept, r)`` against the normal.
 
-    Observed values are exact quantiles; line and correlation are fitted to the points.
+    Observed values are exact quantiles at ``(point + 0.5) / points``; line and correlation
+    are fitted to the points.
     """
-    probs = plotting_positions(points)
-    observed = quantile_values(df, column, probs)
-    rows = [(i, p, normal_quantile(p), float(v)) for i, (p, v) in enumerate(zip(probs, observed))]
-    table = df.sparkSession.createDataFrame(rows, "point int, probability double, theoretical double, observed double")
-    x, y = F.col("theoretical"), F.col("observed")
-    line = table.agg(F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"), pearson(x, y).alias("r"))
-    fitted = line.first()
-    return table.withColumns({k: F.lit(fitted[k]).cast("double") for k in ("slope", "intercept", "r")})
+    normal = [(i, normal_quantile((i + 0.5) / points)) for i in range(points)]
+    theoretical = df.sparkSession.createDataFrame(normal, "point int, theoretical double")
+    observed = even_quantiles(df, column, points).withColumnRenamed("value", "observed")
+    x, y, everything = F.col("theoretical"), F.col("observed"), Window.partitionBy()
+    return observed.join(theoretical, "point").select(
+        "point",
+        "probability",
+        "theoretical",
+        "observed",
+        F.regr_slope(y, x).over(everything).alias("slope"),
+        F.regr_intercept(y, x).over(everything).alias("intercept"),
+        F.sqrt(F.regr_r2(y, x).over(everything)).alias("r"),
+    )
 
 
 def trend_lines(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:

@@ -125,6 +125,37 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Mapping[str, float],
     )
 
 
+def even_quantiles(df: DataFrame, column: str, points: int) -> DataFrame:
+    """``(point, probability, value)`` at probabilities ``(point + 0.5) / points``, for many points.
+
+    Each distinct value works out which of the points it serves, so the cost per value does
+    not grow with the number of points.
+    """
+    placed = positions(value_counts(df, [column]))
+    last = F.col("total") - 1
+    h = last * ((F.col("point") + 0.5) / F.lit(float(points)))
+    near = F.lit(float(points)) / F.greatest(last, F.lit(1))
+    first = F.greatest(F.floor((F.col("before") - 1) * near - 0.5) - 1, F.lit(0))
+    final = F.least(F.floor((F.col("before") + F.col("n")) * near - 0.5) + 1, F.lit(points - 1))
+    served = placed.withColumn("point", F.explode(F.sequence(F.least(first, F.lit(points - 1)), F.greatest(final, F.lit(0)), F.lit(1))))
+    holds_low = F.floor(h).between(F.col("before"), F.col("before") + F.col("n") - 1)
+    holds_high = F.ceil(h).between(F.col("before"), F.col("before") + F.col("n") - 1)
+    ends = (
+        served.filter(holds_low | holds_high)
+        .groupBy("point")
+        .agg(
+            F.max(F.when(holds_low, F.col("value"))).alias("low"),
+            F.max(F.when(holds_high, F.col("value"))).alias("high"),
+            F.max(h - F.floor(h)).alias("weight"),
+        )
+    )
+    return ends.select(
+        F.col("point").cast("int").alias("point"),
+        ((F.col("point") + 0.5) / F.lit(float(points))).alias("probability"),
+        (F.col("low") + (F.col("high") - F.col("low")) * F.col("weight")).alias("value"),
+    )
+
+
 def quantile_values(df: DataFrame, column: str, probs: Sequence[float]) -> list[float]:
     """Exact quantiles of one column on the driver: ``len(probs)`` numbers, empty for no rows."""
     names = {f"q{i}": p for i, p in enumerate(probs)}

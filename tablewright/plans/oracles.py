@@ -198,7 +198,7 @@ def derived_features() -> str:
 def row_sum_mean() -> str:
     return sql(
         """SELECT id, coalesce(sum_qty, 0) + coalesce(n_lines, 0) + coalesce(avg_disc, 0) AS row_total,
-        list_avg(list_filter([sum_qty, CAST(n_lines AS DOUBLE), avg_disc], x -> x IS NOT NULL)) AS row_mean FROM base"""
+        list_avg(list_filter([sum_qty, CAST(n_lines AS DOUBLE), avg_disc], lambda v: v IS NOT NULL)) AS row_mean FROM base"""
     )
 
 
@@ -295,7 +295,7 @@ def price_segments() -> str:
 
 def _bin_of(x: str, edges: str) -> str:
     """Right-closed bin by the number of distinct edges below the value."""
-    return f"greatest(len(list_filter(list_distinct({edges}), e -> e < {x})) - 1, 0)"
+    return f"greatest(len(list_filter(list_distinct({edges}), lambda e: e < {x})) - 1, 0)"
 
 
 def _even(n: int) -> str:
@@ -319,7 +319,7 @@ def variance_ratio_q5() -> str:
 
 def _histogram(x: str, table: str, bins: int, extra: str = "") -> str:
     return f"""SELECT {extra} b AS bin, lo + (b - 1) * (hi - lo) / {bins} AS lower, lo + b * (hi - lo) / {bins} AS upper,
-        (SELECT count(*) FROM {table} WHERE least(floor({bins} * ({x} - lo) / (hi - lo)) + 1, {bins}) = b) AS n
+        (SELECT count(*) FROM {table} WHERE {x} IS NOT NULL AND least(floor({bins} * ({x} - lo) / (hi - lo)) + 1, {bins}) = b) AS n
         FROM range(1, {bins + 1}) t(b) CROSS JOIN (SELECT min({x}) AS lo, max({x}) AS hi FROM {table}) m"""
 
 
@@ -581,7 +581,7 @@ def ordinal_encoded() -> str:
 
 
 def one_hot() -> str:
-    years = ", ".join(f"CASE WHEN o_year = {y} THEN 1 ELSE 0 END AS o_year_{y}" for y in (1992, 1995, 1999))
+    years = ", ".join(f"CASE WHEN o_year = {y} THEN 1 ELSE 0 END AS o_year_{y}" for y in (1995, 1997, 1999))
     flags = ", ".join(f"CASE WHEN top_flag = '{f}' THEN 1 ELSE 0 END AS top_flag_{f}" for f in "ANR")
     return sql(
         f"""SELECT id, {years}, {flags}, CASE WHEN o_year < 2000 THEN 1 ELSE 0 END + CASE WHEN top_flag IS NULL THEN 0 ELSE 1 END AS n_set
@@ -624,7 +624,7 @@ LEVELS = {
     "o_orderstatus": ["F", "O", "P"],
     "top_flag": ["A", "N", "R"],
     "o_month": [str(m) for m in range(1, 13)],
-    "o_year": [str(y) for y in range(1992, 2000)],
+    "o_year": [str(y) for y in range(1995, 2000)],
 }
 SCALED = ["o_totalprice", "c_acctbal", "sum_qty", "avg_disc", "n_lines", "whole"]
 

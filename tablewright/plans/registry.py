@@ -1,8 +1,9 @@
 """Registered queries: a builder, the output columns, and the same result as plain SQL.
 
 Output columns are declared as ``name:s`` (text), ``name:l`` (whole number) or ``name:d``
-(real number). Both sides of a check are brought to these types; real numbers to a fixed
-count of digits, as sums differ in the last bits with the order of the rows.
+(real number, ``name:d12`` for a digit count of its own). Both sides of a check are brought
+to these types; real numbers to a fixed count of digits, as sums differ in the last bits
+with the order of the rows.
 """
 
 from __future__ import annotations
@@ -15,6 +16,9 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import col
 
+#: Real numbers below this are rounding noise around zero.
+NOISE = 1e-12
+
 Builder = Callable[[SparkSession, str], DataFrame]
 
 
@@ -49,13 +53,18 @@ def query(name: str, columns: str, sql: str | None = None, digits: int = 9):
     return register
 
 
+def _digits(kind: str, default: int) -> int:
+    return int(kind[1:]) if len(kind) > 1 else default
+
+
 def tidy(df: DataFrame, columns, digits: int) -> DataFrame:
     out = []
     for name, kind in columns:
         c = col(name)
-        if kind == "d":
+        if kind.startswith("d"):
             x = F.nanvl(c.cast("double"), F.lit(None).cast("double"))
-            text = F.format_string(f"%.{digits}e", F.round(x, 10) + F.lit(0.0))
+            x = F.when(F.abs(x) < NOISE, 0.0).otherwise(x)
+            text = F.format_string(f"%.{_digits(kind, digits)}e", x)
             c = F.when(x.isNotNull(), text).cast("double")
         else:
             c = c.cast("bigint" if kind == "l" else "string")
@@ -67,10 +76,12 @@ def tidy_sql(sql: str, columns, digits: int) -> str:
     out = []
     for name, kind in columns:
         c = f'"{name}"'
-        if kind == "d":
+        if kind.startswith("d"):
             x = f"CAST({c} AS DOUBLE)"
-            text = f"CAST(printf('%.{digits}e', round({x}, 10) + 0.0) AS DOUBLE)"
-            out.append(f"CASE WHEN {c} IS NULL OR isnan({x}) THEN NULL ELSE {text} END AS {c}")
+            text = f"CAST(printf('%.{_digits(kind, digits)}e', {x}) AS DOUBLE)"
+            out.append(
+                f"CASE WHEN {c} IS NULL OR isnan({x}) THEN NULL WHEN abs({x}) < {NOISE!r} THEN 0.0 ELSE {text} END AS {c}"
+            )
         else:
             out.append(f"CAST({c} AS {'BIGINT' if kind == 'l' else 'VARCHAR'}) AS {c}")
     return f"SELECT {', '.join(out)} FROM ({sql}) result"
