@@ -69,6 +69,11 @@ def nan_to_null(c: Column) -> Column:
     return F.nanvl(c, F.lit(None).cast("double"))
 
 
+def clean_number(c: Column) -> Column:
+    """Double with NaN as null and one zero: equal values must fall in one range and one group."""
+    return nan_to_null(c.cast("double")) + F.lit(0.0)
+
+
 def is_finite(c: Column) -> Column:
     return c.isNotNull() & ~F.isnan(c) & (F.abs(c) != F.lit(float("inf")))
 

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import col
+from ..functions.scalar import col, nan_to_null
 
 #: Up to this many columns the summary is a generated SQL aggregate, above it NumPy per batch.
 SQL_COLUMNS = 8
@@ -116,3 +116,38 @@ def _by_batches(rows: DataFrame, names: list[str], by: Sequence[str]) -> dict[tu
         cross = total[1:, 1:] - n * np.outer(shift, shift)
         out[tuple(row[k] for k in by)] = CoMoments(n, centre + shift, cross)
     return out
+
+
+def pairwise_correlations(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
+    """Pearson matrix of many columns, every pair over its own complete rows, from one scan after the means.
+
+    Each task sums four small matrices around a common centre; NaN where a side is constant
+    or no pair is complete.
+    """
+    names = [f"x{i}" for i in range(len(columns))]
+    rows = df.select(*[nan_to_null(col(c).cast("double")).alias(a) for c, a in zip(columns, names)])
+    means = rows.agg(*[F.avg(c).alias(c) for c in names]).first()
+    centre = np.array([means[c] if means[c] is not None else 0.0 for c in names])
+    p = len(names)
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums = np.zeros((4, p, p))
+        for batch in batches:
+            x = batch[names].to_numpy(dtype="float64") - centre
+            there = (~np.isnan(x)).astype("float64")
+            x = np.nan_to_num(x)
+            sums += np.stack([there.T @ there, x.T @ there, (x * x).T @ there, x.T @ x])
+        yield pd.DataFrame({"i": range(p), "line": [sums[:, i, :].ravel().tolist() for i in range(p)]})
+
+    lines = rows.mapInPandas(partial, "i int, line array<double>")
+    cells = lines.repartition("i").select("i", F.posexplode("line").alias("at", "v"))
+    summed = cells.groupBy("i", "at").agg(F.sum("v").alias("v")).groupBy("i").agg(F.collect_list(F.struct("at", "v")).alias("cells"))
+    total = np.zeros((4, p, p))
+    for row in summed.collect():
+        for at, v in row["cells"]:
+            total[at // p, row["i"], at % p] = v
+    n, sx, sxx, sxy = total
+    spread = n * sxx - sx * sx
+    spread[spread <= (n * 1e-12 * np.maximum(np.abs(centre), 1e-300)[:, None]) ** 2] = np.nan
+    with np.errstate(invalid="ignore", divide="ignore"):
+        return (n * sxy - sx * sx.T) / np.sqrt(spread * spread.T)

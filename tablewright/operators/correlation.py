@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.moments import pearson
 from ..functions.scalar import col, nan_to_null
 from ..functions.special import correlation_p_value
+from .comoments import SQL_COLUMNS, pairwise_correlations
 from .bins import bin_number, even_shares, many_bin_edges, variance_ratios
 from .ranks import spearman
 from .shaping import top_k, union_all
@@ -45,7 +46,12 @@ def target_correlations(df: DataFrame, features: Sequence[str], target: str) ->
 
 
 def pearson_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(a, b, r)`` for all ordered pairs, each over its own complete rows."""
+    """``(a, b, r)`` for all ordered pairs, each over its own complete rows.
+
+    A few columns are one SQL aggregate; many are matrix products per batch.
+    """
+    if len(columns) > SQL_COLUMNS:
+        return _matrix_rows(df, columns, pairwise_correlations(df, columns))
     pairs = [(columns[i], columns[j]) for i in range(len(columns)) for j in range(i, len(columns))]
     half = pair_correlations(df, pairs).select("a", "b", "r")
     mirror = F.array(F.struct("a", "b", "r"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "r"))
@@ -63,11 +69,14 @@ def wide_pearson_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         df.select(*[col(c).cast("double") for c in columns])
     )
     matrix = Correlation.corr(vectors, "v").first()[0].toArray()
-    names = list(columns)
+    return _matrix_rows(df, columns, matrix)
+
+
+def _matrix_rows(df: DataFrame, names: Sequence[str], matrix: np.ndarray) -> DataFrame:
     rows = [
-        (names[i], names[j], None if np.isnan(matrix[i, j]) else float(matrix[i, j]))
-        for i in range(len(names))
-        for j in range(len(names))
+        (a, b, None if np.isnan(matrix[i, j]) else float(matrix[i, j]))
+        for i, a in enumerate(names)
+        for j, b in enumerate(names)
     ]
     return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
 

@@ -153,28 +153,25 @@ def dense_codes(df: DataFrame, column: str) -> DataFrame:
 def label_encode(df: DataFrame, columns: Sequence[str], max_levels: int = MAX_LEVELS) -> DataFrame:
     """Replace text by its code in sorted order.
 
-    A column of at most ``max_levels`` levels is mapped by a literal; a larger one by a join
-    with its codes.
+    Columns of at most ``max_levels`` levels are mapped by a literal, all from one job; a
+    larger one by a join with its codes.
     """
-    for c in columns:
-        codes = dense_codes(df, c) if _many_levels(df, c, max_levels) else None
-        if codes is None:
-            levels = levels_of(df, [c], max_levels)[c]
-            table = {v: i for i, v in enumerate(levels)}
-            value = S.map_values(col(c).cast("string"), table).cast("long") if table else F.lit(None).cast("long")
-            df = df.withColumn(c, value)
-        else:
-            order = df.columns
-            joined = df.withColumn("__level", col(c).cast("string")).drop(c).join(
-                pin_small(codes).withColumnsRenamed({"level": "__level", "code": c}), "__level", "left"
-            )
-            df = joined.select(*[col(x) for x in order])
-    return df
-
-
-def _many_levels(df: DataFrame, column: str, max_levels: int) -> bool:
-    some = df.select(col(column)).filter(col(column).isNotNull()).distinct().limit(max_levels + 1)
-    return some.count() > max_levels
+    if not columns:
+        return df
+    parts = [p for c in columns for p in (F.lit(c), col(c).cast("string"))]
+    distinct = df.select(F.stack(F.lit(len(columns)), *parts).alias("feature", "level")).distinct()
+    sizes = {r["feature"]: r["n"] for r in distinct.groupBy("feature").agg(F.count("level").alias("n")).collect()}
+    small = [c for c in columns if sizes.get(c, 0) <= max_levels]
+    coded = {}
+    for c, levels in levels_of(df, small, max_levels).items():
+        table = {v: i for i, v in enumerate(levels)}
+        coded[c] = S.map_values(col(c).cast("string"), table).cast("long") if table else F.lit(None).cast("long")
+    out = df.withColumns(coded) if coded else df
+    for c in [c for c in columns if c not in coded]:
+        codes = pin_small(dense_codes(df, c)).withColumnsRenamed({"level": "__level", "code": c})
+        joined = out.withColumn("__level", col(c).cast("string")).drop(c).join(codes, "__level", "left")
+        out = joined.select(*[col(x) for x in df.columns])
+    return out
 
 
 def prepare_for_model(df: DataFrame, target: str) -> DataFrame:
@@ -213,6 +210,21 @@ def target_encode(
     return joined.withColumn(name, value).select(*[col(c) for c in df.columns], name)
 
 
+def target_encode_pair(
+    train: DataFrame, test: DataFrame, column: str, target: str, fold: str, smoothing: float = 10.0
+) -> tuple[DataFrame, DataFrame]:
+    """Replace a category by its target mean: over the other folds on train, over all of train on test."""
+    name = "__encoded"
+    encoded = target_encode(train, column, target, fold, name, smoothing).drop(column).withColumnRenamed(name, column)
+    known = train.filter(col(target).isNotNull())
+    prior = known.agg(F.avg(target).alias("prior")).first()["prior"]
+    sums = known.groupBy(col(column)).agg(F.sum(target).alias("__s"), F.count(F.lit(1)).alias("__n"))
+    joined = test.join(pin_small(sums), column, "left")
+    value = (F.coalesce("__s", F.lit(0.0)) + F.lit(smoothing * prior)) / (F.coalesce("__n", F.lit(0)) + F.lit(smoothing))
+    scored = joined.withColumn(name, value).drop(column, "__s", "__n").withColumnRenamed(name, column)
+    return encoded.select(*[col(c) for c in train.columns]), scored.select(*[col(c) for c in test.columns])
+
+
 def encoded_profile(stages: Mapping[str, tuple[DataFrame, Mapping[str, str]]]) -> DataFrame:
     """``(stage, feature, feature_type, n_rows, n_null, nonzero_rate, n_distinct)`` per stage.
 

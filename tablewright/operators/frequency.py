@@ -18,7 +18,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalar import col
+from ..functions.scalar import clean_number, col
 
 INF = float("inf")
 
@@ -65,7 +65,7 @@ def long_form(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = (), n
     aliases = [f"v{i}" for i in range(len(columns))]
     narrow = df.select(
         *[col(k) for k in keep],
-        *[F.nanvl(col(c).cast("double"), F.lit(None).cast("double")).alias(a) for c, a in zip(columns, aliases)],
+        *[clean_number(col(c)).alias(a) for c, a in zip(columns, aliases)],
     )
     cuts = cut_points(narrow, aliases)
     ranged = with_ranges(narrow, aliases, cuts)

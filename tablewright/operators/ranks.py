@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.moments import pearson
-from ..functions.scalar import col, nan_to_null
+from ..functions.scalar import clean_number, col
 from ..storage import stage
 from .frequency import counts_of, cut_points, positions, with_ranges
 
@@ -62,7 +62,7 @@ def rank_pairs(df: DataFrame, features: Sequence[str], target: str) -> DataFrame
     """``(feature, x, y, rx, ry)``: ranks over the complete pairs of each feature with the target."""
     names = [f"v{i}" for i in range(len(features))] + ["y"]
     narrow = df.select(
-        *[nan_to_null(col(c).cast("double")).alias(a) for c, a in zip([*features, target], names)]
+        *[clean_number(col(c)).alias(a) for c, a in zip([*features, target], names)]
     ).filter(F.col("y").isNotNull())
     ranged = with_ranges(narrow, names, cut_points(narrow, names))
     parts = [p for a, c in zip(names, features) for p in (F.lit(c), F.col(a), F.col(f"{a}__range").cast("int"))]
