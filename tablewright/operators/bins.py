@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.moments import pearson
 from ..functions.scalar import col, nan_to_null, safe_ratio
 from ..functions.special import normal_quantile
+from .catalog import complete_rows
 from .frequency import even_quantiles, quantile_values, quantiles
 
 #: The price segments and their shares.
@@ -188,7 +189,8 @@ def quadratic_trend(df: DataFrame, column: str, target: str) -> DataFrame:
     Power sums of the standardised value keep the small system well conditioned.
     """
     schema = "feature string, c0 double, c1 double, c2 double"
-    rows = df.select(col(column).cast("double").alias("x"), col(target).cast("double").alias("y")).na.drop()
+    rows = df.select(col(column).cast("double").alias("x"), col(target).cast("double").alias("y"))
+    rows = complete_rows(rows)
     base = rows.agg(F.avg("x").alias("m"), F.stddev_pop("x").alias("s")).first()
     if not base["s"]:
         return df.sparkSession.createDataFrame([], schema)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -64,6 +65,15 @@ def is_missing(df: DataFrame, column: str):
     return missing | F.isnan(col(column)) if isinstance(kind, (T.DoubleType, T.FloatType)) else missing
 
 
+def complete_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Rows without a gap in the columns.
+
+    One test per column: ``na.drop`` makes a single predicate over all of them, and the
+    planner then derives a variant of it for every subset of the columns renamed above.
+    """
+    return df.filter(reduce(lambda a, b: a & b, [~is_missing(df, c) for c in columns or df.columns]))
+
+
 def column_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(feature, n_rows, n_null, n_nonzero, n_distinct)`` of many columns in one scan.
 

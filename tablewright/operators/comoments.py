@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import col, nan_to_null
+from .catalog import complete_rows
 
 #: Up to this many columns the summary is a generated SQL aggregate, above it NumPy per batch.
 SQL_COLUMNS = 8
@@ -42,9 +43,10 @@ class CoMoments:
 
 def comoments(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> dict[tuple, CoMoments]:
     """Co-moments per group over rows that are complete in ``columns``."""
-    rows = df.select(*[col(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)], *[col(k) for k in by])
     names = [f"x{i}" for i in range(len(columns))]
-    rows = rows.na.drop(subset=names)
+    rows = complete_rows(df, columns).select(
+        *[col(c).cast("double").alias(a) for c, a in zip(columns, names)], *[col(k) for k in by]
+    )
     found = _by_sql(rows, names, by) if len(columns) <= SQL_COLUMNS else _by_batches(rows, names, by)
     return found
 

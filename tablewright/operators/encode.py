@@ -210,19 +210,92 @@ def target_encode(
     return joined.withColumn(name, value).select(*[col(c) for c in df.columns], name)
 
 
+@dataclass
+class TargetMeans:
+    """Target mean per column and level: one value per fold left out, and last the one over all rows."""
+
+    folds: list = field(default_factory=list)
+    priors: list = field(default_factory=list)
+    means: dict = field(default_factory=dict)
+
+    def value(self, column: str, fold: str | None) -> Column:
+        """The encoded column: blind to the row's own fold, or over all rows where ``fold`` is None."""
+        place = F.lit(len(self.priors))
+        if fold is not None:
+            place = F.element_at(F.create_map(*[F.lit(x) for i, f in enumerate(self.folds) for x in (f, i + 1)]), col(fold))
+        prior = F.element_at(F.lit(self.priors), place)
+        levels = self.means.get(column) or {}
+        if not levels:
+            return prior
+        table = F.create_map(*[x for k, v in levels.items() for x in (F.lit(k), F.lit(v))])
+        return F.coalesce(F.element_at(F.element_at(table, col(column).cast("string")), place), prior)
+
+
+def fit_target_means(
+    df: DataFrame, columns: Sequence[str], target: str, fold: str, smoothing: float = 10.0, max_levels: int = MAX_LEVELS
+) -> TargetMeans:
+    """Fit all columns from one job; a column with more than ``max_levels`` levels is left out."""
+    parts = [p for c in columns for p in (F.lit(c), col(c).cast("string"))]
+    long = df.filter(col(target).isNotNull()).select(
+        col(fold).alias("f"), col(target).alias("y"), F.stack(F.lit(len(columns)), *parts).alias("feature", "level")
+    )
+    sums = long.groupBy("feature", "level", "f").agg(F.sum("y").alias("s"), F.count(F.lit(1)).alias("n"))
+    per_fold = {r["f"]: (r["s"], r["n"]) for r in df.filter(col(target).isNotNull()).groupBy(col(fold).alias("f")).agg(
+        F.sum(target).alias("s"), F.count(F.lit(1)).alias("n")
+    ).collect()}
+    sizes = sums.groupBy("feature").agg(F.count_distinct("level").alias("levels")).filter(F.col("levels") <= max_levels)
+    small = [r["feature"] for r in sizes.collect()]
+    folds = sorted(per_fold)
+    total_s, total_n = sum(s for s, _ in per_fold.values()), sum(n for _, n in per_fold.values())
+
+    def mean(s: float, n: int, prior: float) -> float:
+        return (s + smoothing * prior) / (n + smoothing)
+
+    overall = total_s / total_n
+    priors = [(total_s - per_fold[f][0]) / (total_n - per_fold[f][1]) if total_n > per_fold[f][1] else overall for f in folds]
+    seen: dict[str, dict[str, dict]] = {c: {} for c in small}
+    for r in sums.filter(F.col("feature").isin(small) & F.col("level").isNotNull()).collect():
+        seen[r["feature"]].setdefault(r["level"], {})[r["f"]] = (r["s"], r["n"])
+    means = {}
+    for c, levels in seen.items():
+        means[c] = {}
+        for level, cells in sorted(levels.items()):
+            s, n = sum(v[0] for v in cells.values()), sum(v[1] for v in cells.values())
+            own = [cells.get(f, (0.0, 0)) for f in folds]
+            blind = [mean(s - os, n - on, p) for (os, on), p in zip(own, priors)]
+            means[c][level] = [*blind, mean(s, n, overall)]
+    return TargetMeans(folds, [*priors, overall], means)
+
+
 def target_encode_pair(
-    train: DataFrame, test: DataFrame, column: str, target: str, fold: str, smoothing: float = 10.0
+    train: DataFrame,
+    test: DataFrame,
+    columns: Sequence[str],
+    target: str,
+    fold: str,
+    smoothing: float = 10.0,
+    max_levels: int = MAX_LEVELS,
 ) -> tuple[DataFrame, DataFrame]:
-    """Replace a category by its target mean: over the other folds on train, over all of train on test."""
-    name = "__encoded"
-    encoded = target_encode(train, column, target, fold, name, smoothing).drop(column).withColumnRenamed(name, column)
-    known = train.filter(col(target).isNotNull())
-    prior = known.agg(F.avg(target).alias("prior")).first()["prior"]
-    sums = known.groupBy(col(column)).agg(F.sum(target).alias("__s"), F.count(F.lit(1)).alias("__n"))
-    joined = test.join(pin_small(sums), column, "left")
-    value = (F.coalesce("__s", F.lit(0.0)) + F.lit(smoothing * prior)) / (F.coalesce("__n", F.lit(0)) + F.lit(smoothing))
-    scored = joined.withColumn(name, value).drop(column, "__s", "__n").withColumnRenamed(name, column)
-    return encoded.select(*[col(c) for c in train.columns]), scored.select(*[col(c) for c in test.columns])
+    """Replace categories by target means: over the other folds on train, over all of train on test.
+
+    Columns of few levels are one projection; a column of many is joined with its sums.
+    """
+    fitted = fit_target_means(train, columns, target, fold, smoothing, max_levels)
+    overall = fitted.priors[-1]
+    out_train = train.withColumns({c: fitted.value(c, fold) for c in fitted.means})
+    out_test = test.withColumns({c: fitted.value(c, None) for c in fitted.means if c in test.columns})
+    for c in [c for c in columns if c not in fitted.means]:
+        name = "__encoded"
+        blind = target_encode(out_train, c, target, fold, name, smoothing)
+        out_train = stage(blind.drop(c).withColumnRenamed(name, c).select(*[col(x) for x in train.columns]), "encoded")
+        if c in test.columns:
+            known = train.filter(col(target).isNotNull())
+            sums = known.groupBy(col(c)).agg(F.sum(target).alias("__s"), F.count(F.lit(1)).alias("__n"))
+            rest = F.coalesce("__s", F.lit(0.0)) + F.lit(smoothing * overall)
+            value = rest / (F.coalesce("__n", F.lit(0)) + F.lit(smoothing))
+            scored = out_test.join(pin_small(sums), c, "left").withColumn(name, value).drop(c, "__s", "__n")
+            out_test = scored.withColumnRenamed(name, c).select(*[col(x) for x in test.columns])
+    return out_train, out_test
 
 
 def encoded_profile(stages: Mapping[str, tuple[DataFrame, Mapping[str, str]]]) -> DataFrame:

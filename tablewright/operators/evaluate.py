@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.moments import mae, r2, rmse
 from ..functions.scalar import col
+from .catalog import complete_rows
 from .shaping import labelled, renamed, to_long, union_all
 
 
@@ -70,7 +71,7 @@ def leaderboard(groups: dict[str, DataFrame]) -> DataFrame:
 
 def stability(board: DataFrame) -> DataFrame:
     """Only the models whose deviation is known."""
-    return board.na.drop(subset=["cv_std"])
+    return complete_rows(board, ["cv_std"])
 
 
 def best_model(board: DataFrame) -> DataFrame:

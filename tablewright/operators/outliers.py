@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.moments import mae, r2, rmse
 from ..functions.scalar import col
+from .catalog import complete_rows
 from .features import keep_where_not
 from .linear import LinearModel, solve_ols
 from .comoments import comoments
@@ -56,7 +57,7 @@ def outlier_sensitivity(
     spark = df.sparkSession
     if len(features) < 2:
         return spark.createDataFrame([], SENSITIVITY_SCHEMA)
-    rows = df.select(*features, target, flag, validation).na.drop(subset=[*features, target])
+    rows = complete_rows(df.select(*features, target, flag, validation), [*features, target])
     groups = comoments(rows, [*features, target], by=[validation, flag])
     held_in = {f: m for (v, f), m in groups.items() if v == 0}
     out = []

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.moments import rmse
 from ..functions.scalar import col
+from .catalog import complete_rows
 from .linear import LinearModel, fit_linear
 from .trees import TreeSpec, fit_trees, out_of_fold, predict
 
@@ -54,7 +55,7 @@ def out_of_fold_predictions(
 def fit_stack(
     df: DataFrame, features: Sequence[str], label: str, fold: str, folds: int, specs: Mapping[str, TreeSpec | tuple]
 ) -> Stack:
-    rows = df.na.drop(subset=[*features, label])
+    rows = complete_rows(df, [*features, label])
     blind = out_of_fold_predictions(rows, features, label, fold, folds, specs)
     meta = fit_linear(blind, list(specs), label, RIDGE)
     return Stack(_fit_all(rows, features, label, specs), meta)
@@ -71,7 +72,7 @@ def cv_stack(
     specs: Mapping[str, TreeSpec | tuple],
 ) -> DataFrame:
     """``(model, fold, rmse)``: the whole stack is fitted again without each outer fold."""
-    rows = df.na.drop(subset=[*features, label])
+    rows = complete_rows(df, [*features, label])
     scored = out_of_fold(
         rows,
         outer,

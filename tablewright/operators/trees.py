@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.moments import rmse
 from ..functions.scalar import col
+from .catalog import complete_rows
 from .shaping import union_all
 
 
@@ -54,7 +55,7 @@ def estimator(spec: TreeSpec, features: Sequence[str], label: str, validation: s
 
 def fit_trees(df: DataFrame, features: Sequence[str], label: str, spec: TreeSpec, validation: str | None = None) -> PipelineModel:
     """Fit on complete rows. With a 0/1 ``validation`` column boosting stops when its error stalls."""
-    rows = df.na.drop(subset=[*features, label])
+    rows = complete_rows(df, [*features, label])
     if validation:
         rows = rows.withColumn("__held", col(validation) == 1)
     return estimator(spec, features, label, "__held" if validation else None).fit(rows)
@@ -97,7 +98,7 @@ def cv_trees(
     df: DataFrame, features: Sequence[str], label: str, fold: str, folds: int, models: dict[str, TreeSpec]
 ) -> DataFrame:
     """``(model, fold, rmse)`` of tree ensembles."""
-    rows = df.select(*features, label, fold).na.drop()
+    rows = complete_rows(df.select(*features, label, fold))
 
     def fit_and_predict(job: tuple[str, int]) -> DataFrame:
         name, f = job

@@ -128,7 +128,7 @@ def _(spark, folder):
 def _(spark, folder):
     """Gaps that only the test table has, filled from train and from the test table itself."""
     train, test = split_by_time(base(spark, folder).drop(TARGET))
-    train = train.na.drop()
+    train = catalog.complete_rows(train)
     out = []
     for scope in ("train", "test"):
         fitted = missing.fit_imputer(train, test, ImputePlan(), scope)
@@ -237,7 +237,7 @@ def _(spark, folder):
 
 @query("qcut3_segments", "segment:s n:l mean:d lowest:d highest:d", O.qcut3_segments())
 def _(spark, folder):
-    rows = base(spark, folder).na.drop(subset=[TARGET])
+    rows = catalog.complete_rows(base(spark, folder), [TARGET])
     binned = bins.with_quantile_bin(rows, TARGET, bins.even_shares(3), bins.THIRDS_LABELS, "segment")
     return binned.groupBy("segment").agg(
         F.count(F.lit(1)).alias("n"), F.avg(TARGET).alias("mean"), F.min(TARGET).alias("lowest"), F.max(TARGET).alias("highest")
@@ -246,7 +246,7 @@ def _(spark, folder):
 
 @query("price_segments", "segment:s n:l mean:d lowest:d highest:d", O.price_segments())
 def _(spark, folder):
-    rows = base(spark, folder).na.drop(subset=[TARGET])
+    rows = catalog.complete_rows(base(spark, folder), [TARGET])
     binned = bins.with_quantile_bin(rows, TARGET, bins.PRICE_SHARES, bins.PRICE_LABELS, "segment")
     return binned.groupBy("segment").agg(
         F.count(F.lit(1)).alias("n"), F.avg(TARGET).alias("mean"), F.min(TARGET).alias("lowest"), F.max(TARGET).alias("highest")
@@ -461,7 +461,7 @@ def _(spark, folder):
 def _modelled(spark, folder):
     """Cleaned and derived train and test table with a complete target."""
     train, test = split_by_time(base(spark, folder))
-    train = train.na.drop(subset=[TARGET])
+    train = catalog.complete_rows(train, [TARGET])
     fitted = missing.fit_imputer(train, test, CONSTANTS)
     specs = [features.total("whole", {"sum_qty": 1, "n_lines": 10}), features.flag("has_discount", "avg_disc")]
     return (
@@ -485,7 +485,7 @@ def _(spark, folder):
 def _(spark, folder):
     train, _ = _modelled(spark, folder)
     fitted = _encoder(train)
-    raw = split_by_time(base(spark, folder))[0].na.drop(subset=[TARGET]).drop(KEY, TARGET)
+    raw = catalog.complete_rows(split_by_time(base(spark, folder))[0], [TARGET]).drop(KEY, TARGET)
     encoded = encode.encode(train, fitted)
     kept = encoded.select("o_orderpriority", "top_flag_A", "has_return", "has_discount", "o_year_1995")
     return encode.encoded_profile(
@@ -497,7 +497,7 @@ def _(spark, folder):
 def _(spark, folder):
     train, _ = _modelled(spark, folder)
     fitted = _encoder(train)
-    raw = split_by_time(base(spark, folder))[0].na.drop(subset=[TARGET]).drop(KEY, TARGET)
+    raw = catalog.complete_rows(split_by_time(base(spark, folder))[0], [TARGET]).drop(KEY, TARGET)
     profile = encode.encoded_profile(
         {"raw": (raw, {}), "engineered": (train.drop(KEY, TARGET), {}), "encoded": (encode.encode(train, fitted), {})}
     )
@@ -554,7 +554,7 @@ def _(spark, folder):
 
 
 def _complete(spark, folder):
-    return base(spark, folder).na.drop(subset=[TARGET, *NUMERIC])
+    return catalog.complete_rows(base(spark, folder), [TARGET, *NUMERIC])
 
 
 def _scored(spark, folder):
@@ -683,7 +683,7 @@ TREE_FEATURES = ["n_lines", "sum_qty", "avg_disc", "o_totalprice", "c_acctbal",
 
 
 def _tree_rows(spark, folder):
-    rows = base(spark, folder).na.drop(subset=[TARGET, *TREE_FEATURES])
+    rows = catalog.complete_rows(base(spark, folder), [TARGET, *TREE_FEATURES])
     logged = rows.select(KEY, *TREE_FEATURES, F.log1p(TARGET).alias("y"))
     return split.with_fold(split.with_validation(logged, KEY), KEY, folds=3)
 

@@ -223,8 +223,7 @@ def boost(
     new = mapped(test).withColumn(fold, F.lit(-1))
     done = [*maps, *house.BOOST_BINARY]
     categories = catalog.categorical_columns(rows, [*house.BOOST_NOMINAL, *house.BOOST_SPECIAL], done)
-    for c in categories:
-        rows, new = encode.target_encode_pair(rows, new, c, "y", fold)
+    rows, new = encode.target_encode_pair(rows, new, categories, "y", fold)
     inputs = [c for c in catalog.numeric_columns(rows, exclude=[s.key, s.target, "y", fold]) if c in new.columns]
     middle = missing.medians(rows, missing.missing_columns(rows, inputs) + [c for c in missing.missing_columns(new, inputs)])
     fills = {c: v if v is not None else 0.0 for c, v in middle.items()}

@@ -137,6 +137,20 @@ def test_target_encoding_leaves_the_own_fold_out(frame):
     assert got[4] == pytest.approx((30.0 + prior1) / 2)
 
 
+def test_target_means_by_literal_and_by_join_agree(spark):
+    rows = [(i, random.Random(i).choice("abcd"), i % 3, None if i % 7 == 0 else float(i % 11)) for i in range(60)]
+    train = spark.createDataFrame([(*r, "k" + str(r[0])) for r in rows], "id long, c string, f int, y double, d string")
+    test = spark.createDataFrame([(1, "a", "k1"), (2, "zz", "k2"), (3, None, None)], "id long, c string, d string")
+    small = encode.target_encode_pair(train, test, ["c", "d"], "y", "f")
+    large = encode.target_encode_pair(train, test, ["c", "d"], "y", "f", max_levels=10)
+    for a, b in zip(small, large):
+        for x, y in zip(a.orderBy("id").collect(), b.orderBy("id").collect()):
+            assert (x["c"], x["d"]) == (pytest.approx(y["c"]), pytest.approx(y["d"]))
+    want = encode.target_encode(train, "c", "y", "f", "e")
+    for x, y in zip(small[0].orderBy("id").collect(), want.orderBy("id").collect()):
+        assert x["c"] == pytest.approx(y["e"])
+
+
 def test_alignment_and_drift(frame):
     train, test = frame("c string, y double", ("a", 1.0), ("b", 2.0)), frame("c string, z int", ("a", 1), ("x", 2))
     assert [r["result"] for r in encode.alignment_check(train, test, "y").collect()] == ["FAIL", "FAIL", "0", "1"]
