@@ -75,24 +75,33 @@ def complete_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
 
 
 def column_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(feature, n_rows, n_null, n_nonzero, n_distinct)`` of many columns in one scan.
+    """``(feature, n_rows, n_null, n_nonzero, n_distinct)`` of many columns.
 
-    Every column goes to text and is counted per distinct value first, so the distinct
-    count needs no set in memory and a frequent value is one row after the map side.
+    Columns of one kind (whole numbers, other numbers, the rest as text) are stacked and
+    counted per distinct value first, so the distinct count needs no set in memory and a
+    frequent value is one row after the map side.
     """
-    parts = []
+    whole, real, text = [], [], []
     for c in columns:
-        value = F.when(~is_missing(df, c), col(c)).cast("string")
-        nonzero = ~is_missing(df, c) & (col(c).cast("string").try_cast("double").isNull() | (col(c).cast("string").try_cast("double") != 0))
-        parts += [F.lit(c), value, F.coalesce(nonzero, F.lit(False)).cast("int")]
-    long = df.select(F.stack(F.lit(len(columns)), *parts).alias("feature", "value", "nonzero"))
-    counts = long.groupBy("feature", "value", "nonzero").agg(F.count(F.lit(1)).alias("n"))
-    return counts.groupBy("feature").agg(
-        F.sum("n").alias("n_rows"),
-        F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("n_null"),
-        F.sum(F.col("n") * F.col("nonzero")).alias("n_nonzero"),
-        F.count("value").alias("n_distinct"),
-    )
+        kind = df.schema[c].dataType
+        (whole if isinstance(kind, T.IntegralType) else real if isinstance(kind, T.FractionalType) else text).append(c)
+    out = []
+    for group, kind in ((whole, "bigint"), (real, "double"), (text, "string")):
+        if not group:
+            continue
+        parts = [p for c in group for p in (F.lit(c), F.when(~is_missing(df, c), col(c).cast(kind)))]
+        long = df.select(F.stack(F.lit(len(group)), *parts).alias("feature", "value"))
+        counts = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
+        filled = F.col("value").isNotNull() if kind == "string" else F.coalesce(F.col("value") != 0, F.lit(False))
+        out.append(
+            counts.groupBy("feature").agg(
+                F.sum("n").alias("n_rows"),
+                F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("n_null"),
+                F.sum(F.when(filled, F.col("n")).otherwise(0)).alias("n_nonzero"),
+                F.count("value").alias("n_distinct"),
+            )
+        )
+    return reduce(lambda a, b: a.unionByName(b), out)
 
 
 def catalog_check(df: DataFrame, catalog: Catalog) -> DataFrame:

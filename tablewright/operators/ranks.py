@@ -11,6 +11,7 @@ from ..functions.moments import pearson
 from ..functions.scalar import clean_number, col
 from ..storage import stage
 from .frequency import counts_of, cut_points, positions, with_ranges
+from .missing import missing_columns
 
 #: A value is hot when it holds more than one in this many rows of its group, so a group has fewer hot values than this.
 HOT_SHARE = 64
@@ -21,12 +22,10 @@ def rank_table(pairs: DataFrame) -> DataFrame:
 
     Written once, as the joins below read it several times.
     """
-    sides = F.array(
-        F.struct(F.lit("x").alias("side"), F.col("xr").alias("rng"), F.col("x").alias("value")),
-        F.struct(F.lit("y").alias("side"), F.col("yr").alias("rng"), F.col("y").alias("value")),
-    )
-    counts = counts_of(pairs.select("feature", F.inline(sides)), ["side"])
-    ranked = positions(counts, ["side"]).select(
+    x = F.struct(F.lit("x").alias("side"), "feature", F.col("xr").alias("rng"), F.col("x").alias("value"))
+    y = F.struct(F.lit("y").alias("side"), F.col("y_feature").alias("feature"), F.col("yr").alias("rng"), F.col("y").alias("value"))
+    sides = F.when(F.col("ranks_y"), F.array(x, y)).otherwise(F.array(x))
+    ranked = positions(counts_of(pairs.select(F.inline(sides)), ["side"]), ["side"]).select(
         "feature",
         "side",
         "value",
@@ -36,41 +35,53 @@ def rank_table(pairs: DataFrame) -> DataFrame:
     return stage(ranked, "ranks")
 
 
-def attach_average_ranks(pairs: DataFrame, ranked: DataFrame, side: str, name: str) -> DataFrame:
+def attach_average_ranks(pairs: DataFrame, ranked: DataFrame, side: str, feature: str, name: str) -> DataFrame:
     """Add the average rank of one side.
 
     Hot values, fewer than ``HOT_SHARE`` per feature by their definition, are broadcast; their
     rows are then spread over the shuffle of the others, where they match nothing, so that no
     task gets all rows of a hot value.
     """
-    one = ranked.filter(F.col("side") == side).withColumnRenamed("value", side)
-    hot = F.broadcast(one.filter("hot").select("feature", side, F.col("rank").alias("hot_rank")))
+    one = ranked.filter(F.col("side") == side).withColumnsRenamed({"value": side, "feature": feature})
+    hot = F.broadcast(one.filter("hot").select(feature, side, F.col("rank").alias("hot_rank")))
     cold = one.filter(~F.col("hot")).select(
-        "feature", side, F.lit(0).cast("long").alias("slot"), F.col("rank").alias("cold_rank")
+        feature, side, F.lit(0).cast("long").alias("slot"), F.col("rank").alias("cold_rank")
     )
     slot = F.when(F.col("hot_rank").isNull(), F.lit(0).cast("long")).otherwise(F.monotonically_increasing_id() % 1024 + 1)
     return (
-        pairs.join(hot, ["feature", side], "left")
+        pairs.join(hot, [feature, side], "left")
         .withColumn("slot", slot)
-        .join(cold, ["feature", side, "slot"], "left")
+        .join(cold, [feature, side, "slot"], "left")
         .withColumn(name, F.coalesce("hot_rank", "cold_rank"))
         .drop("slot", "hot_rank", "cold_rank")
     )
 
 
 def rank_pairs(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
-    """``(feature, x, y, rx, ry)``: ranks over the complete pairs of each feature with the target."""
+    """``(feature, x, y, rx, ry)``: ranks over the complete pairs of each feature with the target.
+
+    Features without gaps share one ranking of the target.
+    """
     names = [f"v{i}" for i in range(len(features))] + ["y"]
     narrow = df.select(
         *[clean_number(col(c)).alias(a) for c, a in zip([*features, target], names)]
     ).filter(F.col("y").isNotNull())
+    gaps = set(missing_columns(narrow, names[:-1]))
+    shared = [c for a, c in zip(names, features) if a not in gaps]
     ranged = with_ranges(narrow, names, cut_points(narrow, names))
     parts = [p for a, c in zip(names, features) for p in (F.lit(c), F.col(a), F.col(f"{a}__range").cast("int"))]
-    pairs = ranged.select(
-        "y", F.col("y__range").cast("int").alias("yr"), F.stack(F.lit(len(features)), *parts).alias("feature", "x", "xr")
-    ).filter(F.col("x").isNotNull())
+    in_shared = F.col("feature").isin(shared)
+    pairs = (
+        ranged.select(
+            "y", F.col("y__range").cast("int").alias("yr"), F.stack(F.lit(len(features)), *parts).alias("feature", "x", "xr")
+        )
+        .filter(F.col("x").isNotNull())
+        .withColumn("y_feature", F.when(in_shared, F.lit(shared[0] if shared else None)).otherwise(F.col("feature")))
+        .withColumn("ranks_y", F.col("y_feature") == F.col("feature"))
+    )
     ranked = rank_table(pairs)
-    return attach_average_ranks(attach_average_ranks(pairs, ranked, "x", "rx"), ranked, "y", "ry")
+    placed = attach_average_ranks(pairs, ranked, "x", "feature", "rx")
+    return attach_average_ranks(placed, ranked, "y", "y_feature", "ry").select("feature", "x", "y", "rx", "ry")
 
 
 def spearman(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:

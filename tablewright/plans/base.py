@@ -85,7 +85,7 @@ def base(spark: SparkSession, folder: str) -> DataFrame:
     """The base table, joined and written once per application, read by every diagnostic."""
     key = (spark.sparkContext.applicationId, folder)
     if key not in _staged:
-        _staged[key] = stage(build_base(spark, folder), "base")
+        _staged[key] = stage(build_base(spark, folder), "base", even=True)
     return _staged[key]
 
 

@@ -65,8 +65,8 @@ def clean(train: DataFrame, test: DataFrame, s: Settings) -> tuple[DataFrame, Da
     if s.target not in train.columns:
         raise ValueError(f"the train table has no column {s.target}")
     filled_train, filled_test, log = missing.impute(train, test, s.impute, s.fit_scope)
-    clean_train = stage(features.derive(filled_train, s.derived), "train")
-    clean_test = stage(features.derive(filled_test, s.derived), "test")
+    clean_train = stage(features.derive(filled_train, s.derived), "train", even=True)
+    clean_test = stage(features.derive(filled_test, s.derived), "test", even=True)
     tables = {
         "missing_train_before": missing.missing_summary(train),
         "missing_test_before": missing.missing_summary(test),
