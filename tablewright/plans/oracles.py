@@ -631,7 +631,7 @@ SCALED = ["o_totalprice", "c_acctbal", "sum_qty", "avg_disc", "n_lines", "whole"
 
 def encoded_columns() -> str:
     hot = [f"{c}_{v}:l" for c, levels in LEVELS.items() for v in levels]
-    return " ".join(["part:s", "id:l", *[f"{c}:d" for c in SCALED], "o_orderpriority:l", *hot, "has_return:l", "has_discount:l"])
+    return " ".join(["part:s", "id:l", *[f"{c}:f8" for c in SCALED], "o_orderpriority:l", *hot, "has_return:l", "has_discount:l"])
 
 
 #: Filled and derived rows of both tables, the train side with a target only.

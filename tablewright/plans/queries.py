@@ -405,7 +405,7 @@ def _(spark, folder):
 # ---------------------------------------------------------------- encoding
 
 
-@query("standard_scaled", "part:s id:l n_lines:d sum_qty:d avg_disc:d o_totalprice:d c_acctbal:d", O.standard_scaled(), digits=7)
+@query("standard_scaled", "part:s id:l n_lines:f8 sum_qty:f8 avg_disc:f8 o_totalprice:f8 c_acctbal:f8", O.standard_scaled(), digits=7)
 def _(spark, folder):
     train, test = split_by_time(base(spark, folder))
     means, stds = encode.fit_scaler(train, NUMERIC)
@@ -572,23 +572,23 @@ def _(spark, folder):
     return model.coefficients(rows)
 
 
-@query("residual_table", "id:l actual:d9 predicted:d residual:d abs_residual:d n_name:s o_orderpriority:s n_lines:l", O.residual_table(), digits=6)
+@query("residual_table", "id:l actual:d9 predicted:d residual:f4 abs_residual:f4 n_name:s o_orderpriority:s n_lines:l", O.residual_table(), digits=6)
 def _(spark, folder):
     return _scored(spark, folder)[1]
 
 
-@query("residual_by_segment", "n_name:s count:l mean_residual:d mae:d", O.residual_by_segment(), digits=6)
+@query("residual_by_segment", "n_name:s count:l mean_residual:f4 mae:d", O.residual_by_segment(), digits=6)
 def _(spark, folder):
     return segments.residual_by(_scored(spark, folder)[1], "n_name")
 
 
-@query("residual_by_price_segment", "segment:s count:l mean_residual:d mae:d", O.residual_by_price_segment(), digits=6)
+@query("residual_by_price_segment", "segment:s count:l mean_residual:f4 mae:d", O.residual_by_price_segment(), digits=6)
 def _(spark, folder):
     rows = bins.with_quantile_bin(_scored(spark, folder)[1], "actual", bins.PRICE_SHARES, bins.PRICE_LABELS, "segment")
     return segments.residual_by(rows, "segment", bins.PRICE_LABELS)
 
 
-@query("residual_joined_back", "id:l residual:d top_flag:s o_year:l", O.residual_joined_back(), digits=6)
+@query("residual_joined_back", "id:l residual:f4 top_flag:s o_year:l", O.residual_joined_back(), digits=6)
 def _(spark, folder):
     return evaluate.attach_by_key(_scored(spark, folder)[1], base(spark, folder), KEY, ["top_flag", "o_year"])
 

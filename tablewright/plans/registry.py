@@ -1,7 +1,8 @@
 """Registered queries: a builder, the output columns, and the same result as plain SQL.
 
 Output columns are declared as ``name:s`` (text), ``name:l`` (whole number) or ``name:d``
-(real number, ``name:d12`` for a digit count of its own). Both sides of a check are brought
+(real number, ``name:d12`` for a digit count of its own, ``name:f4`` for fixed decimals where
+a difference of large numbers may come close to zero). Both sides of a check are brought
 to these types; real numbers to a fixed count of digits, as sums differ in the last bits
 with the order of the rows.
 """
@@ -53,18 +54,19 @@ def query(name: str, columns: str, sql: str | None = None, digits: int = 9):
     return register
 
 
-def _digits(kind: str, default: int) -> int:
-    return int(kind[1:]) if len(kind) > 1 else default
+def _format(kind: str, default: int) -> str:
+    digits = int(kind[1:]) if len(kind) > 1 else default
+    return f"%.{digits}{'e' if kind[0] == 'd' else 'f'}"
 
 
 def tidy(df: DataFrame, columns, digits: int) -> DataFrame:
     out = []
     for name, kind in columns:
         c = col(name)
-        if kind.startswith("d"):
+        if kind[0] in "df":
             x = F.nanvl(c.cast("double"), F.lit(None).cast("double"))
             x = F.when(F.abs(x) < NOISE, 0.0).otherwise(x)
-            text = F.format_string(f"%.{_digits(kind, digits)}e", x)
+            text = F.format_string(_format(kind, digits), x)
             c = F.when(x.isNotNull(), text).cast("double")
         else:
             c = c.cast("bigint" if kind == "l" else "string")
@@ -76,9 +78,9 @@ def tidy_sql(sql: str, columns, digits: int) -> str:
     out = []
     for name, kind in columns:
         c = f'"{name}"'
-        if kind.startswith("d"):
+        if kind[0] in "df":
             x = f"CAST({c} AS DOUBLE)"
-            text = f"CAST(printf('%.{_digits(kind, digits)}e', {x}) AS DOUBLE)"
+            text = f"CAST(printf('{_format(kind, digits)}', {x}) AS DOUBLE)"
             out.append(
                 f"CASE WHEN {c} IS NULL OR isnan({x}) THEN NULL WHEN abs({x}) < {NOISE!r} THEN 0.0 ELSE {text} END AS {c}"
             )
