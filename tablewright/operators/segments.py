@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import col
-from ..storage import pin_small
+from ..storage import pin_small, stage
 from .bins import label_frame
 from .frequency import positions, quantile_of_positions, value_counts
 
@@ -76,9 +76,9 @@ def box_stats(df: DataFrame, by: str, target: str, reach: float = 1.5) -> DataFr
     """``(by, n, q1, median, q3, lower_fence, upper_fence, whisker_low, whisker_high, n_outliers)``.
 
     Whiskers end at the last value inside the fences, outliers are counted beyond them, both
-    from the positioned value counts.
+    from the positioned value counts, which are written once and read twice.
     """
-    placed = positions(value_counts(df, [target], [by]), [by])
+    placed = stage(positions(value_counts(df, [target], [by]), [by]), "positions")
     quarters = pin_small(_fences(placed, by, reach))
     inside = F.col("value").between(F.col("lower_fence"), F.col("upper_fence"))
     return (

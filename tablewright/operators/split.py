@@ -38,7 +38,7 @@ def with_contiguous_fold(df: DataFrame, key: str, folds: int = 5, name: str = "f
     """Folds of consecutive keys of equal size, without sorting the table in one task.
 
     The keys at the fold borders are exact order statistics; each row then compares its key
-    with these few literals.
+    with these few literals. Keys are numbers that a double holds exactly (up to 2^53).
     """
     placed = positions(value_counts(df, [key]))
     rows = df.filter(col(key).isNotNull()).count()
