@@ -51,7 +51,7 @@ def cut_points(df: DataFrame, columns: Sequence[str], ranges: int | None = None)
 
 def with_ranges(df: DataFrame, columns: Sequence[str], cuts: Mapping[str, Sequence[float]]) -> DataFrame:
     """Add ``<column>__range``, the number of the value range each value falls in."""
-    splits = [[-INF, *cuts[c], INF] for c in columns]
+    splits = [[-INF, *(cuts[c] or [0.0]), INF] for c in columns]  # a column without values still needs a cut
     return Bucketizer(
         splitsArray=splits,
         inputCols=list(columns),
