@@ -357,3 +357,12 @@ def test_the_three_jobs_on_a_house_table(spark):
     assert boosted["scored"].count() == 60
     assert boosted["scored"].filter("SalePrice > 0").count() == 60
     assert boosted["validation_metrics"].first()["mae"] > 0
+
+
+def test_columns_without_any_value(frame):
+    train = frame("id long, x double, t string", (1, None, None), (2, None, None))
+    filled, _, log = missing.impute(train, train, ImputePlan(median=["x"], mode={"t": "SBrkr"}))
+    assert rows_of(filled, "id") == [(1, 0.0, "SBrkr"), (2, 0.0, "SBrkr")]
+    assert [r["strategy"] for r in log.orderBy("step").collect()] == ["fillna(median=0.0000)", "fillna(mode=SBrkr)"]
+    assert segments.segment_stats(train, "id", "x").filter("median IS NULL AND count = 1").count() == 2
+    assert rows_of(bins.qq_points(train, "x", 5)) == []
