@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import line_dedup, simhash
+from . import bpe, line_dedup, simhash, substring
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op5_simhash": simhash.op5_simhash,
+    "op7_substring_dedup": substring.op7_substring_dedup,
+    "op10_bpe": bpe.op10_bpe,
 }
 
 SQL = {
