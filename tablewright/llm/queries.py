@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, line_dedup, simhash, substring
+from . import bpe, line_dedup, quality, simhash, substring, toxicity
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
+    "op2_quality": quality.op2_quality,
+    "op4_toxicity": toxicity.op4_toxicity,
     "op5_simhash": simhash.op5_simhash,
     "op7_substring_dedup": substring.op7_substring_dedup,
     "op10_bpe": bpe.op10_bpe,
