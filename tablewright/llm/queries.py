@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, line_dedup, quality, simhash, substring, toxicity
+from . import bpe, decontaminate, line_dedup, quality, simhash, substring, toxicity
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_simhash": simhash.op5_simhash,
     "op7_substring_dedup": substring.op7_substring_dedup,
+    "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_bpe": bpe.op10_bpe,
 }
 
