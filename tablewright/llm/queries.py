@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, line_dedup, quality, simhash, substring, toxicity
+from . import bpe, decontaminate, line_dedup, quality, secrets, simhash, spots, substring, toxicity
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_quality": quality.op2_quality,
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_simhash": simhash.op5_simhash,
+    "op6_secrets": secrets.op6_secrets,
     "op7_substring_dedup": substring.op7_substring_dedup,
+    "op8_spots": spots.op8_spots,
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_bpe": bpe.op10_bpe,
 }
