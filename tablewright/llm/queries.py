@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, line_dedup, quality, secrets, simhash, spots, substring, toxicity
+from . import bpe, decontaminate, licenses, line_dedup, quality, secrets, simhash, spots, substring, toxicity
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_quality": quality.op2_quality,
+    "op3_licenses": licenses.op3_licenses,
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_simhash": simhash.op5_simhash,
     "op6_secrets": secrets.op6_secrets,
@@ -18,4 +19,5 @@ QUERIES = {
 
 SQL = {
     "op1_line_dedup": line_dedup.OP1_SQL,
+    "op3_licenses": licenses.OP3_SQL,
 }
