@@ -46,8 +46,9 @@ def with_spots(df: DataFrame, text: str, out: str) -> DataFrame:
     df = df.withColumn(content, F.expr(f"filter({lead}, c -> c IS NOT NULL)"))
     chains = f"zip_with({content}, slice({content}, 2, greatest(size({content}) - 1, 0)), (c, d) -> if(c.lead IS NULL OR d IS NULL, NULL, hash(c.lead, c.x, d.x)))"
     df = df.withColumn(out, F.expr(f"array_sort(array_distinct(filter({chains}, s -> s IS NOT NULL)))"))
-    every = f"zip_with({hashed}, slice({hashed}, 2, greatest(size({hashed}) - 1, 0)), (x, y) -> hash(x, y))"
-    df = df.withColumn(out, F.expr(f"CASE WHEN size({out}) > 0 OR size({hashed}) = 0 THEN {out} ELSE array_sort(array_distinct({every})) END"))
+    every = f"zip_with({hashed}, slice({hashed}, 2, greatest(size({hashed}) - 1, 0)), (x, y) -> if(y IS NULL, NULL, hash(x, y)))"
+    every = f"CASE WHEN size({hashed}) = 1 THEN transform({hashed}, x -> hash(x)) ELSE array_sort(array_distinct(filter({every}, s -> s IS NOT NULL))) END"
+    df = df.withColumn(out, F.expr(f"CASE WHEN size({out}) > 0 OR size({hashed}) = 0 THEN {out} ELSE {every} END"))
     return df.drop(hashed, content)
 
 
