@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from .scalar import safe_ratio
 
+#: Relative error that the mean of equal values may have: 64 times the distance of neighbouring doubles at 1.
+ROUNDING = 64 * 2.0**-52
+
 
 def adjusted_skewness(c: Column) -> Column:
     """Bias-adjusted skewness G1; null below three values or for a constant."""
@@ -33,9 +36,14 @@ def jarque_bera_p(statistic: Column) -> Column:
 
 
 def pearson(x: Column, y: Column) -> Column:
-    """Pearson r over complete pairs; null where one side is constant."""
-    spread = F.sqrt(F.regr_sxx(y, x)) * F.sqrt(F.regr_syy(y, x))
-    return safe_ratio(F.regr_sxy(y, x), spread)
+    """Pearson r over complete pairs; null where one side is constant.
+
+    Equal values may leave the rounding error of their mean as a spread; that counts as constant.
+    """
+    noise = F.sqrt(F.regr_count(y, x).cast("double")) * F.lit(ROUNDING)
+    sx, sy = F.sqrt(F.regr_sxx(y, x)), F.sqrt(F.regr_syy(y, x))
+    varies = (sx > noise * F.abs(F.regr_avgx(y, x))) & (sy > noise * F.abs(F.regr_avgy(y, x)))
+    return F.when(varies, safe_ratio(F.regr_sxy(y, x), sx * sy))
 
 
 def rmse(error: Column) -> Column:

@@ -7,7 +7,7 @@ gives every training set of a cross-validation from the folds' summaries.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -15,15 +15,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.moments import ROUNDING
 from ..functions.scalar import col, nan_to_null
 from .catalog import complete_rows
 
-#: Up to this many columns the summary is a generated SQL aggregate, above it NumPy per batch.
+#: Up to this many columns the summary is a generated SQL aggregate, above it NumPy per batch, as
+#: more aggregates leave generated code. Both centre what they sum, so results agree.
 SQL_COLUMNS = 8
 
-#: Groups above this number are a mistake: the summary would not fit the driver.
-MAX_GROUPS = 1_000
-
 
 @dataclass
 class CoMoments:
@@ -47,15 +46,7 @@ def comoments(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) ->
     rows = complete_rows(df, columns).select(
         *[col(c).cast("double").alias(a) for c, a in zip(columns, names)], *[col(k) for k in by]
     )
-    found = _by_sql(rows, names, by) if len(columns) <= SQL_COLUMNS else _by_batches(rows, names, by)
-    return found
-
-
-def _collect(df: DataFrame) -> list:
-    rows = df.limit(MAX_GROUPS + 1).collect()
-    if len(rows) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} groups; co-moments are for folds and splits")
-    return rows
+    return _by_sql(rows, names, by) if len(columns) <= SQL_COLUMNS else _by_batches(rows, names, by)
 
 
 def _by_sql(rows: DataFrame, names: list[str], by: Sequence[str]) -> dict[tuple, CoMoments]:
@@ -67,7 +58,7 @@ def _by_sql(rows: DataFrame, names: list[str], by: Sequence[str]) -> dict[tuple,
         *[F.covar_pop(names[i], names[j]).alias(f"c{i}_{j}") for i, j in pairs],
     )
     out = {}
-    for row in _collect(summary):
+    for row in summary.toLocalIterator():
         if not row["n"]:
             continue
         cross = np.zeros((p, p))
@@ -79,77 +70,113 @@ def _by_sql(rows: DataFrame, names: list[str], by: Sequence[str]) -> dict[tuple,
     return out
 
 
-def _by_batches(rows: DataFrame, names: list[str], by: Sequence[str]) -> dict[tuple, CoMoments]:
-    """Each task sums its batches around a common centre and emits one small matrix per group."""
-    centre_row = rows.agg(*[F.avg(c).alias(c) for c in names]).first()
-    if centre_row[names[0]] is None:
-        return {}
-    centre = np.array([centre_row[c] for c in names])
+#: What is kept of each group or matrix: counts, means, and centred sums, all merged without cancellation.
+Parts = dict[str, np.ndarray]
+
+
+def _merge(a: Parts, b: Parts) -> Parts:
+    """Centred sums of the union of two sets of rows (parallel variance formula); works cell by cell."""
+    n = a["n"] + b["n"]
+    share = np.divide(b["n"], n, out=np.zeros_like(n), where=n > 0)
+    step, other = b["mx"] - a["mx"], b["my"] - a["my"]
+    weight = a["n"] * share
+    return {
+        "n": n,
+        "mx": a["mx"] + step * share,
+        "my": a["my"] + other * share,
+        "sxx": a["sxx"] + b["sxx"] + step * step * weight,
+        "syy": a["syy"] + b["syy"] + other * other * weight,
+        "sxy": a["sxy"] + b["sxy"] + step * other * weight,
+    }
+
+
+def _complete_parts(x: np.ndarray) -> Parts:
+    """Every pair of columns over the same rows, which have no gaps."""
+    n, p = x.shape
+    mean = x.mean(axis=0)
+    z = x - mean
+    cross = z.T @ z
+    spread = np.diag(cross)
+    wide = lambda v: np.repeat(v[:, None], p, axis=1)
+    return {"n": np.full((p, p), float(n)), "mx": wide(mean), "my": wide(mean).T, "sxx": wide(spread), "syy": wide(spread).T, "sxy": cross}
+
+
+def _pair_parts(x: np.ndarray) -> Parts:
+    """Every pair of columns over the rows complete in both, each centred on its own means."""
+    p = x.shape[1]
+    there = ~np.isnan(x)
+    out = {k: np.zeros((p, p)) for k in ("n", "mx", "my", "sxx", "syy", "sxy")}
+    for i in range(p):
+        rows = there[:, i]
+        both, own, others = there[rows], x[rows, i][:, None], np.nan_to_num(x[rows])
+        n = both.sum(axis=0).astype("float64")
+        some = np.maximum(n, 1)
+        mx, my = (own * both).sum(axis=0) / some, others.sum(axis=0) / some
+        dx, dy = (own - mx) * both, (others - my) * both
+        for key, line in (("n", n), ("mx", mx), ("my", my), ("sxx", (dx * dx).sum(axis=0)), ("syy", (dy * dy).sum(axis=0)), ("sxy", (dx * dy).sum(axis=0))):
+            out[key][i] = line
+    return out
+
+
+def _summed(rows: DataFrame, names: list[str], by: Sequence[str], parts_of: Callable[[np.ndarray], Parts]) -> Iterator[tuple[tuple, Parts]]:
+    """Parts per group from one scan: each task sums its batches, about the square root of the
+    number of tasks merge these, and the driver merges what is left, one group row at a time."""
+    keys, cells = list(by), ["n", "mx", "my", "sxx", "syy", "sxy"]
     p = len(names)
-    keys = list(by)
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums: dict[tuple, np.ndarray] = {}
+    def frames(sums: dict[tuple, Parts]) -> Iterator[pd.DataFrame]:
+        for key, parts in sums.items():
+            yield pd.DataFrame({**{k: [v] for k, v in zip(keys, key)}, **{c: [parts[c].ravel().tolist()] for c in cells}})
+
+    def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[tuple, Parts] = {}
         for batch in batches:
-            groups = batch.groupby(keys, sort=False) if keys else [((), batch)]
-            for key, part in groups:
-                z = np.column_stack([np.ones(len(part)), part[names].to_numpy() - centre])
-                sums[key] = sums.get(key, 0.0) + z.T @ z
-        for key, matrix in sums.items():
-            for i in range(p + 1):
-                frame = {k: [v] for k, v in zip(keys, key)}
-                yield pd.DataFrame({**frame, "i": [i], "line": [matrix[i, i:].tolist()]})
-
-    schema = ", ".join([*[f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys], "i int", "line array<double>"])
-    lines = rows.mapInPandas(partial, schema)
-    # one shuffle on (group, line); the sums per cell then stay in place
-    placed = lines.repartition(*[col(k) for k in keys], "i")
-    cells = placed.select(*[col(k) for k in keys], "i", F.posexplode("line").alias("offset", "x"))
-    summed = cells.groupBy(*[col(k) for k in keys], "i", "offset").agg(F.sum("x").alias("x"))
-    packed = summed.groupBy(*[col(k) for k in keys]).agg(F.collect_list(F.struct("i", "offset", "x")).alias("cells"))
-    out = {}
-    for row in _collect(packed):
-        total = np.zeros((p + 1, p + 1))
-        for cell in row["cells"]:
-            i, j = cell["i"], cell["i"] + cell["offset"]
-            total[i, j] = total[j, i] = cell["x"]
-        n = total[0, 0]
-        shift = total[0, 1:] / n
-        cross = total[1:, 1:] - n * np.outer(shift, shift)
-        out[tuple(row[k] for k in by)] = CoMoments(n, centre + shift, cross)
-    return out
+            groups = batch.groupby(keys, sort=False, dropna=False) if keys else [((), batch)]
+            for key, rows in groups:
+                if len(rows):
+                    found = parts_of(rows[names].to_numpy(dtype="float64"))
+                    sums[key] = _merge(sums[key], found) if key in sums else found
+        yield from frames(sums)
+
+    def again(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[tuple, Parts] = {}
+        for batch in batches:
+            for _, row in batch.iterrows():
+                key, found = tuple(row[k] for k in keys), {c: np.reshape(row[c], (p, p)) for c in cells}
+                sums[key] = _merge(sums[key], found) if key in sums else found
+        yield from frames(sums)
+
+    schema = ", ".join([*[f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys], *[f"{c} array<double>" for c in cells]])
+    slots = max(1, int(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) ** 0.5))
+    merged = rows.mapInPandas(first, schema).repartition(slots).mapInPandas(again, schema)
+    total: dict[tuple, Parts] = {}
+    for row in merged.toLocalIterator():
+        key, found = tuple(row[k] for k in keys), {c: np.reshape(row[c], (p, p)) for c in cells}
+        total[key] = _merge(total[key], found) if key in total else found
+    yield from total.items()
+
+
+def _by_batches(rows: DataFrame, names: list[str], by: Sequence[str]) -> dict[tuple, CoMoments]:
+    """The same as ``_by_sql`` with matrix products per batch, centred per group and batch."""
+    return {
+        key: CoMoments(float(parts["n"][0, 0]), parts["mx"][:, 0].copy(), parts["sxy"])
+        for key, parts in _summed(rows, names, by, _complete_parts)
+    }
 
 
 def pairwise_correlations(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
-    """Pearson matrix of many columns, every pair over its own complete rows, from one scan after the means.
+    """Pearson matrix of many columns, every pair over its own complete rows, from one scan.
 
-    Each task sums four small matrices around a common centre; NaN where a side is constant
-    or no pair is complete.
+    NaN where a side is constant over the rows of the pair, or no row is complete.
     """
     names = [f"x{i}" for i in range(len(columns))]
     rows = df.select(*[nan_to_null(col(c).cast("double")).alias(a) for c, a in zip(columns, names)])
-    means = rows.agg(*[F.avg(c).alias(c) for c in names]).first()
-    centre = np.array([means[c] if means[c] is not None else 0.0 for c in names])
-    p = len(names)
-
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums = np.zeros((4, p, p))
-        for batch in batches:
-            x = batch[names].to_numpy(dtype="float64") - centre
-            there = (~np.isnan(x)).astype("float64")
-            x = np.nan_to_num(x)
-            sums += np.stack([there.T @ there, x.T @ there, (x * x).T @ there, x.T @ x])
-        yield pd.DataFrame({"i": range(p), "line": [sums[:, i, :].ravel().tolist() for i in range(p)]})
-
-    lines = rows.mapInPandas(partial, "i int, line array<double>")
-    cells = lines.repartition("i").select("i", F.posexplode("line").alias("at", "v"))
-    summed = cells.groupBy("i", "at").agg(F.sum("v").alias("v")).groupBy("i").agg(F.collect_list(F.struct("at", "v")).alias("cells"))
-    total = np.zeros((4, p, p))
-    for row in summed.collect():
-        for at, v in row["cells"]:
-            total[at // p, row["i"], at % p] = v
-    n, sx, sxx, sxy = total
-    spread = n * sxx - sx * sx
-    spread[spread <= (n * 1e-12 * np.maximum(np.abs(centre), 1e-300)[:, None]) ** 2] = np.nan
-    with np.errstate(invalid="ignore", divide="ignore"):
-        return (n * sxy - sx * sx.T) / np.sqrt(spread * spread.T)
+    out = np.full((len(names), len(names)), np.nan)
+    for _, parts in _summed(rows, names, [], _pair_parts):
+        # Equal values leave rounding errors of their mean behind, nothing else is taken for constant.
+        noise = parts["n"] * ROUNDING**2
+        constant = (parts["sxx"] <= noise * parts["mx"] ** 2) | (parts["syy"] <= noise * parts["my"] ** 2)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            r = parts["sxy"] / np.sqrt(parts["sxx"] * parts["syy"])
+        out = np.where(constant | (parts["n"] == 0), np.nan, np.clip(r, -1.0, 1.0))
+    return out

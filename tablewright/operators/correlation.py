@@ -48,7 +48,7 @@ def target_correlations(df: DataFrame, features: Sequence[str], target: str) ->
 def pearson_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(a, b, r)`` for all ordered pairs, each over its own complete rows.
 
-    A few columns are one SQL aggregate; many are matrix products per batch.
+    A few columns are one SQL aggregate; many are summed per batch, with the same results.
     """
     if len(columns) > SQL_COLUMNS:
         return _matrix_rows(df, columns, pairwise_correlations(df, columns))
@@ -95,6 +95,7 @@ def correlation_importance(matrix: DataFrame, target: str, k: int = 15) -> DataF
 
 def top_submatrix(matrix: DataFrame, target: str, k: int = 15) -> DataFrame:
     """The matrix over the k best ranked columns, the target among them."""
+    matrix = matrix.sparkSession.createDataFrame(matrix.collect(), matrix.schema)  # a row for each two columns
     best = top_k(target_ranking(matrix, target), k, "pearson", "feature").select("feature")
     kept = matrix.join(best.withColumnRenamed("feature", "a"), "a", "left_semi")
     return kept.join(best.withColumnRenamed("feature", "b"), "b", "left_semi").select("a", "b", "r")
