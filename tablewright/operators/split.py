@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import col
-from .frequency import positions, value_at, value_counts
+from ..storage import stage
 
 
 def key_hash(key: str, seed: int | None = None) -> Column:
@@ -37,14 +36,24 @@ def fold_starts(rows: int, folds: int) -> list[int]:
 def with_contiguous_fold(df: DataFrame, key: str, folds: int = 5, name: str = "fold") -> DataFrame:
     """Folds of consecutive keys of equal size, without sorting the table in one task.
 
-    The keys at the fold borders are exact order statistics; each row then compares its key
-    with these few literals. Keys are numbers that a double holds exactly (up to 2^53).
+    Keys of any type that has an order, taken as they are. They are dealt out by range and written with the number of
+    their range; the sizes of the ranges tell which ones hold the borders, and only these are numbered.
+    Each row then compares its key with the few borders. A null key is in fold 0.
     """
-    placed = positions(value_counts(df, [key]))
-    rows = df.filter(col(key).isNotNull()).count()
-    starts = fold_starts(rows, folds)
-    if not rows:
+    keys = df.select(col(key).alias("key")).where("key IS NOT NULL").repartitionByRange("key")
+    placed = stage(keys.withColumn("range", F.spark_partition_id()), "keys")
+    sizes = {r["range"]: r["n"] for r in placed.groupBy("range").agg(F.count(F.lit(1)).alias("n")).collect()}
+    wanted, before = [], 0
+    starts = fold_starts(sum(sizes.values()), folds)
+    for number in sorted(sizes):
+        wanted += [(number, s - before + 1) for s in starts if before <= s < before + sizes[number]]
+        before += sizes[number]
+    if not wanted:
         return df.withColumn(name, F.lit(0))
-    found = placed.agg(*[value_at(F.lit(s)).alias(f"b{i}") for i, s in enumerate(starts)]).first()
-    borders: Sequence[float] = [b for b in found if b is not None]
-    return df.withColumn(name, reduce(lambda a, b: a + b, [(col(key) >= b).cast("int") for b in borders], F.lit(0)))
+    place = F.row_number().over(Window.partitionBy("range").orderBy("key"))
+    numbered = placed.where(F.col("range").isin([r for r, _ in wanted])).withColumn("place", place)
+    at = reduce(lambda a, b: a | b, [(F.col("range") == r) & (F.col("place") == p) for r, p in wanted])
+    found = {(r["range"], r["place"]): r["key"] for r in numbered.where(at).collect()}
+    kind = df.select(col(key)).schema[0].dataType
+    above = [F.coalesce(col(key) >= F.lit(found[w]).cast(kind), F.lit(False)).cast("int") for w in wanted]
+    return df.withColumn(name, reduce(lambda a, b: a + b, above))
