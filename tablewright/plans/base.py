@@ -78,14 +78,15 @@ def build_base(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-_staged: dict[tuple[str, str], DataFrame] = {}
+_staged: dict[tuple, DataFrame] = {}
 
 
 def base(spark: SparkSession, folder: str) -> DataFrame:
-    """The base table, joined and written once per application, read by every diagnostic."""
-    key = (spark.sparkContext.applicationId, folder)
+    """The base table, joined and written once per application and set of source files, read by every diagnostic."""
+    built = build_base(spark, folder)
+    key = (spark.sparkContext.applicationId, folder, *sorted(built.inputFiles()))
     if key not in _staged:
-        _staged[key] = stage(build_base(spark, folder), "base", even=True)
+        _staged[key] = stage(built, "base", even=True)
     return _staged[key]
 
 

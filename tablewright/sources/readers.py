@@ -18,6 +18,9 @@ DEFAULT_NA_TOKENS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
+#: Quoting of CSV files, read and written.
+CSV_FORMAT = {"header": True, "quote": '"', "escape": '"'}
+
 #: Tokens of a load that keeps ``NA`` and ``None`` as text.
 BLANK_ONLY = ("",)
 
@@ -27,13 +30,17 @@ def read_csv(
     path: str,
     schema: T.StructType | None = None,
     na_tokens: Sequence[str] = DEFAULT_NA_TOKENS,
+    multi_line: bool = False,
 ) -> DataFrame:
     """CSV with a header. ``na_tokens`` decides what is null, in text and numeric columns alike.
 
+    A quote in a quoted cell is written twice (RFC 4180). ``multi_line`` is for cells with line breaks;
+    such a file can't be split, each is read by one task.
+
     With a schema the file is read once, as text, and cast; a cell that does not parse is
     null. Without one, Spark infers the types of what is left after the tokens are removed.
     """
-    reader = spark.read.option("header", True).option("emptyValue", "").option("nullValue", "\u0001")
+    reader = spark.read.options(**CSV_FORMAT, multiLine=multi_line, emptyValue="", nullValue="\u0001")
     if schema is None:
         raw = reader.csv(path)
         cleaned = raw.select(*[tokens_to_null(col(c), na_tokens).alias(c) for c in raw.columns])

@@ -6,14 +6,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import blank_to_null, col
-from .readers import BLANK_ONLY, read_csv
+from .readers import BLANK_ONLY, CSV_FORMAT, read_csv
 
 
 def write_result(df: DataFrame, folder: str, name: str, fmt: str = "parquet") -> str:
     """Write one named result. Parquet keeps the text ``None`` apart from null; CSV does not."""
     path = f"{folder}/{name}.{fmt}"
     writer = df.write.mode("overwrite").format(fmt)
-    (writer.option("header", True) if fmt == "csv" else writer).save(path)
+    (writer.options(**CSV_FORMAT) if fmt == "csv" else writer).save(path)
     return path
 
 

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
+from functools import cache
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,15 +16,31 @@ from pyspark.sql import functions as F
 SMALL_ROWS = 10_000
 
 
+@cache
+def _local_folder() -> str:
+    """A folder of this process for local runs without a setting, deleted when it ends."""
+    folder = tempfile.mkdtemp(prefix="tablewright-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only in local mode."""
+    """The shared folder the cluster names; one of this process only in local mode without such a setting.
+
+    The caller's own checkpoint folder is used, never changed.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tablewright-"))
-    return spark.sparkContext.getCheckpointDir()
+    return _local_folder()
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder below the shared one."""
+    return f"{checkpoint_root(spark)}/scratch-{uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str = "stage", even: bool = False) -> DataFrame:
