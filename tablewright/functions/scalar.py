@@ -28,13 +28,13 @@ def weighted_sum(weights: Mapping[str, float]) -> Column:
 
 
 def row_sum(columns: Sequence[str]) -> Column:
-    """Sum over columns that skips nulls; 0 when all are null."""
-    return reduce(lambda a, b: a + b, [F.coalesce(col(c).cast("double"), F.lit(0.0)) for c in columns])
+    """Sum over columns that skips nulls and NaN; 0 when none is left."""
+    return reduce(lambda a, b: a + b, [F.coalesce(clean_number(col(c)), F.lit(0.0)) for c in columns])
 
 
 def row_mean(columns: Sequence[str]) -> Column:
-    """Mean over columns that skips nulls; null when all are null."""
-    present = reduce(lambda a, b: a + b, [col(c).isNotNull().cast("int") for c in columns])
+    """Mean over columns that skips nulls and NaN; null when none is left."""
+    present = reduce(lambda a, b: a + b, [clean_number(col(c)).isNotNull().cast("int") for c in columns])
     return row_sum(columns) / F.nullif(present, F.lit(0))
 
 

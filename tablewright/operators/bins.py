@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.moments import pearson
-from ..functions.scalar import col, nan_to_null, safe_ratio
+from ..functions.scalar import clean_number, col, nan_to_null, safe_ratio
 from ..functions.special import normal_quantile
 from .catalog import complete_rows
 from .frequency import even_quantiles, quantile_values, quantiles
@@ -71,7 +71,7 @@ def variance_ratios(df: DataFrame, features: Sequence[str], target: str, bins: i
 
     Null where fewer than two bins have a variance or the smallest is zero.
     """
-    rows = df.filter(col(target).isNotNull())
+    rows = df.filter(clean_number(col(target)).isNotNull())
     edges = many_bin_edges(rows, features, even_shares(bins))
     parts = [p for c in features for p in (F.lit(c), bin_number(col(c), edges[c]))]
     per_bin = (
@@ -168,10 +168,10 @@ def qq_points(df: DataFrame, column: str, points: int = 99) -> DataFrame:
 
 def trend_lines(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
     """``(feature, n, slope, intercept, r2)`` of straight lines, all features in one scan."""
-    y = col(target)
+    y = clean_number(col(target))
     parts, sums = [], []
     for i, c in enumerate(features):
-        x = col(c)
+        x = clean_number(col(c))
         sums += [
             F.regr_count(y, x).alias(f"n{i}"),
             F.regr_slope(y, x).alias(f"s{i}"),
@@ -206,8 +206,6 @@ def quadratic_trend(df: DataFrame, column: str, target: str) -> DataFrame:
     return df.sparkSession.createDataFrame([(column, *map(float, coefficients))], schema)
 
 
-def scatter_extract(df: DataFrame, key: str, columns: Sequence[str], max_points: int) -> DataFrame:
-    """At most ``max_points`` rows for a plot: those with the smallest key hash."""
-    from .split import key_hash
-
-    return df.select(col(key), *[col(c) for c in columns], key_hash(key).alias("h")).orderBy("h", key).limit(max_points).drop("h")
+def scatter_extract(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """The columns of a plot with one point per row: every row, whatever their number."""
+    return df.select(col(key), *[col(c) for c in columns])

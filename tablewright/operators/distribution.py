@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.moments import adjusted_kurtosis, adjusted_skewness, jarque_bera, jarque_bera_p
-from ..functions.scalar import col
+from ..functions.scalar import clean_number, col
 
 FIELDS = ["n", "skewness", "excess_kurtosis", "jb_stat", "jb_p"]
 
@@ -19,7 +19,8 @@ def distribution_diagnostics(df: DataFrame, versions: Mapping[str, Column]) -> D
     A version is an expression that is null for the rows it leaves out.
     """
     sums, parts = [], []
-    for i, (name, x) in enumerate(versions.items()):
+    for i, (name, version) in enumerate(versions.items()):
+        x = clean_number(version)
         statistic = jarque_bera(x)
         sums += [
             F.count(x).alias(f"n{i}"),

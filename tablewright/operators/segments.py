@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import col
+from ..functions.scalar import clean_number, col
 from ..storage import pin_small, stage
 from .bins import label_frame
 from .frequency import positions, quantile_of_positions, value_counts
@@ -23,11 +23,12 @@ def segment_stats(df: DataFrame, by: str, target: str) -> DataFrame:
     """
     counts = value_counts(df, [target], [by])
     placed = positions(counts, [by])
+    measured = clean_number(col(target))
     quantile = placed.groupBy(by).agg(*[quantile_of_positions(p).alias(k) for k, p in QUARTILES.items()])
     plain = (
         df.filter(col(by).isNotNull())
         .groupBy(col(by))
-        .agg(F.count(F.lit(1)).alias("count"), F.avg(target).alias("mean"), F.stddev_samp(target).alias("std"))
+        .agg(F.count(F.lit(1)).alias("count"), F.avg(measured).alias("mean"), F.stddev_samp(measured).alias("std"))
     )
     return plain.join(quantile, by, "left").select(
         by, "count", "median", "q1", "q3", "mean", "std", (F.col("q3") - F.col("q1")).alias("iqr")
@@ -48,7 +49,7 @@ def median_order(df: DataFrame, by: str, target: str) -> DataFrame:
 
 def group_mean(df: DataFrame, by: str, measure: str, name: str = "mean") -> DataFrame:
     """``(by, mean)``, smallest first."""
-    means = df.filter(col(by).isNotNull()).groupBy(by).agg(F.avg(measure).alias(name))
+    means = df.filter(col(by).isNotNull()).groupBy(by).agg(F.avg(clean_number(col(measure))).alias(name))
     return means.orderBy(F.asc_nulls_last(name), by)
 
 
@@ -62,8 +63,8 @@ def residual_by(df: DataFrame, by: str, labels: Sequence[str] | None = None) ->
         .groupBy(by)
         .agg(
             F.count(F.lit(1)).alias("count"),
-            F.avg("residual").alias("mean_residual"),
-            F.avg("abs_residual").alias("mae"),
+            F.avg(clean_number(col("residual"))).alias("mean_residual"),
+            F.avg(clean_number(col("abs_residual"))).alias("mae"),
         )
     )
     if labels is None:
@@ -105,5 +106,6 @@ def box_outliers(df: DataFrame, by: str, target: str, reach: float = 1.5) -> Dat
     """The rows beyond the fences of their own segment."""
     placed = positions(value_counts(df, [target], [by]), [by])
     fences = pin_small(_fences(placed, by, reach).select(by, "lower_fence", "upper_fence"))
-    beyond = (col(target) < F.col("lower_fence")) | (col(target) > F.col("upper_fence"))
+    value = clean_number(col(target))
+    beyond = (value < F.col("lower_fence")) | (value > F.col("upper_fence"))
     return df.join(fences, by).filter(beyond).select(*[col(c) for c in df.columns])
