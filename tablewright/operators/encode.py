@@ -97,6 +97,22 @@ def one_hot(column: str, levels: Sequence[str]) -> list[Column]:
     ]
 
 
+def sparse_one_hot(df: DataFrame, column: str, name: str) -> DataFrame:
+    """Add ``name``, a sparse row ``(size, indices, values)`` with a one at the place of the level.
+
+    For any number of levels: places come from a join, and no row is as long as the list of levels. Null has no
+    index. Null rows are spread over the shuffle of the join.
+    """
+    codes = stage(dense_codes(df, column), "codes")
+    size = codes.count()
+    key = F.coalesce(col(column).cast("string"), F.concat(F.lit("\u0001"), F.xxhash64(*[col(c) for c in df.columns]).cast("string")))
+    joined = df.withColumn("__level", key).join(codes.withColumnsRenamed({"level": "__level", "code": "__code"}), "__level", "left")
+    there = F.col("__code").isNotNull() & col(column).isNotNull()
+    indices = F.when(there, F.array("__code")).otherwise(F.array().cast("array<bigint>"))
+    values = F.transform(indices, lambda _: F.lit(1.0))
+    return joined.select(*[col(c) for c in df.columns], F.struct(F.lit(size).alias("size"), indices.alias("indices"), values.alias("values")).alias(name))
+
+
 def fit_encoder(
     train: DataFrame,
     catalog: Catalog,

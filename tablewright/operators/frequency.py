@@ -24,21 +24,23 @@ INF = float("inf")
 
 
 def range_count(df: DataFrame) -> int:
-    """Ranges per column: a few per shuffle partition, within fixed bounds."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(16, min(8192, 4 * partitions))
+    """Ranges per column: a few per shuffle partition."""
+    return max(16, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def cut_points(df: DataFrame, columns: Sequence[str], ranges: int | None = None) -> dict[str, list[float]]:
-    """Approximate quantiles per column; at most ``16 * ranges`` numbers each reach the driver.
+    """Approximate quantiles per column; about ``16 * ranges`` numbers each reach the driver.
 
-    The sketches are only as fine as the ranges need, and merge in 16 tasks rather than one.
+    Sketches merge in as many tasks as there are ranges to 16. Each of these needs the fewer points the more there are
+    of them, so neither the sketch of a task nor the work of merging grows with the table.
     """
     ranges = ranges or range_count(df)
-    probs = [i / ranges for i in range(1, ranges)]
+    slots = max(16, ranges // 16)
+    points = max(16, 16 * ranges // slots)
+    probs = [i / points for i in range(1, points)]
     sketches = (
-        df.groupBy((F.spark_partition_id() % 16).alias("slot"))
-        .agg(*[F.percentile_approx(col(c).cast("double"), probs, 4 * ranges).alias(f"q{i}") for i, c in enumerate(columns)])
+        df.groupBy((F.spark_partition_id() % slots).alias("slot"))
+        .agg(*[F.percentile_approx(col(c).cast("double"), probs, 4 * points).alias(f"q{i}") for i, c in enumerate(columns)])
         .collect()
     )
     out = {}
