@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from statistics import NormalDist
 
-BASE = """base AS (
+BASE = """base AS MATERIALIZED (
 SELECT o.o_orderkey AS id, o_totalprice, o_orderpriority, o_orderstatus, c_mktsegment, n_name, c_acctbal,
        year(o_orderdate) AS o_year, month(o_orderdate) AS o_month,
        l.n_lines, l.sum_qty, l.sum_price, l.avg_disc, l.top_flag, coalesce(l.has_return, 0) AS has_return
@@ -390,7 +390,7 @@ def qq_points() -> str:
 
 
 def scatter_extract() -> str:
-    return sql(f"SELECT id, n_lines, sum_price, {FLAG} AS is_outlier, n_name FROM base ORDER BY {hashed()}, id LIMIT 1000")
+    return sql(f"SELECT id, n_lines, sum_price, {FLAG} AS is_outlier, n_name FROM base")
 
 
 def argmax_row_profile() -> str:
@@ -421,7 +421,7 @@ def trend_line() -> str:
 def trend_quadratic() -> str:
     """Two regressors, x centred and its square, by Cramer's rule; then back to powers of x."""
     parts = []
-    for c in ("n_lines", "sum_qty"):
+    for c in NUMERIC:
         rows = f"(SELECT {c} - m AS u, pow({c} - m, 2) AS v, sum_price AS y, m FROM base CROSS JOIN (SELECT avg({c}) AS m FROM base WHERE sum_price IS NOT NULL) a WHERE {c} IS NOT NULL AND sum_price IS NOT NULL)"
         sums = f"(SELECT any_value(m) AS m, var_pop(u) AS uu, var_pop(v) AS vv, covar_pop(u, v) AS uv, covar_pop(u, y) AS uy, covar_pop(v, y) AS vy, avg(u) AS mu, avg(v) AS mv, avg(y) AS my FROM {rows} r)"
         weights = f"(SELECT *, (uy * vv - vy * uv) / (uu * vv - uv * uv) AS b, (vy * uu - uy * uv) / (uu * vv - uv * uv) AS c FROM {sums} s)"
@@ -459,11 +459,31 @@ def distribution_before_after() -> str:
     )
 
 
-def _matrix(columns) -> str:
-    return "(" + UNION.join(f"SELECT '{a}' AS a, '{b}' AS b, corr({a}, {b}) AS r FROM base" for a in columns for b in columns) + ")"
+def _matrix(columns, table: str = "base") -> str:
+    return "(" + UNION.join(f"SELECT '{a}' AS a, '{b}' AS b, corr({a}, {b}) AS r FROM {table}" for a in columns for b in columns) + ")"
 
 
-MATRIX = f"matrix AS {_matrix(COLUMNS)}"
+MATRIX = f"matrix AS MATERIALIZED {_matrix(COLUMNS)}"
+
+WIDE = [*COLUMNS, "o_year", "o_month", "has_return", "whole", "half", "other", "apart"]
+#: The base table with more columns; ``apart`` is very large just where ``other`` is missing.
+WIDE_BASE = """wide AS MATERIALIZED (SELECT *, sum_qty + 10 * n_lines AS whole, CASE WHEN id % 2 = 0 THEN sum_qty END AS half,
+       CASE WHEN id % 3 > 0 THEN sum_price END AS other,
+       CASE WHEN id % 3 = 0 THEN 1e12 + id ELSE c_acctbal END AS apart FROM base)"""
+
+
+def pearson_matrix_wide() -> str:
+    return sql(_matrix(WIDE, "wide")[1:-1], WIDE_BASE)
+
+
+def collinear_pairs_wide() -> str:
+    place = "CASE {} " + " ".join(f"WHEN '{c}' THEN {i}" for i, c in enumerate(WIDE)) + " END"
+    return sql(
+        "SELECT a AS feature_a, b AS feature_b, abs(r) AS abs_r FROM matrix "
+        f"WHERE abs(r) >= 0.8 AND ({place.format('a')}) < ({place.format('b')})",
+        WIDE_BASE,
+        f"matrix AS MATERIALIZED {_matrix(WIDE, 'wide')}",
+    )
 
 
 def pearson_matrix() -> str:
@@ -581,7 +601,7 @@ def ordinal_encoded() -> str:
 
 
 def one_hot() -> str:
-    years = ", ".join(f"CASE WHEN o_year = {y} THEN 1 ELSE 0 END AS o_year_{y}" for y in (1995, 1997, 1999))
+    years = ", ".join(f"CASE WHEN o_year = {y} THEN 1 ELSE 0 END AS o_year_{y}" for y in range(1995, 2000))
     flags = ", ".join(f"CASE WHEN top_flag = '{f}' THEN 1 ELSE 0 END AS top_flag_{f}" for f in "ANR")
     return sql(
         f"""SELECT id, {years}, {flags}, CASE WHEN o_year < 2000 THEN 1 ELSE 0 END + CASE WHEN top_flag IS NULL THEN 0 ELSE 1 END AS n_set
@@ -752,6 +772,28 @@ def range_folds() -> str:
     )
 
 
+def range_folds_keys() -> str:
+    keys = "(SELECT 'large' AS kind, CAST(id AS HUGEINT) * 1099511627776 + id AS k, NULL AS t FROM base UNION ALL SELECT 'text', NULL, c_name FROM customer)"
+    numbered = f"(SELECT *, ntile(5) OVER (PARTITION BY kind ORDER BY k, t) - 1 AS fold FROM {keys} x)"
+    return sql(f"SELECT kind, fold, count(*) AS n, coalesce(CAST(min(k) AS VARCHAR), min(t)) AS first, coalesce(CAST(max(k) AS VARCHAR), max(t)) AS last FROM {numbered} f GROUP BY 1, 2")
+
+
+def csv_roundtrip() -> str:
+    return "SELECT doc_id, md5(text) AS text_md5, lang, n_chars FROM documents"
+
+
+def sql_fallback() -> str:
+    return "SELECT n_name, 'PARQUET:nation' AS source FROM nation"
+
+
+def number_tests() -> str:
+    return sql("SELECT id, CAST(sum_price IS NOT NULL AND isfinite(sum_price) AS INT) AS is_finite, printf('%.2f', sum_price) AS price FROM base WHERE sum_price IS NOT NULL UNION ALL SELECT id, 0, NULL FROM base WHERE sum_price IS NULL")
+
+
+def one_hot_large() -> str:
+    return "SELECT c_custkey, (SELECT count(DISTINCT c_name) FROM customer) AS size, dense_rank() OVER (ORDER BY c_name) - 1 AS position FROM customer"
+
+
 def _det3(m) -> str:
     (a, b, c), (d, e, f), (g, h, i) = m
     return f"({a} * ({e} * {i} - {f} * {h}) - {b} * ({d} * {i} - {f} * {g}) + {c} * ({d} * {h} - {e} * {g}))"

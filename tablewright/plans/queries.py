@@ -27,9 +27,9 @@ from ..operators import (
 )
 from ..operators.missing import ImputePlan
 from ..operators.outliers import SizePriceRule
-from ..sources import sinks
+from ..sources import readers, sinks
 from ..sources.readers import table
-from ..storage import stage
+from ..storage import scratch, stage
 from . import oracles as O
 from .base import CATALOG, KEY, NUMERIC, TARGET, base, split_by_time
 from .registry import REGISTRY, query
@@ -303,7 +303,7 @@ def _(spark, folder):
 @query("scatter_extract", "id:l n_lines:l sum_price:d is_outlier:l n_name:s", O.scatter_extract())
 def _(spark, folder):
     flagged = outliers.flag_outliers(base(spark, folder), RULE)
-    return bins.scatter_extract(flagged, KEY, ["n_lines", TARGET, "is_outlier", "n_name"], 1000)
+    return bins.scatter_extract(flagged, KEY, ["n_lines", TARGET, "is_outlier", "n_name"])
 
 
 @query("argmax_row_profile", "which:s feature:s value:d", O.argmax_row_profile())
@@ -318,7 +318,7 @@ def _(spark, folder):
 
 @query("trend_quadratic", "feature:s c0:d c1:d c2:d", O.trend_quadratic(), digits=6)
 def _(spark, folder):
-    return shaping.union_all([bins.quadratic_trend(base(spark, folder), c, TARGET) for c in ("n_lines", "sum_qty")])
+    return shaping.union_all([bins.quadratic_trend(base(spark, folder), c, TARGET) for c in NUMERIC])
 
 
 # ---------------------------------------------------------------- distribution and correlation
@@ -345,6 +345,32 @@ def _(spark, folder):
     return correlation.pearson_matrix(base(spark, folder), COLUMNS)
 
 
+def _wide(spark, folder):
+    """More numeric columns than one aggregate takes, some with gaps, one very large where another has them."""
+    third = col(KEY) % 3
+    return base(spark, folder).withColumns(
+        {
+            "whole": col("sum_qty") + 10 * col("n_lines"),
+            "half": F.when(col(KEY) % 2 == 0, col("sum_qty")),
+            "other": F.when(third > 0, col(TARGET)),
+            "apart": F.when(third == 0, F.lit(1e12) + col(KEY)).otherwise(col("c_acctbal")),
+        }
+    )
+
+
+WIDE = [*COLUMNS, "o_year", "o_month", "has_return", "whole", "half", "other", "apart"]
+
+
+@query("pearson_matrix_wide", "a:s b:s r:d", O.pearson_matrix_wide(), digits=7)
+def _(spark, folder):
+    return correlation.pearson_matrix(_wide(spark, folder), WIDE)
+
+
+@query("collinear_pairs_wide", "feature_a:s feature_b:s abs_r:d", O.collinear_pairs_wide(), digits=7)
+def _(spark, folder):
+    return correlation.collinear_pairs(correlation.pearson_matrix(_wide(spark, folder), WIDE), WIDE)
+
+
 @query("pearson_ranking", "feature:s pearson:d", O.pearson_ranking(), digits=7)
 def _(spark, folder):
     return correlation.target_ranking(correlation.pearson_matrix(base(spark, folder), COLUMNS), TARGET)
@@ -423,7 +449,7 @@ def _(spark, folder):
     )
 
 
-@query("one_hot", "id:l o_year_1995:l o_year_1997:l o_year_1999:l top_flag_A:l top_flag_N:l top_flag_R:l n_set:l", O.one_hot())
+@query("one_hot", "id:l o_year_1995:l o_year_1996:l o_year_1997:l o_year_1998:l o_year_1999:l top_flag_A:l top_flag_N:l top_flag_R:l n_set:l", O.one_hot())
 def _(spark, folder):
     """Years 2000 and 2001 were not seen in the fit: only zeros."""
     rows = base(spark, folder)
@@ -445,6 +471,13 @@ def _(spark, folder):
     return encode.label_encode(customers, ["code"])
 
 
+@query("one_hot_large", "c_custkey:l size:l position:l", O.one_hot_large())
+def _(spark, folder):
+    """A level for each row, as sparse rows: only the place of the one is kept."""
+    hot = encode.sparse_one_hot(table(spark, folder, "customer").select("c_custkey", "c_name"), "c_name", "hot")
+    return hot.select("c_custkey", "hot.size", F.element_at("hot.indices", 1).alias("position"))
+
+
 @query("binary_mapped", "id:l returned:l building:l", O.binary_mapped())
 def _(spark, folder):
     maps = {"returned": {"1": 1, "0": 0}, "building": {"BUILDING": 1, "MACHINERY": 0}}
@@ -553,6 +586,19 @@ def _(spark, folder):
     return rows.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.min(KEY).alias("first"), F.max(KEY).alias("last"))
 
 
+@query("range_folds_keys", "kind:s fold:l n:l first:s last:s", O.range_folds_keys())
+def _(spark, folder):
+    """Keys beyond what a double holds, and text keys."""
+    large = base(spark, folder).select((col(KEY) * F.lit(2**40) + col(KEY)).alias("k"))
+    text = table(spark, folder, "customer").select(F.col("c_name").alias("k"))
+    out = []
+    for kind, rows in (("large", large), ("text", text)):
+        folds = split.with_contiguous_fold(rows, "k")
+        ends = folds.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.min("k").cast("string").alias("first"), F.max("k").cast("string").alias("last"))
+        out.append(shaping.labelled(ends, kind=kind))
+    return shaping.union_all(out)
+
+
 def _complete(spark, folder):
     return catalog.complete_rows(base(spark, folder), [TARGET, *NUMERIC])
 
@@ -749,6 +795,31 @@ def _(spark, folder):
     return evaluate.leaderboard({"Baseline": baseline, "Boosting": boosting})
 
 
+# ---------------------------------------------------------------- sources
+
+
+@query("csv_roundtrip", "doc_id:l text_md5:s lang:s n_chars:l", O.csv_roundtrip())
+def _(spark, folder):
+    """Texts with quotes, commas and line breaks written as CSV and read again."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "n_chars")
+    path = sinks.write_result(docs, scratch(spark), "documents", "csv")
+    again = readers.read_csv(spark, path, docs.schema, na_tokens=(), multi_line=True)
+    return again.withColumn("text_md5", F.md5(F.encode("text", "UTF-8")))
+
+
+@query("sql_fallback", "n_name:s source:s", O.sql_fallback())
+def _(spark, folder):
+    """A table that the catalogue doesn't have is read from its file."""
+    rows, source = readers.read(spark, label="nation", table="no_such_table", path=f"{folder}/nation.parquet")
+    return rows.select("n_name", F.lit(source.split(" ")[0]).alias("source"))
+
+
+@query("number_tests", "id:l is_finite:l price:s", O.number_tests())
+def _(spark, folder):
+    price = col(TARGET)
+    return base(spark, folder).select(KEY, S.is_finite(price).alias("is_finite"), F.when(price.isNotNull(), S.format_fixed(price, 2)).alias("price"))
+
+
 # ---------------------------------------------------------------- report
 
 
