@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
@@ -30,12 +30,18 @@ class TreeSpec:
     seed: int = 42
 
 
+def with_rounds(spec: TreeSpec, rounds: int, step: float) -> TreeSpec:
+    """The same ensemble with another number of trees and size of step."""
+    return replace(spec, trees=rounds, step=step)
+
+
 #: Fits of one cross-validation that run at the same time.
 PARALLEL_FITS = 4
 
-#: A forest and three boosting variants: wide, shallow and default trees.
+#: A forest and three boosting variants: wide, shallow and default trees. Boosting takes larger and fewer steps
+#: than usual libraries do (a job for each level of each tree); ``with_rounds`` sets their number.
 TREE_MODELS = {
-    "RandomForest": TreeSpec("forest", 20, 6),
+    "RandomForest": TreeSpec("forest", 300, 6),
     "Boosting wide": TreeSpec("boost", 10, 5, 0.3),
     "Boosting shallow": TreeSpec("boost", 10, 3, 0.3),
     "Boosting default": TreeSpec("boost", 10, 4, 0.3),
