@@ -18,7 +18,8 @@ that repeat a doc_id are taken for the same document; texts of fewer than 20 wor
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +34,9 @@ from .words import WordHashes, mix, record_batches, rows
 ANCHOR = 5
 STEPS = 4
 WINDOW = ANCHOR - 1 + 2**STEPS
-#: Words that are worked on at once.
-CHUNK = 1 << 18
+#: Words of one document that are worked on at once, and words at which documents are no longer put together.
+CHUNK = 1 << 17
+BUNDLE = 1 << 15
 #: An anchor with at least this share of the sampled blocks is hot, so there are at most so many.
 HOT_SHARE = 2_000
 #: One document in so many is looked at to find hot anchors.
@@ -50,7 +52,7 @@ COPY, FIRST, CHECK = 0, 1, 2
 
 
 def powers(base: int) -> np.ndarray:
-    out = np.full(CHUNK + WINDOW + 1, base, np.uint64)
+    out = np.full(CHUNK + BUNDLE + 2 * WINDOW, base, np.uint64)
     out[0] = 1
     return np.cumprod(out, dtype=np.uint64)
 
@@ -91,20 +93,59 @@ def anchors(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return low, at
 
 
-def chunks(words: list[bytes], hasher: Hasher) -> Iterator[tuple[int, np.ndarray]]:
-    """Parts of a document that together hold every window once, with the position of their first word."""
+Part = tuple[int, int, list[bytes]]  # doc_id, position of the first word, words
+
+
+def chunks(doc_id: int, words: list[bytes]) -> Iterator[Part]:
+    """Parts of a document that together hold every window once."""
     for start in range(0, len(words) - WINDOW + 1, CHUNK):
-        yield start, hasher.words.of(words[start : start + CHUNK + WINDOW - 1])
+        yield doc_id, start, words[start : start + CHUNK + WINDOW - 1]
 
 
-def blocks_of(doc_id: int, text: str | None, hasher: Hasher) -> Iterator[list[np.ndarray]]:
-    for offset, hashes in chunks(split(text), hasher):
-        low, at = anchors(hashes)
-        first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-        n = np.diff(np.append(first, len(at)))
-        sums = hasher.sums(hashes, 0)
-        block = mix(hasher.spans(sums, 0, first, first + n + WINDOW - 1) + n.astype(np.uint64))
-        yield [low[first].view(np.int64), block.view(np.int64), np.full(len(first), doc_id), (first + offset).astype(np.int32), n.astype(np.int32)]
+def bundles(parts: Iterable[Part]) -> Iterator[list[Part]]:
+    """Parts put together, so that arrays are long enough to work on."""
+    held, n = [], 0
+    for part in parts:
+        held.append(part)
+        n += len(part[2])
+        if n >= BUNDLE:
+            yield held
+            held, n = [], 0
+    if held:
+        yield held
+
+
+class Bundle:
+    """The words of some parts one after the other, and which windows lie in one part."""
+
+    def __init__(self, parts: list[Part], hasher: Hasher):
+        sizes = np.array([len(words) for _, _, words in parts])
+        self.at = np.cumsum(sizes) - sizes
+        self.docs = np.array([d for d, _, _ in parts])
+        self.offsets = np.array([o for _, o, _ in parts])
+        self.hashes = hasher.words.of(list(chain.from_iterable(words for _, _, words in parts)))
+        edge = np.zeros(len(self.hashes) + 1, np.int32)
+        edge[self.at] += 1
+        np.add.at(edge, self.at + sizes - WINDOW + 1, -1)
+        self.inside = np.cumsum(edge)[: len(self.hashes) - WINDOW + 1] > 0
+
+    def place(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Document and position of windows."""
+        part = np.searchsorted(self.at, windows, "right") - 1
+        return self.docs[part], (windows - self.at[part] + self.offsets[part]).astype(np.int32)
+
+
+def blocks_of(parts: list[Part], hasher: Hasher) -> list[np.ndarray]:
+    own = Bundle(parts, hasher)
+    low, at = anchors(own.hashes)
+    new = own.inside.copy()
+    new[1:] &= (at[1:] != at[:-1]) | ~own.inside[:-1]
+    first = np.flatnonzero(new)
+    before = np.cumsum(own.inside) - own.inside
+    n = np.diff(np.append(before[first], own.inside.sum()))
+    block = mix(hasher.spans(hasher.sums(own.hashes, 0), 0, first, first + n + WINDOW - 1) + n.astype(np.uint64))
+    doc, start = own.place(first)
+    return [low[first].view(np.int64), block.view(np.int64), doc, start, n.astype(np.int32)]
 
 
 def _arrow(parts: Iterator[list[np.ndarray]], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -121,7 +162,8 @@ def _arrow(parts: Iterator[list[np.ndarray]], schema: pa.Schema) -> Iterator[pa.
 
 def _blocks(batches):
     hasher = Hasher()
-    return _arrow((x for d, t in rows(batches, "doc_id", "text") for x in blocks_of(d, t, hasher)), BLOCKS)
+    parts = (p for d, t in rows(batches, "doc_id", "text") for p in chunks(d, split(t)))
+    return _arrow((blocks_of(b, hasher) for b in bundles(parts)), BLOCKS)
 
 
 def blocks(docs: DataFrame) -> DataFrame:
@@ -146,55 +188,69 @@ def repeated_blocks(docs: DataFrame) -> DataFrame:
 
 
 def marked_blocks(repeated: DataFrame) -> DataFrame:
-    """``doc_id, marks``: per document its repeated blocks as ``start, n, kind``; a start may be listed twice."""
+    """``doc_id, marks``: per document its repeated blocks, each as one number (``unpacked`` tells them apart)."""
     firsts = repeated.groupBy("anchor", "block").agg(F.min(F.struct("doc_id", "start", "n")).alias("first"))
     firsts = stage(firsts.select("anchor", "first.*"), "firsts")
     several = firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("contents")).where("contents > 1").select("anchor", F.lit(CHECK).alias("check"))
     kinds = firsts.join(several, "anchor", "left").select("doc_id", "start", "n", F.coalesce("check", F.lit(FIRST)).alias("kind"))
     every = repeated.select("doc_id", "start", "n", F.lit(COPY).alias("kind")).unionByName(kinds)
-    return every.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "kind")).alias("marks"))
+    mark = (F.col("start").cast("long") * 32 + F.col("n")) * 4 + F.col("kind")
+    return every.groupBy("doc_id").agg(F.collect_list(mark).alias("marks"))
+
 
+def unpacked(marks: list[int] | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, windows and kind of each block; one that is listed as a copy and as a first is a first."""
+    packed = np.sort(np.array(marks or (), np.int64))
+    start = packed >> 7
+    last = np.flatnonzero(np.append(start[1:] != start[:-1], True)) if len(packed) else packed
+    return start[last], packed[last] >> 2 & 31, packed[last] & 3
 
-def kinds_of(marks) -> dict[int, tuple[int, int]]:
-    """``start -> (kind, n)``; a block that is also listed as a first is that."""
-    out: dict[int, tuple[int, int]] = {}
-    for m in marks or ():
-        out[m["start"]] = max(out.get(m["start"], (COPY, 0)), (m["kind"], m["n"]))
-    return out
+
+def checked(marks: list[int] | None) -> tuple[np.ndarray, np.ndarray]:
+    """First and one past the last window of runs of blocks that need a check."""
+    start, n, kind = unpacked(marks)
+    start, end = start[kind == CHECK], (start + n)[kind == CHECK]
+    joins = start[1:] == end[:-1]
+    return start[np.append(True, ~joins)] if len(start) else start, end[np.append(~joins, True)] if len(start) else end
+
+
+def run_parts(doc_id: int, text: str | None, marks: list[int] | None) -> Iterator[Part]:
+    """The words under each run of windows that need a check."""
+    starts, ends = checked(marks)
+    if len(starts):
+        words = split(text)
+        for start, end in zip(starts.tolist(), ends.tolist()):
+            for d, offset, part in chunks(doc_id, words[start : end + WINDOW - 1]):
+                yield d, start + offset, part
 
 
-def windows_of(doc_id: int, text: str | None, marks, hasher: Hasher) -> Iterator[list[np.ndarray]]:
-    """Hashes of the windows of blocks that need a check."""
-    check = [(s, n) for s, (kind, n) in kinds_of(marks).items() if kind == CHECK]
-    if not check:
-        return
-    words = split(text)
-    for offset, hashes in chunks(words, hasher):
-        own = [(s - offset, n) for s, n in check if offset <= s < offset + CHUNK]
-        if own:
-            starts = np.concatenate([np.arange(s, s + n) for s, n in own])
-            out = [mix(hasher.spans(hasher.sums(hashes, k), k, starts, starts + WINDOW)).view(np.int64) for k in (0, 1)]
-            yield [*out, np.full(len(starts), doc_id), (starts + offset).astype(np.int32)]
+def windows_of(parts: list[Part], hasher: Hasher) -> list[np.ndarray]:
+    own = Bundle(parts, hasher)
+    at = np.flatnonzero(own.inside)
+    hashes = [mix(hasher.spans(hasher.sums(own.hashes, k), k, at, at + WINDOW)).view(np.int64) for k in (0, 1)]
+    return [*hashes, *own.place(at)]
 
 
 def _windows(batches):
     hasher = Hasher()
-    return _arrow((x for d, t, m in rows(batches, "_doc", "text", "marks") for x in windows_of(d, t, m, hasher)), WINDOWS)
+    parts = (p for d, t, m in rows(batches, "_doc", "text", "marks") for p in run_parts(d, t, m))
+    return _arrow((windows_of(b, hasher) for b in bundles(parts)), WINDOWS)
 
 
-def repeated_words(n_words: int, marks, first_windows) -> np.ndarray:
+def repeated_words(n_words: int, marks: list[int] | None, first_windows: list[int] | None) -> np.ndarray:
     """Which words are covered by a window that stands earlier too."""
     edge = np.zeros(n_words + 1, np.int32)
-    first_windows = set(first_windows or ())
-    for start, (kind, n) in kinds_of(marks).items():
-        if kind == COPY:
-            edge[start] += 1
-            edge[start + n + WINDOW - 1] -= 1
-        elif kind == CHECK:
-            for w in range(start, start + n):
-                if w not in first_windows:
-                    edge[w] += 1
-                    edge[w + WINDOW] -= 1
+    start, n, kind = unpacked(marks)
+    copies = kind == COPY
+    np.add.at(edge, start[copies], 1)
+    np.add.at(edge, start[copies] + n[copies] + WINDOW - 1, -1)
+    starts, ends = checked(marks)
+    if len(starts):
+        sizes = ends - starts
+        windows = np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+        windows = windows[~np.isin(windows, np.array(first_windows or (), np.int64))]
+        np.add.at(edge, windows, 1)
+        np.add.at(edge, windows + WINDOW, -1)
     return np.cumsum(edge[:-1]) > 0
 
 
@@ -216,7 +272,7 @@ def drop_repeated_passages(docs: DataFrame) -> DataFrame:
 
     def one(doc_id, text, marks, first_windows):
         words = split(text)
-        gone = repeated_words(len(words), marks, first_windows)
+        gone = repeated_words(len(words), marks, first_windows) if marks else np.zeros(1, bool)
         kept = [w for w, g in zip(words, gone.tolist()) if not g] if gone.any() else words
         return doc_id, len(words), len(words) - len(kept), b" ".join(kept).decode()
 
