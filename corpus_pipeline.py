@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import bpe, decontaminate, line_dedup, simhash, toxicity
+from tablewright.llm import bpe, decontaminate, line_dedup, near_copies, toxicity
 from tablewright.storage import stage
 
 
@@ -30,7 +30,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    gone = simhash.near_duplicates(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    gone = near_copies.near_copies(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone"))
     return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
 
 

@@ -143,51 +143,55 @@ class Links:
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], schema=LINKS)
 
 
-def _compare(first: np.ndarray, count: np.ndarray, homes: np.ndarray, fps, nodes, links: Links) -> Iterator[pa.RecordBatch]:
-    """Compare each home row with the rows of its anchor; rows ``first .. first + count`` belong to home ``homes``."""
+def pairs_of(homes: np.ndarray, first: np.ndarray, count: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of each home row with the rows ``first .. first + count`` of its cell, a bounded number at once."""
     ends = np.cumsum(count)
     at = 0
     while at < len(homes):
         to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PAIRS, "right")))
         for part in range(0, int(count[at]) if to == at + 1 else 1, PAIRS):
             n = np.minimum(count[at:to] - part, PAIRS) if to == at + 1 else count[at:to]
-            left = np.repeat(homes[at:to], n)
-            within = np.arange(len(left)) - np.repeat(np.cumsum(n) - n, n)
-            right = np.repeat(first[at:to] + part, n) + within
-            near = np.bitwise_count(fps[left] ^ fps[right]) <= THRESHOLD
-            a, b = nodes[left[near]], nodes[right[near]]
-            links.add(a[a != b], b[a != b])
-            if links.n >= PAIRS:
-                yield from links.reduced()
+            within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            yield np.repeat(homes[at:to], n), np.repeat(first[at:to] + part, n) + within
         at = to
 
 
-def _links_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by anchor and cell; an anchor that reaches over batches is carried on."""
-    links, held = Links(), []
+def cells(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[tuple[dict[str, np.ndarray], Iterator]]:
+    """Whole cells of a sorted grid, with the pairs to compare; a cell that reaches over batches is carried on."""
+    names = ["anchor", "h", "v", "home", *columns]
+    held: list[np.ndarray] = []
 
-    def whole(columns, last):
-        anchor, h, v, home, fp, node = columns
+    def whole(rows: list[np.ndarray], last: bool):
+        anchor, h, v, home = rows[:4]
         new = np.flatnonzero((anchor[1:] != anchor[:-1]) | (h[1:] != h[:-1]) | (v[1:] != v[:-1])) + 1
         starts = np.concatenate([[0], new])
+        sizes = np.diff(np.append(starts, len(anchor)))
         cut = len(anchor) if last else int(starts[-1])
-        if cut:
-            run = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(anchor))))
-            sizes = np.diff(np.append(starts, len(anchor)))
-            homes = np.flatnonzero(home[:cut])
-            yield from _compare(starts[run[homes]], sizes[run[homes]], homes, fp, node, links)
-        held.clear()
-        held.append([c[cut:] for c in columns])
+        homes = np.flatnonzero(home[:cut])
+        cell = np.searchsorted(starts, homes, "right") - 1
+        return [c[cut:] for c in rows], (dict(zip(names, rows)), pairs_of(homes, starts[cell], sizes[cell]))
 
     for batch in batches:
-        columns = [batch.column(n).to_numpy(zero_copy_only=False) for n in ("anchor", "h", "v", "home", "fp", "node")]
-        columns[4] = columns[4].view(np.uint64)
+        rows_ = [batch.column(n).to_numpy(zero_copy_only=False) for n in names]
         if held:
-            columns = [np.concatenate(pair) for pair in zip(held[0], columns)]
-        if len(columns[0]):
-            yield from whole(columns, False)
-    if held and len(held[0][0]):
-        yield from whole(held[0], True)
+            rows_ = [np.concatenate(pair) for pair in zip(held, rows_)]
+        if len(rows_[0]):
+            held, found = whole(rows_, False)
+            yield found
+    if held and len(held[0]):
+        yield whole(held, True)[1]
+
+
+def _links_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    links = Links()
+    for rows_, pairs in cells(batches, ["fp", "node"]):
+        fps, nodes = rows_["fp"].view(np.uint64), rows_["node"]
+        for left, right in pairs:
+            near = np.bitwise_count(fps[left] ^ fps[right]) <= THRESHOLD
+            a, b = nodes[left[near]], nodes[right[near]]
+            links.add(a[a != b], b[a != b])
+            if links.n >= PAIRS:
+                yield from links.reduced()
     yield from links.reduced()
 
 
@@ -202,16 +206,24 @@ def links(distinct: DataFrame) -> DataFrame:
                 yield from visits(part.column("fp").to_numpy().view(np.uint64), part.column("node").to_numpy(), tables)
 
     copied = distinct.select("fp", "node").mapInArrow(copies, "anchor long, home boolean, fp long, node long")
+    return in_grid(copied, ["fp", "node"]).mapInArrow(_links_of, "a long, b long")
+
+
+def in_grid(copied: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows ``anchor, h, v, home, ...`` dealt out so that every home meets every row of its anchor in one cell.
+
+    An anchor with many homes is a grid of cells. A home row is in its row of the grid, for all columns; every row is,
+    as a guest, in its column, for all rows. A task gets its cells one after the other.
+    """
     large = copied.where("home").groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > GRID)
     large = pin_small(large.select("anchor", F.ceil(F.col("n") / GRID).cast("int").alias("k")))
     dealt = copied.join(large, "anchor", "left").withColumn("k", F.coalesce("k", F.lit(1)))
-    cell = F.pmod(F.xxhash64("fp"), F.col("k")).cast("int")
+    cell = F.pmod(F.xxhash64("node"), F.col("k")).cast("int")
     every = F.sequence(F.lit(0), F.col("k") - 1)
-    # A home row is in its row of the grid, for all columns; any row is in its column, for all rows.
-    as_home = dealt.where("home").select("anchor", F.lit(True).alias("home"), "fp", "node", cell.alias("h"), F.explode(every).alias("v"))
-    as_guest = dealt.select("anchor", F.lit(False).alias("home"), "fp", "node", cell.alias("v"), F.explode(every).alias("h"))
+    as_home = dealt.where("home").select("anchor", F.lit(True).alias("home"), *columns, cell.alias("h"), F.explode(every).alias("v"))
+    as_guest = dealt.select("anchor", F.lit(False).alias("home"), *columns, cell.alias("v"), F.explode(every).alias("h"))
     grid = as_home.unionByName(as_guest).repartition("anchor", "h", "v").sortWithinPartitions("anchor", "h", "v")
-    return grid.select("anchor", "h", "v", "home", "fp", "node").mapInArrow(_links_of, "a long, b long")
+    return grid.select("anchor", "h", "v", "home", *columns)
 
 
 def near_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:

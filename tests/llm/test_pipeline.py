@@ -7,7 +7,7 @@ import pyarrow.parquet as pq
 from test_decontaminate import brute as brute_leaks
 from test_decontaminate import grams
 from test_line_dedup import brute as brute_lines
-from test_simhash import brute_classes, brute_fingerprint
+from test_near_copies import brute_classes
 from tokenizers import Tokenizer
 
 from tablewright.llm.hashed import Grams
@@ -43,7 +43,7 @@ def expected(spark, before, path, name):
     if name == "line_dedup":
         return order((d, text) for d, _, _, text in brute_lines(rows))
     if name == "near_duplicates":
-        classes = brute_classes([(d, brute_fingerprint(t, 5)) for d, t in rows])
+        classes = brute_classes(rows)
         return [r for r in rows if r[0] is None or classes[r[0]] == r[0]]
     items = [tuple(r.values()) for r in pq.read_table(f"{path}/benchmark.parquet").to_pylist()]
     shared = {g for _, t in items for g in grams(t)}
