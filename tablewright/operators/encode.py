@@ -97,16 +97,22 @@ def one_hot(column: str, levels: Sequence[str]) -> list[Column]:
     ]
 
 
+def spread_key(df: DataFrame, column: str) -> Column:
+    """The text of a column as a join key. Null rows, which match nothing, get a key of their own each, so that they
+    are dealt out over the shuffle; a hot level is split by adaptive execution, as the other side has one row for it."""
+    own = F.concat(F.lit("\u0001"), F.monotonically_increasing_id().cast("string"))
+    return F.coalesce(col(column).cast("string"), own)
+
+
 def sparse_one_hot(df: DataFrame, column: str, name: str) -> DataFrame:
     """Add ``name``, a sparse row ``(size, indices, values)`` with a one at the place of the level.
 
     For any number of levels: places come from a join, and no row is as long as the list of levels. Null has no
-    index. Null rows are spread over the shuffle of the join.
+    index.
     """
     codes = stage(dense_codes(df, column), "codes")
     size = codes.count()
-    key = F.coalesce(col(column).cast("string"), F.concat(F.lit("\u0001"), F.xxhash64(*[col(c) for c in df.columns]).cast("string")))
-    joined = df.withColumn("__level", key).join(codes.withColumnsRenamed({"level": "__level", "code": "__code"}), "__level", "left")
+    joined = df.withColumn("__level", spread_key(df, column)).join(codes.withColumnsRenamed({"level": "__level", "code": "__code"}), "__level", "left")
     there = F.col("__code").isNotNull() & col(column).isNotNull()
     indices = F.when(there, F.array("__code")).otherwise(F.array().cast("array<bigint>"))
     values = F.transform(indices, lambda _: F.lit(1.0))
@@ -185,7 +191,7 @@ def label_encode(df: DataFrame, columns: Sequence[str], max_levels: int = MAX_LE
     out = df.withColumns(coded) if coded else df
     for c in [c for c in columns if c not in coded]:
         codes = pin_small(dense_codes(df, c)).withColumnsRenamed({"level": "__level", "code": c})
-        joined = out.withColumn("__level", col(c).cast("string")).drop(c).join(codes, "__level", "left")
+        joined = out.withColumn("__level", spread_key(out, c)).drop(c).join(codes, "__level", "left")
         out = joined.select(*[col(x) for x in df.columns])
     return out
 
@@ -217,9 +223,12 @@ def target_encode(
     if not priors:
         return df.withColumn(name, F.lit(None).cast("double"))
     prior = F.element_at(F.create_map(*[F.lit(x) for kv in priors.items() for x in kv]), col(fold))
-    own = pin_small(sums.select(F.col("level").alias(column), F.col("f").alias(fold), "s", "n"))
-    all_folds = pin_small(levels.withColumnRenamed("level", column))
-    joined = df.join(all_folds, column, "left").join(own, [column, fold], "left")
+    text = F.col("level").cast("string").alias("__level")
+    known_levels = F.col("level").isNotNull()
+    own = pin_small(sums.where(known_levels).select(text, F.col("f").alias(fold), "s", "n"))
+    all_folds = pin_small(levels.where(known_levels).select(text, "level_s", "level_n"))
+    keyed = df.withColumn("__level", spread_key(df, column))
+    joined = keyed.join(all_folds, "__level", "left").join(own, ["__level", fold], "left")
     rest_s = F.coalesce("level_s", F.lit(0.0)) - F.coalesce("s", F.lit(0.0))
     rest_n = F.coalesce("level_n", F.lit(0)) - F.coalesce("n", F.lit(0))
     value = (rest_s + F.lit(smoothing) * prior) / (rest_n + F.lit(smoothing))
@@ -306,10 +315,11 @@ def target_encode_pair(
         out_train = stage(blind.drop(c).withColumnRenamed(name, c).select(*[col(x) for x in train.columns]), "encoded")
         if c in test.columns:
             known = train.filter(col(target).isNotNull())
-            sums = known.groupBy(col(c)).agg(F.sum(target).alias("__s"), F.count(F.lit(1)).alias("__n"))
+            sums = known.where(col(c).isNotNull()).groupBy(col(c).cast("string").alias("__level")).agg(F.sum(target).alias("__s"), F.count(F.lit(1)).alias("__n"))
             rest = F.coalesce("__s", F.lit(0.0)) + F.lit(smoothing * overall)
             value = rest / (F.coalesce("__n", F.lit(0)) + F.lit(smoothing))
-            scored = out_test.join(pin_small(sums), c, "left").withColumn(name, value).drop(c, "__s", "__n")
+            keyed = out_test.withColumn("__level", spread_key(out_test, c))
+            scored = keyed.join(pin_small(sums), "__level", "left").withColumn(name, value).drop(c, "__level", "__s", "__n")
             out_test = scored.withColumnRenamed(name, c).select(*[col(x) for x in test.columns])
     return out_train, out_test
 

@@ -13,10 +13,18 @@ from ..storage import stage
 from .frequency import counts_of, cut_points, positions, with_ranges
 from .missing import missing_columns
 
-#: A value is hot when it holds more than one in this many rows of its group, so a group has fewer hot values than this.
+#: Least value of ``hot_share``.
 HOT_SHARE = 64
 
 
+def hot_share(df: DataFrame) -> int:
+    """A value is hot when it holds more than one in this many rows of its group, so a group has fewer hot values than this.
+
+    It follows the number of shuffle partitions: what is not hot fills half a partition at most.
+    """
+    return max(HOT_SHARE, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def rank_table(pairs: DataFrame) -> DataFrame:
     """``(feature, side, value, rank, hot)``: average rank of every distinct value of both sides.
 
@@ -30,7 +38,7 @@ def rank_table(pairs: DataFrame) -> DataFrame:
         "side",
         "value",
         (F.col("before") + (F.col("n") + 1) / 2.0).alias("rank"),
-        (F.col("n") * HOT_SHARE > F.col("total")).alias("hot"),
+        (F.col("n") * hot_share(pairs) > F.col("total")).alias("hot"),
     )
     return stage(ranked, "ranks")
 
@@ -38,7 +46,7 @@ def rank_table(pairs: DataFrame) -> DataFrame:
 def attach_average_ranks(pairs: DataFrame, ranked: DataFrame, side: str, feature: str, name: str) -> DataFrame:
     """Add the average rank of one side.
 
-    Hot values, fewer than ``HOT_SHARE`` per feature by their definition, are broadcast; their
+    Hot values, fewer than ``hot_share`` per feature by their definition, are broadcast; their
     rows are then spread over the shuffle of the others, where they match nothing, so that no
     task gets all rows of a hot value.
     """

@@ -758,6 +758,19 @@ def target_encoded() -> str:
 # ---------------------------------------------------------------- splits, linear models, residuals
 
 
+def target_encoded_large() -> str:
+    """A level for each customer, one of them on a third of the rows, null on a fifth."""
+    rows = f"""rows AS (SELECT o_orderkey AS id, {hashed('o_orderkey')} % 5 AS fold, o_totalprice AS y,
+        CASE WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderkey % 3 = 0 THEN 'hot' ELSE CAST(o_custkey AS VARCHAR) END AS level FROM orders),
+    priors AS (SELECT f.fold, (t.s - f.s) / (t.n - f.n) AS prior FROM (SELECT fold, sum(y) AS s, count(*) AS n FROM rows GROUP BY 1) f,
+        (SELECT sum(y) AS s, count(*) AS n FROM rows) t),
+    levels AS (SELECT level, sum(y) AS s, count(*) AS n FROM rows GROUP BY 1),
+    own AS (SELECT level, fold, sum(y) AS s, count(*) AS n FROM rows GROUP BY 1, 2)"""
+    return f"""WITH {rows} SELECT r.id, r.fold,
+        (coalesce(l.s, 0) - coalesce(o.s, 0) + 10 * p.prior) / (coalesce(l.n, 0) - coalesce(o.n, 0) + 10) AS encoded
+        FROM rows r JOIN priors p ON r.fold = p.fold LEFT JOIN levels l ON r.level = l.level LEFT JOIN own o ON r.level = o.level AND r.fold = o.fold"""
+
+
 def hash_split() -> str:
     return sql(f"SELECT id, CASE WHEN {hashed()} % 100 < 20 THEN 1 ELSE 0 END AS is_valid FROM base")
 

@@ -567,6 +567,15 @@ def _(spark, folder):
     return encode.target_encode(rows, "n_name", TARGET, "fold", "encoded")
 
 
+@query("target_encoded_large", "id:l fold:l encoded:d", O.target_encoded_large(), digits=8)
+def _(spark, folder):
+    """A level for each customer, one of them on a third of the rows, null on a fifth."""
+    key = F.col("o_orderkey")
+    level = F.when(key % 5 == 0, None).when(key % 3 == 0, "hot").otherwise(F.col("o_custkey").cast("string"))
+    rows = table(spark, folder, "orders").select(key.alias("id"), level.alias("level"), "o_totalprice")
+    return encode.target_encode(split.with_fold(rows, "id"), "level", "o_totalprice", "fold", "encoded")
+
+
 # ---------------------------------------------------------------- splits, linear models, residuals
 
 
