@@ -5,8 +5,8 @@ many for the anchors of one 64-bit fingerprint. Their words differ in 2 % only.
 128-bit SimHash over the distinct words of a text, six blocks as in ``simhash``: pairs within 11 bits meet
 for certain, pairs at a similarity of exactly 0.8 (10.7 bits on average) at 97 %, more similar ones nearly always.
 Where they meet, a second 128-bit SimHash over the shingles says how near they are. Of the links within
-``REACH`` bits a task keeps four spanning forests with the shortest links, and what is kept is verified by the exact Jaccard
-index of the sets of shingles. The number of links so stays in proportion to that of the texts, however large a group of
+``REACH`` bits a task keeps spanning forests with the shortest links, and what is kept is verified by the exact Jaccard
+index of the sets of shingles. Further rounds look for links between the classes that hang together then. The number of links so stays in proportion to that of the texts, however large a group of
 copies is.
 
 Defined cases: blank and null texts are equal; texts of fewer than five words are one shingle; rows without doc_id
@@ -26,20 +26,21 @@ from pyspark.sql import functions as F
 from ..storage import stage
 from .components import components
 from .simhash import BLOCKS, PAIRS, cells, code_tables, forest, in_grid, visits
-from .words import record_batches, rows
+from .words import mix, record_batches, rows
 
 SHINGLE = 5
 SIMILARITY = 0.8
 #: Differing bits, of 128, of the shingle fingerprints of two texts that are verified. Texts alike to 0.8 differ in 19
 #: on average, with a deviation of 4; other texts in 64, with a deviation of 6.
 REACH = 34
-#: Spanning forests that a task keeps, each of the shortest links that the ones before have left. Lengths are
-#: estimates, so a link that fails the exact test needs others beside it. On groups of edited copies one forest finds
-#: 91 % of what all pairs do, two find 99 %, three all.
-FORESTS = 4
+#: Spanning forests that a task keeps in a round, each of the shortest links that those before have left, and rounds.
+FORESTS = 2
+ROUNDS = 4
+#: Bits by which the lengths of links vary from the second round on, so that links other than those that failed are kept.
+BLUR = 12
 PRINTS = ["w0", "w1", "s0", "s1"]
 PRINTED = pa.schema([("doc_id", pa.int64()), *[(p, pa.int64()) for p in PRINTS]])
-VISITED = pa.schema([("anchor", pa.int64()), ("home", pa.bool_()), ("s0", pa.int64()), ("s1", pa.int64()), ("node", pa.int64())])
+VISITED = pa.schema([("anchor", pa.int64()), ("home", pa.bool_()), ("s0", pa.int64()), ("s1", pa.int64()), ("node", pa.int64()), ("label", pa.int64())])
 LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 SETS = pa.schema([("node", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 
@@ -99,56 +100,58 @@ def shortest(a: np.ndarray, b: np.ndarray, length: np.ndarray) -> np.ndarray:
         root = to[root]
 
 
-def _links_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+def _links_of(batches: Iterator[pa.RecordBatch], turn: int) -> Iterator[pa.RecordBatch]:
+    held: list[tuple[np.ndarray, ...]] = []
     n = 0
 
     def reduced() -> Iterator[pa.RecordBatch]:
         if held:
-            a, b, length = (np.concatenate(c) for c in zip(*held))
+            a, b, x, y, length = (np.concatenate(c) for c in zip(*held))
             held.clear()
             nodes, both = np.unique(np.concatenate([a, b]), return_inverse=True)
-            x, y = both[: len(a)], both[len(a) :]
-            _, once = np.unique(np.minimum(x, y) * len(nodes) + np.maximum(x, y), return_index=True)  # a pair may meet often
-            a, b, length = a[once], b[once], length[once]
+            low, high = np.minimum(both[: len(a)], both[len(a) :]), np.maximum(both[: len(a)], both[len(a) :])
+            _, left = np.unique(low * len(nodes) + high, return_index=True)  # a pair may meet often
+            if turn:
+                length = length + (mix((a ^ b).view(np.uint64) + np.uint64(turn)) % np.uint64(BLUR)).astype(np.int64)
             for _ in range(FORESTS):
-                kept = shortest(a, b, length)
-                yield pa.RecordBatch.from_arrays([pa.array(a[kept]), pa.array(b[kept])], schema=LINKS)
-                a, b, length = (np.delete(c, kept) for c in (a, b, length))
+                kept = shortest(x[left], y[left], length[left])
+                yield pa.RecordBatch.from_arrays([pa.array(a[left[kept]]), pa.array(b[left[kept]])], schema=LINKS)
+                left = np.delete(left, kept)
 
-    for found, pairs in cells(batches, ["s0", "s1", "node"]):
-        s0, s1, nodes = found["s0"].view(np.uint64), found["s1"].view(np.uint64), found["node"]
+    for found, pairs in cells(batches, ["s0", "s1", "node", "label"]):
+        s0, s1, nodes, labels = found["s0"].view(np.uint64), found["s1"].view(np.uint64), found["node"], found["label"]
         for left, right in pairs:
-            a, b = nodes[left], nodes[right]
-            length = np.bitwise_count(s0[left] ^ s0[right]) + np.bitwise_count(s1[left] ^ s1[right])
-            near = (length <= REACH) & (a != b)
+            length = np.bitwise_count(s0[left] ^ s0[right]).astype(np.int64) + np.bitwise_count(s1[left] ^ s1[right])
+            near = (length <= REACH) & (labels[left] != labels[right])
             if near.any():
-                held.append((a[near], b[near], length[near]))
-                n += int(near.sum())
+                left, right = left[near], right[near]
+                held.append((nodes[left], nodes[right], labels[left], labels[right], length[near]))
+                n += len(left)
             if n >= PAIRS:
                 yield from reduced()
                 n = 0
     yield from reduced()
 
 
-def links(distinct: DataFrame) -> DataFrame:
-    """Links to verify, ``a, b``, between the nodes of a table of distinct fingerprints."""
+def links(distinct: DataFrame, turn: int = 0) -> DataFrame:
+    """Links to verify, ``a, b``, between nodes of different labels, from a table of distinct fingerprints with ``node, label``."""
 
     def copies(batches):
         tables = code_tables()
         for batch in batches:
             for at in range(0, batch.num_rows, 8192):
                 part = batch.slice(at, 8192)
-                s0, s1, node = (part.column(c).to_numpy() for c in ("s0", "s1", "node"))
+                s0, s1, node, label = (part.column(c).to_numpy() for c in ("s0", "s1", "node", "label"))
                 for half, name in enumerate(("w0", "w1")):
                     for out in visits(part.column(name).to_numpy().view(np.uint64), np.arange(part.num_rows), tables):
                         who = out.column("node").to_numpy()
                         anchor = out.column("anchor").to_numpy() + (half * len(BLOCKS) << 32)
-                        columns = [pa.array(anchor), out.column("home"), pa.array(s0[who]), pa.array(s1[who]), pa.array(node[who])]
+                        columns = [pa.array(anchor), out.column("home"), *[pa.array(c[who]) for c in (s0, s1, node, label)]]
                         yield pa.RecordBatch.from_arrays(columns, schema=VISITED)
 
-    copied = distinct.select(*PRINTS, "node").mapInArrow(copies, "anchor long, home boolean, s0 long, s1 long, node long")
-    return in_grid(copied, ["s0", "s1", "node"]).mapInArrow(_links_of, "a long, b long")
+    ddl = "anchor long, home boolean, s0 long, s1 long, node long, label long"
+    copied = distinct.select(*PRINTS, "node", "label").mapInArrow(copies, ddl)
+    return in_grid(copied, ["s0", "s1", "node", "label"]).mapInArrow(lambda batches: _links_of(batches, turn), "a long, b long")
 
 
 def verified(docs: DataFrame, found: DataFrame, least: float) -> DataFrame:
@@ -174,12 +177,22 @@ def verified(docs: DataFrame, found: DataFrame, least: float) -> DataFrame:
 
 
 def near_copies(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """``doc_id, component_id`` of each doc_id: the smallest one that links of near copies lead to."""
+    """``doc_id, component_id`` of each doc_id: the smallest one that links of near copies lead to.
+
+    Each round looks for links between the classes found so far, so it keeps few of them.
+    """
     found = stage(fingerprints(docs).where("doc_id IS NOT NULL"), "fingerprints")
     distinct = stage(found.groupBy(*PRINTS).agg(F.min("doc_id").alias("node")), "distinct")
     named = found.join(distinct, PRINTS).select("doc_id", "node").distinct()
-    same = named.where("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    classes = components(verified(docs, links(distinct), least).unionByName(same))
+    edges = named.where("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
+    labelled = distinct.withColumn("label", F.col("node"))
+    for turn in range(ROUNDS):
+        more = stage(verified(docs, links(labelled, turn), least), "verified")
+        if turn and more.isEmpty():
+            break
+        edges = edges.unionByName(more)
+        classes = stage(components(edges), "classes")
+        labelled = distinct.join(classes, "node", "left").select(*PRINTS, "node", F.coalesce("component", "node").alias("label"))
     return found.select("doc_id").distinct().join(classes.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
         "doc_id", F.coalesce("component", "doc_id").alias("component_id")
     )

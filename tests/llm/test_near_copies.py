@@ -73,7 +73,7 @@ def test_one_large_group_in_a_grid(docs, monkeypatch):
 def test_links_stay_few(docs, spark):
     rows = copies(3, groups=2, share=0.01, most=300)
     prints = [(d, *print_of(set(words_of(t))).tolist(), *print_of(shingles(words_of(t))).tolist()) for d, t in rows]
-    df = spark.createDataFrame(prints, "node long, w0 long, w1 long, s0 long, s1 long").dropDuplicates(["w0", "w1", "s0", "s1"])
+    df = spark.createDataFrame(prints, "node long, w0 long, w1 long, s0 long, s1 long").dropDuplicates(["w0", "w1", "s0", "s1"]).selectExpr("*", "node AS label")
     # All pairs would be some hundred for each text.
     assert links(df).distinct().count() <= 20 * df.count()
 
