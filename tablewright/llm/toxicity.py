@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from .fitting import digest, fit, labelled_sample, remainder, scores
 from .hashed import Grams, Model
 
-SAMPLE_ROWS = 6_000
+SAMPLE_ROWS = 12_000
 #: Documents with this remainder of crc32 are kept out of the fit.
 FOLDS, HELD_OUT = 4, 2
 #: Texts with at least this score are rejected.
@@ -67,7 +67,7 @@ def counterfactuals(text: str) -> Iterator[str]:
 def toxicity_model(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, balance: float = BALANCE) -> Model:
     usable = remainder(FOLDS) != HELD_OUT
     sample = labelled_sample(docs, labels, "toxic", usable, sample_rows)
-    return fit(sample, False, counterfactuals, normed=False, l1=6.0, alpha=0.2, balance=balance)
+    return fit(sample, False, counterfactuals, normed=False, l1=10.0, alpha=0.4, balance=balance)
 
 
 def toxicity_scores(docs: DataFrame, model: Model) -> DataFrame:
