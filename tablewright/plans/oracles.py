@@ -758,6 +758,29 @@ def target_encoded() -> str:
 # ---------------------------------------------------------------- splits, linear models, residuals
 
 
+STUMP = ["n_lines", "has_return", "o_month"]
+
+
+def _stump() -> tuple[str, ...]:
+    """The split of one feature at one value with the least squared error, by sums on both of its sides."""
+    rows = "rows AS MATERIALIZED (SELECT id, n_lines, has_return, o_month, o_year, ln(1 + sum_price) AS y FROM base WHERE sum_price IS NOT NULL AND n_lines IS NOT NULL)"
+    sums = UNION.join(f"SELECT '{c}' AS feature, {c} AS v, sum(y) AS s, count(*) AS n FROM rows WHERE o_year < 2000 GROUP BY 2" for c in STUMP)
+    upto = f"""upto AS (SELECT feature, v, sum(s) OVER w AS ls, sum(n) OVER w AS ln, sum(s) OVER (PARTITION BY feature) AS ts, sum(n) OVER (PARTITION BY feature) AS tn
+        FROM ({sums}) x WINDOW w AS (PARTITION BY feature ORDER BY v))"""
+    best = """best AS MATERIALIZED (SELECT feature, v, ls / ln AS low, (ts - ls) / (tn - ln) AS high FROM upto WHERE tn > ln
+        ORDER BY ls * ls / ln + (ts - ls) * (ts - ls) / (tn - ln) DESC LIMIT 1)"""
+    return rows, upto, best
+
+
+def stump_scored() -> str:
+    chosen = "CASE feature " + " ".join(f"WHEN '{c}' THEN {c}" for c in STUMP) + " END"
+    return sql(f"SELECT id, exp(CASE WHEN {chosen} <= v THEN low ELSE high END) - 1 AS prediction FROM rows CROSS JOIN best WHERE o_year >= 2000", *_stump())
+
+
+def stump_importance() -> str:
+    return sql(UNION.join(f"SELECT '{c}' AS feature, CAST(feature = '{c}' AS DOUBLE) * 100 AS importance FROM best" for c in STUMP), *_stump())
+
+
 def target_encoded_large() -> str:
     """A level for each customer, one of them on a third of the rows, null on a fifth."""
     rows = f"""rows AS (SELECT o_orderkey AS id, {hashed('o_orderkey')} % 5 AS fold, o_totalprice AS y,

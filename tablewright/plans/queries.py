@@ -782,6 +782,30 @@ def _(spark, folder):
     return sinks.scored(trees.predict(final, test), KEY, "prediction")
 
 
+#: One round of one split: small enough to be told in SQL.
+STUMP = trees.TreeSpec("boost", 1, 1, 1.0)
+STUMP_FEATURES = ["n_lines", "has_return", "o_month"]
+
+
+def _stump(spark, folder):
+    rows = catalog.complete_rows(base(spark, folder), [TARGET, *STUMP_FEATURES]).withColumn("y", F.log1p(TARGET))
+    train = rows.filter("o_year < 2000")
+    return rows, train, trees.fit_trees(train, STUMP_FEATURES, "y", STUMP)
+
+
+@query("stump_scored", "id:l prediction:d", O.stump_scored())
+def _(spark, folder):
+    """Fit on the train rows, score the test rows on the original scale."""
+    rows, _, model = _stump(spark, folder)
+    return sinks.scored(trees.predict(model, rows.filter("o_year >= 2000").drop("y")), KEY, "prediction")
+
+
+@query("stump_importance", "feature:s importance:d", O.stump_importance())
+def _(spark, folder):
+    _, train, model = _stump(spark, folder)
+    return trees.feature_importance(model, train, STUMP_FEATURES)
+
+
 MEMBERS = {
     "ridge": linear.LINEAR_MODELS["Ridge"],
     "wide": trees.TreeSpec("boost", 5, 5, 0.5),
