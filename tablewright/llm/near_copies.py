@@ -4,7 +4,7 @@ Texts whose five-word shingles are alike to 0.8 differ in some 15 % of the bits
 many for the anchors of one 64-bit fingerprint. Their words differ in 2 % only. So anchors are those of a
 128-bit SimHash over the distinct words of a text, six blocks as in ``simhash``: pairs within 11 bits meet
 for certain, pairs at a similarity of exactly 0.8 (10.7 bits on average) at 97 %, more similar ones nearly always.
-Where they meet, a second 128-bit SimHash over the shingles says how near they are. Of the links within
+Where they meet, a second 128-bit SimHash over the set of shingles says how near they are. Of the links within
 ``REACH`` bits a task keeps spanning forests with the shortest links, and what is kept is verified by the exact Jaccard
 index of the sets of shingles. Further rounds look for links between the classes that hang together then. The number of links so stays in proportion to that of the texts, however large a group of
 copies is.
@@ -39,7 +39,9 @@ ROUNDS = 4
 #: Bits by which the lengths of links vary from the second round on, so that links other than those that failed are kept.
 BLUR = 12
 PRINTS = ["w0", "w1", "s0", "s1"]
-PRINTED = pa.schema([("doc_id", pa.int64()), *[(p, pa.int64()) for p in PRINTS]])
+#: Of the set of shingles: texts with the same are copies.
+DIGEST = ["d0", "d1"]
+PRINTED = pa.schema([("doc_id", pa.int64()), *[(p, pa.int64()) for p in DIGEST + PRINTS]])
 VISITED = pa.schema([("anchor", pa.int64()), ("home", pa.bool_()), ("s0", pa.int64()), ("s1", pa.int64()), ("node", pa.int64()), ("label", pa.int64())])
 LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 SETS = pa.schema([("node", pa.int64()), ("shingles", pa.list_(pa.int64()))])
@@ -64,17 +66,27 @@ def print_of(features: Iterable[bytes]) -> np.ndarray:
     return np.packbits(2 * counts > len(features)).view(np.int64)
 
 
+def hashes_of(features: Iterable[bytes]) -> np.ndarray:
+    """The set of the features, as sorted hashes."""
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, features), np.uint64))
+
+
+def digest_of(hashes: np.ndarray) -> list[int]:
+    return np.frombuffer(xxhash.xxh3_128_digest(hashes.tobytes()), np.int64).tolist()
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and the fingerprints of the words and of the shingles of every row."""
+    """``doc_id``, the digest of the set of shingles and the fingerprints of the sets of words and of shingles of every row."""
 
     def one(doc_id, text):
         words = words_of(text)
-        return doc_id, *print_of(set(words)).tolist(), *print_of(shingles(words)).tolist()
+        parts = set(shingles(words))
+        return doc_id, *digest_of(hashes_of(parts)), *print_of(set(words)).tolist(), *print_of(parts).tolist()
 
     def run(batches):
         return record_batches((one(*r) for r in rows(batches, "doc_id", "text")), PRINTED)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, " + ", ".join(f"{p} long" for p in PRINTS))
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, " + ", ".join(f"{p} long" for p in DIGEST + PRINTS))
 
 
 def shortest(a: np.ndarray, b: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -182,8 +194,8 @@ def near_copies(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     Each round looks for links between the classes found so far, so it keeps few of them.
     """
     found = stage(fingerprints(docs).where("doc_id IS NOT NULL"), "fingerprints")
-    distinct = stage(found.groupBy(*PRINTS).agg(F.min("doc_id").alias("node")), "distinct")
-    named = found.join(distinct, PRINTS).select("doc_id", "node").distinct()
+    distinct = stage(found.groupBy(*DIGEST, *PRINTS).agg(F.min("doc_id").alias("node")), "distinct")
+    named = found.join(distinct, DIGEST).select("doc_id", "node").distinct()
     edges = named.where("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
     labelled = distinct.withColumn("label", F.col("node"))
     for turn in range(ROUNDS):

@@ -108,3 +108,18 @@ def test_edge_cases(docs, edges):
 def test_small_tables(docs, sample):
     rows = [(r["doc_id"], r["text"]) for r in sample]
     assert classes(docs(rows)) == brute_classes(rows)
+
+
+def test_repeated_lines_count_once(docs):
+    """Texts with the same set of shingles are copies, however often a line is repeated."""
+    r = random.Random(7)
+    line = " ".join(f"l{i}" for i in range(9))
+    prose = " ".join(f"w{r.randrange(5000)}" for _ in range(500))
+    assert classes(docs([(1, f"{prose} " + f"{line} " * 200), (2, f"{prose} " + f"{line} " * 5)])) == {1: 1, 2: 1}
+
+
+def test_filler_hides_no_difference(docs):
+    """Texts that differ in all but a repeated word aren't copies."""
+    words = [f"w{i}" for i in range(30)]
+    filler = "filler " * 300
+    assert classes(docs([(1, filler + " ".join(words)), (2, filler + " ".join(words[::-1]))])) == {1: 1, 2: 2}
