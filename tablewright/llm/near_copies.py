@@ -1,13 +1,16 @@
-"""Near copies by five-word similarity, with SimHash and anchors for finding them.
+"""Near copies by five-word similarity, with MinHash bands for finding them.
 
-Texts whose five-word shingles are alike to 0.8 differ in some 15 % of the bits of a SimHash over those shingles, too
-many for the anchors of one 64-bit fingerprint. Their words differ in 2 % only. So anchors are those of a
-128-bit SimHash over the distinct words of a text, six blocks as in ``simhash``: pairs within 11 bits meet
-for certain, pairs at a similarity of exactly 0.8 (10.7 bits on average) at 97 %, more similar ones nearly always.
-Where they meet, a second 128-bit SimHash over the set of shingles says how near they are. Of the links within
-``REACH`` bits a task keeps spanning forests with the shortest links, and what is kept is verified by the exact Jaccard
-index of the sets of shingles. Further rounds look for links between the classes that hang together then. The number of links so stays in proportion to that of the texts, however large a group of
-copies is.
+Two texts are near copies if the Jaccard index of their sets of five-word shingles is 0.8 or more; it is taken exactly,
+from the sets. What may be alike is found by MinHash: in each of ``BANDS`` bands of ``ROWS`` hashes, texts with the same values
+meet, with a chance of 0.8^5 at a similarity of 0.8. That all bands miss a pair has a chance of 3 in a million there and less above, for texts of
+any length, as it depends on the similarity of the sets alone.
+
+A first round joins most copies cheaply: anchors of a 128-bit SimHash over the distinct words of a text, six blocks as in
+``simhash``. Where texts meet, a second 128-bit SimHash over the set of shingles says how near they are; of the links within
+``REACH`` bits a task keeps spanning forests with the shortest links, which are verified. It need not be complete.
+Then classes whose texts meet in a band are taken together, and all pairs of texts in different classes of such a
+group are compared by their sets, in a grid of cells. Cells return spanning forests of links that hold, so the number of links stays
+in proportion to that of the texts, and no pair is left out.
 
 Defined cases: blank and null texts are equal; texts of fewer than five words are one shingle; rows without doc_id
 have no class; rows that share a doc_id are one document.
@@ -41,10 +44,14 @@ BLUR = 12
 PRINTS = ["w0", "w1", "s0", "s1"]
 #: Of the set of shingles: texts with the same are copies.
 DIGEST = ["d0", "d1"]
-PRINTED = pa.schema([("doc_id", pa.int64()), *[(p, pa.int64()) for p in DIGEST + PRINTS]])
+PRINTED = pa.schema([("doc_id", pa.int64()), *[(p, pa.int64()) for p in DIGEST + PRINTS], ("size", pa.int64()), ("bands", pa.list_(pa.int64()))])
 VISITED = pa.schema([("anchor", pa.int64()), ("home", pa.bool_()), ("s0", pa.int64()), ("s1", pa.int64()), ("node", pa.int64()), ("label", pa.int64())])
 LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-SETS = pa.schema([("node", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+SETS = pa.schema([("d0", pa.int64()), ("d1", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+#: Bands of MinHash and hashes in each.
+BANDS, ROWS = 32, 5
+#: Texts and shingles of the rows and of the columns of a cell in which sets are compared.
+CELL_TEXTS, CELL_SHINGLES = 1024, 1 << 20
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -75,18 +82,37 @@ def digest_of(hashes: np.ndarray) -> list[int]:
     return np.frombuffer(xxhash.xxh3_128_digest(hashes.tobytes()), np.int64).tolist()
 
 
+#: Two fixed numbers for each hash of the bands.
+SALTS = mix(np.arange(1, 2 * BANDS * ROWS + 1, dtype=np.uint64)).reshape(2, -1, 1)
+
+
+def bands_of(hashes: np.ndarray) -> list[int]:
+    """A number for each band, the same if all smallest hashes in it are the same."""
+    if not len(hashes):
+        return []
+    low = np.full(BANDS * ROWS, np.iinfo(np.uint64).max)
+    for at in range(0, len(hashes), 4096):
+        low = np.minimum(low, ((hashes[at : at + 4096] ^ SALTS[0]) * (SALTS[1] | np.uint64(1))).min(1))
+    key = np.arange(BANDS, dtype=np.uint64)
+    for column in low.reshape(BANDS, ROWS).T:
+        key = mix(key * np.uint64(0x9E3779B97F4A7C15) ^ column)
+    return key.view(np.int64).tolist()
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """``doc_id``, the digest of the set of shingles and the fingerprints of the sets of words and of shingles of every row."""
+    """``doc_id`` of every row, with the digest, size and bands of its set of shingles and the fingerprints of the sets of words and of shingles."""
 
     def one(doc_id, text):
         words = words_of(text)
         parts = set(shingles(words))
-        return doc_id, *digest_of(hashes_of(parts)), *print_of(set(words)).tolist(), *print_of(parts).tolist()
+        hashes = hashes_of(parts)
+        return doc_id, *digest_of(hashes), *print_of(set(words)).tolist(), *print_of(parts).tolist(), len(hashes), bands_of(hashes)
 
     def run(batches):
         return record_batches((one(*r) for r in rows(batches, "doc_id", "text")), PRINTED)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, " + ", ".join(f"{p} long" for p in DIGEST + PRINTS))
+    ddl = ", ".join(f"{p} long" for p in ["doc_id", *DIGEST, *PRINTS, "size"])
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, f"{ddl}, bands array<long>")
 
 
 def shortest(a: np.ndarray, b: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -166,21 +192,27 @@ def links(distinct: DataFrame, turn: int = 0) -> DataFrame:
     return in_grid(copied, ["s0", "s1", "node", "label"]).mapInArrow(lambda batches: _links_of(batches, turn), "a long, b long")
 
 
-def verified(docs: DataFrame, found: DataFrame, least: float) -> DataFrame:
-    """The links whose texts have sets of shingles that are alike enough."""
-    found = stage(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
-    wanted = found.select(F.col("a").alias("doc_id")).unionByName(found.select(F.col("b").alias("doc_id"))).distinct()
+def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``node, shingles`` of each text of ``node, doc_id, d0, d1``, where doc_id is one that has it."""
 
     def run(batches):
         def sets():
-            for doc_id, text in rows(batches, "doc_id", "text"):
-                yield doc_id, list({xxhash.xxh64_intdigest(s) - (1 << 63) for s in shingles(words_of(text))})
+            for text, in rows(batches, "text"):
+                hashes = hashes_of(shingles(words_of(text)))
+                yield *digest_of(hashes), hashes.view(np.int64).tolist()
 
         return record_batches(sets(), SETS, 256)
 
-    texts = docs.select(F.col("doc_id").cast("long"), "text").join(wanted, "doc_id", "left_semi")
-    sets = texts.mapInArrow(run, "node long, shingles array<long>").groupBy("node").agg(F.max_by("shingles", F.size("shingles")).alias("shingles"))
-    sets = stage(sets, "shingles")
+    texts = docs.select(F.col("doc_id").cast("long"), "text").join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
+    sets = texts.select("text").mapInArrow(run, "d0 long, d1 long, shingles array<long>").join(wanted.select("node", *DIGEST), DIGEST)
+    return stage(sets.groupBy("node").agg(F.first("shingles").alias("shingles")), "shingles")
+
+
+def verified(docs: DataFrame, distinct: DataFrame, found: DataFrame, least: float) -> DataFrame:
+    """The links whose texts have sets of shingles that are alike enough."""
+    found = stage(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
+    wanted = found.select(F.col("a").alias("node")).unionByName(found.select(F.col("b").alias("node"))).distinct()
+    sets = sets_of(docs, distinct.select("node", "doc_id", *DIGEST).join(wanted, "node", "left_semi"))
     first = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
     second = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
     common = F.size(F.array_intersect("x", "y"))
@@ -188,23 +220,118 @@ def verified(docs: DataFrame, found: DataFrame, least: float) -> DataFrame:
     return found.join(first, "a").join(second, "b").where(alike).select("a", "b")
 
 
-def near_copies(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """``doc_id, component_id`` of each doc_id: the smallest one that links of near copies lead to.
+def groups(labelled: DataFrame) -> DataFrame:
+    """``label, root``: classes that bands lead to from one to the other, without those that meet no other."""
+    met = labelled.select("label", F.explode("bands").alias("band")).distinct()
+    low = met.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    edges = met.join(low, "band").where("label <> low").select(F.col("label").alias("a"), F.col("low").alias("b"))
+    return components(edges).select(F.col("node").alias("label"), F.col("component").alias("root"))
+
+
+def _alike_in(label: np.ndarray, node: np.ndarray, home: np.ndarray, sets: list[np.ndarray], least: float) -> Iterator[tuple[int, int]]:
+    """A spanning forest, over labels, of the links between homes and guests of a cell that are alike."""
+    at, guests = np.flatnonzero(home), np.flatnonzero(~home)
+    if not len(at) or not len(guests):
+        return
+    sizes = np.array([len(x) for x in sets])
+    held = np.concatenate([sets[g] for g in guests])
+    order = np.argsort(held, kind="stable")
+    owner = np.repeat(np.arange(len(guests)), sizes[guests])[order]
+    values, first = np.unique(held[order], return_index=True)
+    ends = np.append(first[1:], len(held))
+    _, root = np.unique(label, return_inverse=True)
+    for i in at:
+        if (root[guests] == root[i]).all():
+            continue
+        where = np.searchsorted(values, sets[i])
+        where = where[(where < len(values)) & (values[np.minimum(where, len(values) - 1)] == sets[i])]
+        n = ends[where] - first[where]
+        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        common = np.bincount(owner[np.repeat(first[where], n) + within], minlength=len(guests))
+        for g in guests[common >= least * (sizes[i] + sizes[guests] - common)]:
+            if root[g] != root[i]:
+                root[root == root[g]] = root[i]
+                yield int(node[i]), int(node[g])
+
+
+def _alike_of(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
+    def found():
+        key, held = None, []
+        for *cell, label, node, home, shingles_ in rows_of_sets(batches):
+            if cell != key:
+                yield from compared(held)
+                key, held = cell, []
+            held.append((label, node, home, shingles_))
+        yield from compared(held)
+
+    def compared(held):
+        if held:
+            label, node, home, sets = zip(*held)
+            yield from _alike_in(np.array(label), np.array(node), np.array(home), sets, least)
+
+    return record_batches(found(), LINKS)
 
-    Each round looks for links between the classes found so far, so it keeps few of them.
+
+def rows_of_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Rows of cells, each with its set as an array."""
+    for batch in batches:
+        lists = batch.column("shingles")
+        values, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
+        plain = zip(*(batch.column(c).to_pylist() for c in ("root", "h", "v", "label", "node", "home")))
+        for i, row in enumerate(plain):
+            yield *row, values[offsets[i] : offsets[i + 1]].copy()
+
+
+def alike_between(docs: DataFrame, labelled: DataFrame, least: float) -> DataFrame:
+    """Links ``a, b`` that join the labels of texts into the same classes as all pairs that are alike and meet in bands do.
+
+    In each group the texts of its largest class are guests, all others are homes and guests; each home meets each guest in one cell.
     """
+    rooted = stage(labelled.join(groups(labelled), "label").select("root", "label", "node", "doc_id", *DIGEST, "size"), "rooted")
+    each = rooted.groupBy("root", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("s"))
+    whole = each.groupBy("root").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.max(F.struct("n", "label", "s")).alias("most"))
+
+    def cut(n, s):
+        return F.greatest(F.ceil(n / CELL_TEXTS), F.ceil(s / CELL_SHINGLES), F.lit(1)).cast("int")
+
+    grid = whole.select(
+        "root", F.col("most.label").alias("largest"), cut(F.col("n") - F.col("most.n"), F.col("s") - F.col("most.s")).alias("hs"), cut(F.col("n"), F.col("s")).alias("vs")
+    )
+    placed = rooted.join(stage(grid, "grid"), "root").join(sets_of(docs, rooted), "node")
+    columns = ["root", "label", "node", "shingles"]
+    at = lambda k: F.pmod(F.xxhash64("node"), F.col(k)).cast("int")
+    every = lambda k: F.explode(F.sequence(F.lit(0), F.col(k) - 1))
+    as_home = placed.where("label <> largest").select(*columns, F.lit(True).alias("home"), at("hs").alias("h"), every("vs").alias("v"))
+    as_guest = placed.select(*columns, F.lit(False).alias("home"), at("vs").alias("v"), every("hs").alias("h"))
+    cells_ = as_home.unionByName(as_guest).repartition("root", "h", "v").sortWithinPartitions("root", "h", "v")
+    return cells_.mapInArrow(lambda batches: _alike_of(batches, least), "a long, b long")
+
+
+def near_copies(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """``doc_id, component_id`` of each doc_id: the smallest one that links of near copies lead to."""
     found = stage(fingerprints(docs).where("doc_id IS NOT NULL"), "fingerprints")
-    distinct = stage(found.groupBy(*DIGEST, *PRINTS).agg(F.min("doc_id").alias("node")), "distinct")
-    named = found.join(distinct, DIGEST).select("doc_id", "node").distinct()
-    edges = named.where("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    labelled = distinct.withColumn("label", F.col("node"))
+    others = [F.first(c).alias(c) for c in [*PRINTS, "size", "bands"]]
+    distinct = found.groupBy(*DIGEST).agg(F.min("doc_id").alias("doc_id"), *others)
+    distinct = stage(distinct.withColumn("node", F.monotonically_increasing_id()), "distinct")
+
+    def labelled(edges):
+        classes = stage(components(edges), "classes")
+        return distinct.join(classes, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
+
+    now = distinct.withColumn("label", F.col("node"))
+    edges = None
     for turn in range(ROUNDS):
-        more = stage(verified(docs, links(labelled, turn), least), "verified")
+        more = stage(verified(docs, distinct, links(now, turn), least), "verified")
         if turn and more.isEmpty():
             break
-        edges = edges.unionByName(more)
-        classes = stage(components(edges), "classes")
-        labelled = distinct.join(classes, "node", "left").select(*PRINTS, "node", F.coalesce("component", "node").alias("label"))
+        edges = more if edges is None else edges.unionByName(more)
+        now = labelled(edges)
+    edges = edges.unionByName(stage(alike_between(docs, now, least), "alike"))
+    named = stage(labelled(edges).select(*DIGEST, "label", "doc_id"), "named")
+    low = named.groupBy("label").agg(F.min("doc_id").alias("low"))
+    lows = stage(named.join(low, "label").select(*DIGEST, "low"), "lows")
+    pairs = found.select("doc_id", *DIGEST).join(lows, DIGEST).where("doc_id <> low")
+    classes = components(pairs.select(F.col("doc_id").alias("a"), F.col("low").alias("b")))
     return found.select("doc_id").distinct().join(classes.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
         "doc_id", F.coalesce("component", "doc_id").alias("component_id")
     )

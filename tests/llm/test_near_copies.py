@@ -4,7 +4,7 @@ from collections import defaultdict
 import numpy as np
 
 from tablewright.llm import simhash
-from tablewright.llm.near_copies import links, near_copies, print_of, shingles, shortest, words_of
+from tablewright.llm.near_copies import bands_of, links, near_copies, print_of, shingles, shortest, words_of
 
 
 def brute_classes(rows, least=0.8):
@@ -123,3 +123,39 @@ def test_filler_hides_no_difference(docs):
     words = [f"w{i}" for i in range(30)]
     filler = "filler " * 300
     assert classes(docs([(1, filler + " ".join(words)), (2, filler + " ".join(words[::-1]))])) == {1: 1, 2: 2}
+
+
+def substituted(r, words, share):
+    """The words with a share of them, scattered, changed to new ones."""
+    own = list(words)
+    for i in r.sample(range(len(own)), round(share * len(own))):
+        own[i] = f"x{r.randrange(10**9)}"
+    return own
+
+
+def zipf(seed, n, vocabulary):
+    own = np.random.default_rng(seed)
+    weights = 1 / np.arange(1, vocabulary + 1)
+    return [f"w{i}" for i in own.choice(vocabulary, n, p=weights / weights.sum())]
+
+
+def test_copies_of_long_texts(docs):
+    """Long texts have few distinct words, so these differ in many; similarities just over 0.8."""
+    r, rows = random.Random(8), []
+    for k, (n, vocabulary) in enumerate([(5_000, 1_500), (10_000, 1_500), (20_000, 2_000)] * 8):
+        words = zipf(k, n, vocabulary)
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(substituted(r, words, 0.019)))]
+    want = brute_classes(rows)
+    assert sum(d != c for d, c in want.items()) >= 16
+    assert classes(docs(rows)) == want
+
+
+def test_bands_meet_at_any_length():
+    """At a similarity of 0.8 some band is the same, for sets of any size."""
+    r = np.random.default_rng(9)
+    for n in (9, 90, 900, 9000):
+        for _ in range(40):
+            h = r.integers(0, 1 << 63, 10 * n // 9, np.int64).view(np.uint64)
+            cut = len(h) // 10
+            x, y = np.sort(h[cut:]), np.sort(h[: len(h) - cut])
+            assert set(bands_of(x)) & set(bands_of(y))
