@@ -36,11 +36,8 @@ SIMILARITY = 0.8
 #: Differing bits, of 128, of the shingle fingerprints of two texts that are verified. Texts alike to 0.8 differ in 19
 #: on average, with a deviation of 4; other texts in 64, with a deviation of 6.
 REACH = 34
-#: Spanning forests that a task keeps in a round, each of the shortest links that those before have left, and rounds.
+#: Spanning forests that a task of the first round keeps, each of the shortest links that those before have left.
 FORESTS = 2
-ROUNDS = 4
-#: Bits by which the lengths of links vary from the second round on, so that links other than those that failed are kept.
-BLUR = 12
 PRINTS = ["w0", "w1", "s0", "s1"]
 #: Of the set of shingles: texts with the same are copies.
 DIGEST = ["d0", "d1"]
@@ -138,7 +135,7 @@ def shortest(a: np.ndarray, b: np.ndarray, length: np.ndarray) -> np.ndarray:
         root = to[root]
 
 
-def _links_of(batches: Iterator[pa.RecordBatch], turn: int) -> Iterator[pa.RecordBatch]:
+def _links_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: list[tuple[np.ndarray, ...]] = []
     n = 0
 
@@ -149,8 +146,6 @@ def _links_of(batches: Iterator[pa.RecordBatch], turn: int) -> Iterator[pa.Recor
             nodes, both = np.unique(np.concatenate([a, b]), return_inverse=True)
             low, high = np.minimum(both[: len(a)], both[len(a) :]), np.maximum(both[: len(a)], both[len(a) :])
             _, left = np.unique(low * len(nodes) + high, return_index=True)  # a pair may meet often
-            if turn:
-                length = length + (mix((a ^ b).view(np.uint64) + np.uint64(turn)) % np.uint64(BLUR)).astype(np.int64)
             for _ in range(FORESTS):
                 kept = shortest(x[left], y[left], length[left])
                 yield pa.RecordBatch.from_arrays([pa.array(a[left[kept]]), pa.array(b[left[kept]])], schema=LINKS)
@@ -171,7 +166,7 @@ def _links_of(batches: Iterator[pa.RecordBatch], turn: int) -> Iterator[pa.Recor
     yield from reduced()
 
 
-def links(distinct: DataFrame, turn: int = 0) -> DataFrame:
+def links(distinct: DataFrame) -> DataFrame:
     """Links to verify, ``a, b``, between nodes of different labels, from a table of distinct fingerprints with ``node, label``."""
 
     def copies(batches):
@@ -189,7 +184,7 @@ def links(distinct: DataFrame, turn: int = 0) -> DataFrame:
 
     ddl = "anchor long, home boolean, s0 long, s1 long, node long, label long"
     copied = distinct.select(*PRINTS, "node", "label").mapInArrow(copies, ddl)
-    return in_grid(copied, ["s0", "s1", "node", "label"]).mapInArrow(lambda batches: _links_of(batches, turn), "a long, b long")
+    return in_grid(copied, ["s0", "s1", "node", "label"]).mapInArrow(_links_of, "a long, b long")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -318,15 +313,8 @@ def near_copies(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
         classes = stage(components(edges), "classes")
         return distinct.join(classes, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
 
-    now = distinct.withColumn("label", F.col("node"))
-    edges = None
-    for turn in range(ROUNDS):
-        more = stage(verified(docs, distinct, links(now, turn), least), "verified")
-        if turn and more.isEmpty():
-            break
-        edges = more if edges is None else edges.unionByName(more)
-        now = labelled(edges)
-    edges = edges.unionByName(stage(alike_between(docs, now, least), "alike"))
+    first = stage(verified(docs, distinct, links(distinct.withColumn("label", F.col("node"))), least), "verified")
+    edges = first.unionByName(stage(alike_between(docs, labelled(first), least), "alike"))
     named = stage(labelled(edges).select(*DIGEST, "label", "doc_id"), "named")
     low = named.groupBy("label").agg(F.min("doc_id").alias("low"))
     lows = stage(named.join(low, "label").select(*DIGEST, "low"), "lows")

@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 
+from tablewright.llm import near_copies as near_copies_module
 from tablewright.llm import simhash
 from tablewright.llm.near_copies import bands_of, links, near_copies, print_of, shingles, shortest, words_of
 
@@ -159,3 +160,14 @@ def test_bands_meet_at_any_length():
             cut = len(h) // 10
             x, y = np.sort(h[cut:]), np.sort(h[: len(h) - cut])
             assert set(bands_of(x)) & set(bands_of(y))
+
+
+def test_large_group_of_versions(docs, monkeypatch):
+    """Versions at similarities of about 0.7 to 0.85 have exactly the classes that all pairs give, in many cells too."""
+    monkeypatch.setattr(near_copies_module, "CELL_TEXTS", 50)
+    r = random.Random(11)
+    words = [f"w{r.randrange(5000)}" for _ in range(250)]
+    rows = [(i, " ".join(substituted(r, words, r.choice([0.008, 0.016, 0.02, 0.024])))) for i in range(400)]
+    want = brute_classes(rows)
+    assert 20 < len(set(want.values())) < 380
+    assert classes(docs(rows)) == want
