@@ -705,6 +705,25 @@ def encoded_profile() -> str:
     )
 
 
+def encoded_profile_all() -> str:
+    """All columns of all three stages."""
+    raw = [_profile("raw", c, "Raw", c, "rawt", c not in TEXT) for c in ALL if c not in ("id", "sum_price")]
+    kinds = {**{c: "Numeric" for c in SCALED}, "whole": "Engineered Numeric", "has_return": "Binary", "has_discount": "Binary"}
+    derived = [c for c in ALL if c not in ("id", "sum_price")] + ["whole", "has_discount"]
+    made = [_profile("engineered", c, kinds.get(c, "Raw"), c, "cleant", c not in TEXT) for c in derived]
+    kinds["o_orderpriority"] = "Ordinal Encoded"
+    names = [*SCALED, "o_orderpriority", *[f"{c}_{v}" for c, vs in LEVELS.items() for v in vs], "has_return", "has_discount"]
+    encoded = [_profile("encoded", c, kinds.get(c, "OneHot Encoded"), f"round({c}, 9)" if c in SCALED else f'"{c}"', "encodedt", True) for c in names]
+    return sql(
+        UNION.join(raw + made + encoded),
+        CLEAN,
+        _encoded(),
+        "rawt AS (SELECT * FROM train WHERE sum_price IS NOT NULL)",
+        "cleant AS (SELECT * FROM clean WHERE part = 'train')",
+        "encodedt AS (SELECT * FROM encoded WHERE part = 'train')",
+    )
+
+
 def encoded_dimension() -> str:
     hot = " + ".join(f"count(DISTINCT {c})" for c in LEVELS)
     return sql(

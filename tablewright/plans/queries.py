@@ -526,6 +526,21 @@ def _(spark, folder):
     )
 
 
+@query("encoded_profile_all", "stage:s feature:s feature_type:s n_rows:l n_null:l nonzero_rate:d n_distinct:l", O.encoded_profile_all())
+def _(spark, folder):
+    """All columns of the raw, the engineered and the encoded table; scaled values to nine digits, as their last bits depend on the order of sums."""
+    train, _ = _modelled(spark, folder)
+    fitted = _encoder(train)
+    raw = catalog.complete_rows(split_by_time(base(spark, folder))[0], [TARGET]).drop(KEY, TARGET)
+    types = fitted.feature_types()
+    unencoded = {c: kind for c, kind in types.items() if c not in fitted.ordinal_levels}
+    encoded = encode.encode(train, fitted)
+    encoded = encoded.select(*[F.round(c, 9).alias(c) if c in fitted.numeric else F.col(c) for c in encoded.columns])
+    return encode.encoded_profile(
+        {"raw": (raw, {}), "engineered": (train.drop(KEY, TARGET), unencoded), "encoded": (encoded, types)}
+    )
+
+
 @query("encoded_dimension", "stage:s n_features:l n_rows:l", O.encoded_dimension())
 def _(spark, folder):
     train, _ = _modelled(spark, folder)

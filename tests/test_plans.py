@@ -101,6 +101,20 @@ def test_same_result_as_sql(spark, name):
     assert equal, text
 
 
+@needs_tables
+def test_profile_of_all_encoded_columns(spark):
+    """Each encoded column has a row, and all rows are those of the SQL form."""
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{FOLDER}/{t}.parquet'")
+    name = "encoded_profile_all"
+    text, _, equal = compare(spark, con, FOLDER, name, entry.queries()[name], entry.oracle_sql()[name])
+    assert equal, text
+    stages = [r.stage for r in entry.queries()[name](spark, FOLDER).collect()]
+    sizes = {r.stage: r.n_features for r in entry.queries()["encoded_dimension"](spark, FOLDER).collect()}
+    assert {s: stages.count(s) for s in sizes} == sizes
+
+
 def test_registry_is_complete():
     queries, oracles = entry.queries(), entry.oracle_sql()
     without = set(REGISTRY) - set(oracles)
