@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, licenses, line_dedup, quality, secrets, simhash, spots, substring, toxicity
+from . import bpe, decontaminate, divergence, licenses, line_dedup, quality, secrets, simhash, spots, substring, toxicity
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -15,9 +15,11 @@ QUERIES = {
     "op8_spots": spots.op8_spots,
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_bpe": bpe.op10_bpe,
+    "op11_divergence": divergence.op11_divergence,
 }
 
 SQL = {
     "op1_line_dedup": line_dedup.OP1_SQL,
     "op3_licenses": licenses.OP3_SQL,
+    "op11_divergence": divergence.OP11_SQL,
 }
