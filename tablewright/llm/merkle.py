@@ -251,3 +251,62 @@ def op13_merkle(spark, sf_dir: str) -> DataFrame:
     siblings = F.array_join(F.transform("proof", lambda s: F.concat(s["left"], s["right"])), "")
     out = out.select("doc_id", own.alias("leaf"), "subroot", "root", F.sha2(siblings, 256).alias("proof_sha256"), folded(F.coalesce("tampered", own), F.col("proof")).alias("folded_root"))
     return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+OP13_SQL = r"""
+WITH RECURSIVE fields AS (
+  SELECT doc_id, lang, text,
+         coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+         || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS plain,
+         list_reduce(
+           list_concat([4294967295::BIGINT], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+           lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], [0, 1, 2, 3, 4, 5, 6, 7]),
+             lambda x, bit: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)) AS crc
+  FROM documents
+), leaves AS (
+  SELECT doc_id, lang, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         CASE WHEN xor(crc, 4294967295) % 3 = 0 THEN sha256(head || coalesce(strlen(plain) || ':' || plain, '-')) END AS tampered
+  FROM fields
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS width FROM leaves
+), nodes AS (
+  SELECT lang, width, 0 AS level, pos, leaf AS h FROM placed
+  UNION ALL
+  SELECT lang, (width + 7) // 8, level + 1, pos // 8, sha256(string_agg(h, '' ORDER BY pos)) FROM nodes WHERE width > 1 GROUP BY lang, width, level, pos // 8
+), subroots AS (
+  SELECT lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS width FROM nodes WHERE width = 1
+), tops AS (
+  SELECT width, 0 AS level, pos, h FROM subroots
+  UNION ALL
+  SELECT (width + 7) // 8, level + 1, pos // 8, sha256(string_agg(h, '' ORDER BY pos)) FROM tops WHERE width > 1 GROUP BY width, level, pos // 8
+), sides AS (
+  SELECT lang, level, pos,
+         coalesce(string_agg(h, '') OVER (PARTITION BY lang, level, pos // 8 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+         coalesce(string_agg(h, '') OVER (PARTITION BY lang, level, pos // 8 ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM nodes WHERE width > 1
+), top_sides AS (
+  SELECT level, pos,
+         coalesce(string_agg(h, '') OVER (PARTITION BY level, pos // 8 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+         coalesce(string_agg(h, '') OVER (PARTITION BY level, pos // 8 ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM tops WHERE width > 1
+), steps AS (
+  SELECT p.lang, p.pos, s.level, s.l, s.r
+  FROM placed p JOIN sides s ON s.lang IS NOT DISTINCT FROM p.lang AND s.pos = p.pos // CAST(pow(8, s.level) AS BIGINT)
+  UNION ALL
+  SELECT p.lang, p.pos, 1000 + s.level, s.l, s.r
+  FROM placed p JOIN subroots u ON u.lang IS NOT DISTINCT FROM p.lang JOIN top_sides s ON s.pos = u.pos // CAST(pow(8, s.level) AS BIGINT)
+), proofs AS (
+  SELECT lang, pos, list({'l': l, 'r': r} ORDER BY level) AS proof FROM steps GROUP BY lang, pos
+), joined AS (
+  SELECT p.*, u.h AS subroot, (SELECT h FROM tops WHERE width = 1) AS root, coalesce(f.proof, []) AS proof
+  FROM placed p JOIN subroots u ON u.lang IS NOT DISTINCT FROM p.lang
+  LEFT JOIN proofs f ON f.lang IS NOT DISTINCT FROM p.lang AND f.pos = p.pos
+), folded AS (
+  SELECT *, list_reduce(list_concat([{'l': coalesce(tampered, leaf), 'r': ''}], proof), lambda a, s: {'l': sha256(s.l || a.l || s.r), 'r': ''}).l AS folded_root
+  FROM joined
+)
+SELECT doc_id, leaf, subroot, root, sha256(list_aggregate(list_concat([''], list_transform(proof, lambda s: s.l || s.r)), 'string_agg', '')) AS proof_sha256,
+       folded_root, folded_root = root AS verified
+FROM folded
+"""
