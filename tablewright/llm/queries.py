@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, divergence, licenses, line_dedup, merkle, quality, secrets, simhash, spots, substring, toxicity
+from . import bpe, decontaminate, divergence, licenses, line_dedup, merkle, minhash, quality, secrets, simhash, spots, substring, toxicity
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_bpe": bpe.op10_bpe,
     "op11_divergence": divergence.op11_divergence,
+    "op12_minhash": minhash.op12_minhash,
     "op13_merkle": merkle.op13_merkle,
 }
 
