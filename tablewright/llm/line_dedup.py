@@ -2,15 +2,16 @@
 
 Line keys are hashed to 128 bits, dealt out by range of the hash with a secondary sort by document and
 position, and first occurrences are streamed from each range. What comes back per document is a sparse
-bitmap (64 lines to a word; words that keep every line are left out), so no text is shuffled by key.
-Everything is Spark SQL.
+bitmap (64 lines to a word; words that keep every line are left out), so no line is shuffled as text. Whole texts
+are joined with their bitmaps once. Everything is Spark SQL.
 
 Keys that hold a large share of all lines are found on a hash sample of the documents. They are never
 shuffled: a partial aggregate finds their first document, and the few results are broadcast. The sample
 decides only how a key is computed, not what comes out.
 
 Defined cases: a null text is one empty line; a row without doc_id takes no part and keeps all its lines;
-rows that repeat a doc_id are the same document (a line is not a repeat of itself); other columns are
+rows that share a doc_id are one document, also with different texts: none of its lines is a repeat of another, and each row loses what a
+smaller doc_id holds, by its own positions; very long texts are split whole; an empty table gives no row; other columns are
 not looked at, whatever their names.
 """
 
@@ -43,12 +44,18 @@ def line_key(line: Column) -> Column:
     return F.when(plain, F.lower(bare)).otherwise(F.translate(bare, ascii_uppercase, ascii_lowercase))
 
 
+def version(text: Column) -> Column:
+    """Tells rows apart that share a doc_id but not the text."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
-    """Hashes, document and position of every line that takes part."""
-    lines = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.posexplode(lines_of(F.col("text"))).alias("pos", "line"))
-    keys = lines.select("doc_id", "pos", line_key(F.col("line")).alias("key")).where(F.char_length("key") >= min_chars)
+    """Hashes, document, version and position of every line that takes part."""
+    named = docs.where(F.col("doc_id").isNotNull())
+    lines = named.select("doc_id", version(F.col("text")).alias("version"), F.posexplode(lines_of(F.col("text"))).alias("pos", "line"))
+    keys = lines.select("doc_id", "version", "pos", line_key(F.col("line")).alias("key")).where(F.char_length("key") >= min_chars)
     return keys.select(
-        F.xxhash64("key").alias("h1"), F.xxhash64(F.lit("line"), "key").alias("h2"), "doc_id", "pos"
+        F.xxhash64("key").alias("h1"), F.xxhash64(F.lit("line"), "key").alias("h2"), "doc_id", "version", "pos"
     )
 
 
@@ -63,29 +70,29 @@ def hot_keys(found: DataFrame) -> DataFrame | None:
 
 
 def repeats(found: DataFrame) -> DataFrame:
-    """Document and position of each line that a smaller doc_id holds too."""
+    """Document, version and position of each line that a smaller doc_id holds too."""
     hot = hot_keys(found)
     cold = found if hot is None else found.join(F.broadcast(hot), ["h1", "h2"], "left_anti")
     so_far = Window.partitionBy("h1", "h2").orderBy("doc_id", "pos").rowsBetween(Window.unboundedPreceding, 0)
     first = cold.repartitionByRange("h1", "h2").withColumn("first_doc", F.first("doc_id").over(so_far))
-    out = first.where(F.col("doc_id") > F.col("first_doc")).select("doc_id", "pos")
+    out = first.where(F.col("doc_id") > F.col("first_doc")).select("doc_id", "version", "pos")
     if hot is None:
         return out
     of_hot = found.join(F.broadcast(hot), ["h1", "h2"])
     first_hot = of_hot.groupBy("h1", "h2").agg(F.min("doc_id").alias("first_doc"))
     known = found.join(F.broadcast(first_hot), ["h1", "h2"])
-    return out.unionByName(known.where(F.col("doc_id") > F.col("first_doc")).select("doc_id", "pos"))
+    return out.unionByName(known.where(F.col("doc_id") > F.col("first_doc")).select("doc_id", "version", "pos"))
 
 
 def keep_bitmaps(docs: DataFrame, min_chars: int = 10) -> DataFrame:
-    """``doc_id, keep_bitmap array<struct<word, bits>>, n_dropped`` of each document that loses a line.
+    """``doc_id, version, keep_bitmap array<struct<word, bits>>, n_dropped`` of each text that loses a line.
 
     Bit ``i`` of word ``w`` is line ``64 w + i``; 1 keeps it. Words that are not listed keep all their lines.
     """
     found = stage(occurrences(docs.select("doc_id", "text"), min_chars), "lines")
-    drops = repeats(found).select("doc_id", F.expr("pos div 64").alias("word"), F.expr("shiftleft(1L, cast(pos % 64 AS int))").alias("bit"))
-    words = drops.groupBy("doc_id", "word").agg(F.bit_or("bit").alias("bits"))
-    return words.groupBy("doc_id").agg(
+    drops = repeats(found).select("doc_id", "version", F.expr("pos div 64").alias("word"), F.expr("shiftleft(1L, cast(pos % 64 AS int))").alias("bit"))
+    words = drops.groupBy("doc_id", "version", "word").agg(F.bit_or("bit").alias("bits"))
+    return words.groupBy("doc_id", "version").agg(
         F.sort_array(F.collect_list(F.struct("word", F.bitwise_not("bits").alias("bits")))).alias("keep_bitmap"),
         F.sum(F.bit_count("bits")).alias("n_dropped"),
     )
@@ -106,9 +113,10 @@ def kept_text(text: Column, bitmap: Column) -> Column:
 def drop_repeated_lines(docs: DataFrame, min_chars: int = 10) -> DataFrame:
     """All columns of ``docs`` with ``text`` reduced to its kept lines, and ``_line_count``, ``_line_drops``."""
     maps = keep_bitmaps(docs, min_chars).select(
-        F.col("doc_id").alias("_line_doc"), F.col("keep_bitmap").alias("_line_map"), F.col("n_dropped").alias("_line_drops")
+        F.col("doc_id").alias("_line_doc"), F.col("version").alias("_line_version"), F.col("keep_bitmap").alias("_line_map"), F.col("n_dropped").alias("_line_drops")
     )
-    joined = docs.join(maps, docs["doc_id"] == maps["_line_doc"], "left")
+    same = (docs["doc_id"] == maps["_line_doc"]) & (version(docs["text"]) == maps["_line_version"])
+    joined = docs.join(maps, same, "left")
     return joined.select(
         *[kept_text(docs["text"], F.col("_line_map")).alias("text") if c == "text" else docs[c] for c in docs.columns],
         F.size(lines_of(docs["text"])).cast("long").alias("_line_count"),

@@ -35,6 +35,21 @@ def test_edge_cases_equal_brute_force(docs, edges):
     assert found(drop_repeated_lines(docs(edges))) == order(brute(edges))
 
 
+def test_one_id_with_different_texts(docs):
+    """Rows that share a doc_id lose lines by their own positions."""
+    rows = [
+        (1, "aaaaaaaaaaaa\nkeep this line here"),
+        (5, "unique first line xx\naaaaaaaaaaaa"),
+        (5, "aaaaaaaaaaaa\nanother unique line"),
+        (5, "another unique line\nline of 5 and 6"),
+        (6, "another unique line\nline of 5 and 6\nan own line of six"),
+        (6, "an own line of six"),
+    ]
+    got = found(drop_repeated_lines(docs(rows)))
+    assert got == order(brute(rows))
+    assert (5, 2, 1, "unique first line xx") in got and (5, 2, 1, "another unique line") in got
+
+
 def test_extra_columns_are_kept(docs, edges):
     df = docs(edges)
     assert drop_repeated_lines(df).columns[: len(df.columns)] == df.columns
