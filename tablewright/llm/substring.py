@@ -12,8 +12,9 @@ too, in a smaller doc_id or before it in the same document.
 Only anchors that occur twice leave the first shuffle. Anchors with a large share of all blocks, found on
 a hash sample of the documents, skip it: they occur twice for certain. Texts are shuffled once.
 
-Defined cases: a null text has no words; a row without doc_id takes no part and keeps all its words; rows
-that repeat a doc_id are taken for the same document; texts of fewer than 20 words hold no window.
+Defined cases: a null text has no words; a row without doc_id takes no part and keeps all its words; rows with the
+same doc_id and text are one document; rows with one doc_id and different texts are documents of their own, in the order of a
+hash of the text; texts of fewer than 20 words hold no window; very long texts are read in overlapping parts; an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -45,8 +46,8 @@ SAMPLE = 64
 GRAM = np.uint64(0x9E3779B97F4A7C15)
 BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 
-BLOCKS = pa.schema([("anchor", pa.int64()), ("block", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int32()), ("n", pa.int32())])
-WINDOWS = pa.schema([("w1", pa.int64()), ("w2", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int32())])
+BLOCKS = pa.schema([("anchor", pa.int64()), ("block", pa.int64()), ("doc_id", pa.int64()), ("version", pa.int64()), ("start", pa.int32()), ("n", pa.int32())])
+WINDOWS = pa.schema([("w1", pa.int64()), ("w2", pa.int64()), ("doc_id", pa.int64()), ("version", pa.int64()), ("start", pa.int32())])
 #: What a block is: a copy of an earlier one, the first of its content, or a first whose windows need a check.
 COPY, FIRST, CHECK = 0, 1, 2
 
@@ -93,13 +94,14 @@ def anchors(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return low, at
 
 
-Part = tuple[int, int, list[bytes]]  # doc_id, position of the first word, words
+Document = tuple[int, int]  # doc_id, hash of the text
+Part = tuple[Document, int, list[bytes]]  # document, position of the first word, words
 
 
-def chunks(doc_id: int, words: list[bytes]) -> Iterator[Part]:
+def chunks(doc: Document, words: list[bytes]) -> Iterator[Part]:
     """Parts of a document that together hold every window once."""
     for start in range(0, len(words) - WINDOW + 1, CHUNK):
-        yield doc_id, start, words[start : start + CHUNK + WINDOW - 1]
+        yield doc, start, words[start : start + CHUNK + WINDOW - 1]
 
 
 def bundles(parts: Iterable[Part]) -> Iterator[list[Part]]:
@@ -121,7 +123,7 @@ class Bundle:
     def __init__(self, parts: list[Part], hasher: Hasher):
         sizes = np.array([len(words) for _, _, words in parts])
         self.at = np.cumsum(sizes) - sizes
-        self.docs = np.array([d for d, _, _ in parts])
+        self.docs = np.array([d for d, _, _ in parts], np.int64).T
         self.offsets = np.array([o for _, o, _ in parts])
         self.hashes = hasher.words.of(list(chain.from_iterable(words for _, _, words in parts)))
         edge = np.zeros(len(self.hashes) + 1, np.int32)
@@ -129,10 +131,10 @@ class Bundle:
         np.add.at(edge, self.at + sizes - WINDOW + 1, -1)
         self.inside = np.cumsum(edge)[: len(self.hashes) - WINDOW + 1] > 0
 
-    def place(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Document and position of windows."""
+    def place(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Document, version and position of windows."""
         part = np.searchsorted(self.at, windows, "right") - 1
-        return self.docs[part], (windows - self.at[part] + self.offsets[part]).astype(np.int32)
+        return *self.docs[:, part], (windows - self.at[part] + self.offsets[part]).astype(np.int32)
 
 
 def blocks_of(parts: list[Part], hasher: Hasher) -> list[np.ndarray]:
@@ -144,8 +146,7 @@ def blocks_of(parts: list[Part], hasher: Hasher) -> list[np.ndarray]:
     before = np.cumsum(own.inside) - own.inside
     n = np.diff(np.append(before[first], own.inside.sum()))
     block = mix(hasher.spans(hasher.sums(own.hashes, 0), 0, first, first + n + WINDOW - 1) + n.astype(np.uint64))
-    doc, start = own.place(first)
-    return [low[first].view(np.int64), block.view(np.int64), doc, start, n.astype(np.int32)]
+    return [low[first].view(np.int64), block.view(np.int64), *own.place(first), n.astype(np.int32)]
 
 
 def _arrow(parts: Iterator[list[np.ndarray]], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -162,13 +163,13 @@ def _arrow(parts: Iterator[list[np.ndarray]], schema: pa.Schema) -> Iterator[pa.
 
 def _blocks(batches):
     hasher = Hasher()
-    parts = (p for d, t in rows(batches, "doc_id", "text") for p in chunks(d, split(t)))
+    parts = (p for *d, t in rows(batches, "doc_id", "version", "text") for p in chunks(tuple(d), split(t)))
     return _arrow((blocks_of(b, hasher) for b in bundles(parts)), BLOCKS)
 
 
 def blocks(docs: DataFrame) -> DataFrame:
-    """All blocks of all documents: ``anchor, block, doc_id, start, n`` (windows)."""
-    return docs.mapInArrow(_blocks, "anchor long, block long, doc_id long, start int, n int")
+    """All blocks of all documents: ``anchor, block, doc_id, version, start, n`` (windows)."""
+    return docs.mapInArrow(_blocks, "anchor long, block long, doc_id long, version long, start int, n int")
 
 
 def repeated_blocks(docs: DataFrame) -> DataFrame:
@@ -180,22 +181,22 @@ def repeated_blocks(docs: DataFrame) -> DataFrame:
     hot = F.broadcast(docs.sparkSession.createDataFrame(hot, "anchor long").withColumn("hot", F.lit(True)))
     found = found.join(hot, "anchor", "left")
     # A hot row gets a key of its own in place of its anchor and so is dealt out at random.
-    own = F.when(F.col("hot"), F.xxhash64("doc_id", "start", "block")).otherwise(F.col("anchor"))
+    own = F.when(F.col("hot"), F.xxhash64("doc_id", "version", "start", "block")).otherwise(F.col("anchor"))
     cold = found.withColumn("key", own).withColumn("is_hot", F.col("hot").isNotNull())
     twice = Window.partitionBy("is_hot", "key").orderBy("block").rowsBetween(-1, 1)
     kept = cold.withColumn("near", F.count(F.lit(1)).over(twice)).where((F.col("near") > 1) | F.col("is_hot"))
-    return kept.select("anchor", "block", "doc_id", "start", "n")
+    return kept.select("anchor", "block", "doc_id", "version", "start", "n")
 
 
 def marked_blocks(repeated: DataFrame) -> DataFrame:
-    """``doc_id, marks``: per document its repeated blocks, each as one number (``unpacked`` tells them apart)."""
-    firsts = repeated.groupBy("anchor", "block").agg(F.min(F.struct("doc_id", "start", "n")).alias("first"))
+    """``doc_id, version, marks``: per document its repeated blocks, each as one number (``unpacked`` tells them apart)."""
+    firsts = repeated.groupBy("anchor", "block").agg(F.min(F.struct("doc_id", "version", "start", "n")).alias("first"))
     firsts = stage(firsts.select("anchor", "first.*"), "firsts")
     several = firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("contents")).where("contents > 1").select("anchor", F.lit(CHECK).alias("check"))
-    kinds = firsts.join(several, "anchor", "left").select("doc_id", "start", "n", F.coalesce("check", F.lit(FIRST)).alias("kind"))
-    every = repeated.select("doc_id", "start", "n", F.lit(COPY).alias("kind")).unionByName(kinds)
+    kinds = firsts.join(several, "anchor", "left").select("doc_id", "version", "start", "n", F.coalesce("check", F.lit(FIRST)).alias("kind"))
+    every = repeated.select("doc_id", "version", "start", "n", F.lit(COPY).alias("kind")).unionByName(kinds)
     mark = (F.col("start").cast("long") * 32 + F.col("n")) * 4 + F.col("kind")
-    return every.groupBy("doc_id").agg(F.collect_list(mark).alias("marks"))
+    return every.groupBy("doc_id", "version").agg(F.collect_list(mark).alias("marks"))
 
 
 def unpacked(marks: list[int] | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -214,13 +215,13 @@ def checked(marks: list[int] | None) -> tuple[np.ndarray, np.ndarray]:
     return start[np.append(True, ~joins)] if len(start) else start, end[np.append(~joins, True)] if len(start) else end
 
 
-def run_parts(doc_id: int, text: str | None, marks: list[int] | None) -> Iterator[Part]:
+def run_parts(doc: Document, text: str | None, marks: list[int] | None) -> Iterator[Part]:
     """The words under each run of windows that need a check."""
     starts, ends = checked(marks)
     if len(starts):
         words = split(text)
         for start, end in zip(starts.tolist(), ends.tolist()):
-            for d, offset, part in chunks(doc_id, words[start : end + WINDOW - 1]):
+            for d, offset, part in chunks(doc, words[start : end + WINDOW - 1]):
                 yield d, start + offset, part
 
 
@@ -233,7 +234,7 @@ def windows_of(parts: list[Part], hasher: Hasher) -> list[np.ndarray]:
 
 def _windows(batches):
     hasher = Hasher()
-    parts = (p for d, t, m in rows(batches, "_doc", "text", "marks") for p in run_parts(d, t, m))
+    parts = (p for *d, t, m in rows(batches, "_doc", "_version", "text", "marks") for p in run_parts(tuple(d), t, m))
     return _arrow((windows_of(b, hasher) for b in bundles(parts)), WINDOWS)
 
 
@@ -256,14 +257,15 @@ def repeated_words(n_words: int, marks: list[int] | None, first_windows: list[in
 
 def repeats(docs: DataFrame) -> DataFrame:
     """``_doc, text, marks, first_windows`` of every row; ``repeated_words`` turns the last two into a mask."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("_doc"), "text")
-    named = texts.where("_doc IS NOT NULL").select(F.col("_doc").alias("doc_id"), "text")
+    texts = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.xxhash64("text").alias("_version"), "text")
+    named = texts.where("_doc IS NOT NULL").select(F.col("_doc").alias("doc_id"), F.col("_version").alias("version"), "text")
     marks = stage(marked_blocks(stage(repeated_blocks(named), "blocks")), "marks")
-    with_marks = texts.join(marks, texts["_doc"] == marks["doc_id"], "left").select("_doc", "text", "marks")
-    windows = with_marks.mapInArrow(_windows, "w1 long, w2 long, doc_id long, start int")
-    firsts = windows.groupBy("w1", "w2").agg(F.min(F.struct("doc_id", "start")).alias("first"))
-    firsts = firsts.groupBy(F.col("first.doc_id").alias("doc_id")).agg(F.collect_list("first.start").alias("first_windows"))
-    return with_marks.join(firsts, with_marks["_doc"] == firsts["doc_id"], "left").select("_doc", "text", "marks", "first_windows")
+    same = [F.col("_doc") == F.col("doc_id"), F.col("_version") == F.col("version")]
+    with_marks = texts.join(marks, same, "left").select("_doc", "_version", "text", "marks")
+    windows = with_marks.mapInArrow(_windows, "w1 long, w2 long, doc_id long, version long, start int")
+    firsts = windows.groupBy("w1", "w2").agg(F.min(F.struct("doc_id", "version", "start")).alias("first"))
+    firsts = firsts.select("first.*").groupBy("doc_id", "version").agg(F.collect_list("start").alias("first_windows"))
+    return with_marks.join(firsts, same, "left").select("_doc", "text", "marks", "first_windows")
 
 
 def drop_repeated_passages(docs: DataFrame) -> DataFrame:

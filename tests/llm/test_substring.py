@@ -1,27 +1,37 @@
 import random
 
+import xxhash
+
 from tablewright.llm import substring
 
 
 def brute(rows):
-    """Words left of each document in the order of ids."""
+    """Words left of each document in the order of ids, and of ``version`` where they are equal."""
     seen, out = set(), {}
-    for d, text in sorted((r for r in rows if r[0] is not None), key=lambda r: r[0]):
+    for d, text in sorted({r for r in rows if r[0] is not None}, key=lambda r: (r[0], version(r[1]))):
         words = (text or "").encode().split()
-        if d in out:
-            continue
         gone = [False] * len(words)
         for s in range(len(words) - 19):
             window = tuple(words[s : s + 20])
             if window in seen:
                 gone[s : s + 20] = [True] * 20
             seen.add(window)
-        out[d] = (len(words), sum(gone), b" ".join(w for w, g in zip(words, gone) if not g).decode())
-    return out
+        out.setdefault(d, []).append((len(words), sum(gone), b" ".join(w for w, g in zip(words, gone) if not g).decode()))
+    return {d: sorted(rows) for d, rows in out.items()}
+
+
+def version(text):
+    """The hash of a text as Spark makes it: the seed for a null."""
+    value = 42 if text is None else xxhash.xxh64_intdigest(text.encode(), 42)
+    return value - (value >> 63 << 64)
 
 
 def found(df):
-    return {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in df.collect() if r.doc_id is not None}
+    out = {}
+    for r in df.collect():
+        if r.doc_id is not None:
+            out.setdefault(r.doc_id, set()).add((r.n_words, r.n_removed, r.kept))
+    return {d: sorted(rows) for d, rows in out.items()}
 
 
 def passages(seed, n):
@@ -64,6 +74,15 @@ def test_edge_cases(docs, edges):
     assert sum(r.doc_id == 7 for r in df.collect()) == 2
 
 
+def test_one_id_with_different_texts(docs):
+    """Rows that share a doc_id are documents of their own."""
+    r, u, v = (" ".join(f"{k}{i}" for i in range(25)) for k in "ruv")
+    rows = [(1, r), (5, f"{u} {r}"), (5, f"{r} {v}"), (5, f"{r} {v}"), (6, f"{v} {u}"), (6, None), (6, f"{u} new")]
+    got = found(substring.drop_repeated_passages(docs(rows)))
+    assert got == brute(rows)
+    assert [x[1] for x in got[5]] == [25, 25]
+
+
 def test_small_tables(docs, sample):
     rows = [(r["doc_id"], r["text"]) for r in sample]
     assert found(substring.drop_repeated_passages(docs(rows))) == brute(rows)
@@ -78,15 +97,15 @@ def test_parts_hold_every_window_once(monkeypatch):
     hasher = substring.Hasher()
     for n in (0, 19, 20, 64, 83, 84, 200):
         words = [b"%d" % i for i in range(n)]
-        blocks = [substring.blocks_of([p], hasher) for p in substring.chunks(1, words)]
-        windows = [s + k for b in blocks for s, m in zip(b[3].tolist(), b[4].tolist()) for k in range(m)]
+        blocks = [substring.blocks_of([p], hasher) for p in substring.chunks((1, 1), words)]
+        windows = [s + k for b in blocks for s, m in zip(b[4].tolist(), b[5].tolist()) for k in range(m)]
         assert windows == list(range(max(0, n - 19)))
 
 
 def test_blocks_do_not_depend_on_neighbours():
     hasher = substring.Hasher()
     words = [b"%d" % (i * i % 701) for i in range(500)]
-    alone = substring.blocks_of([(1, 0, words)], hasher)
-    bundled = substring.blocks_of([(7, 0, words[:90]), (1, 0, words), (8, 0, words[50:])], hasher)
+    alone = substring.blocks_of([((1, 5), 0, words)], hasher)
+    bundled = substring.blocks_of([((7, 5), 0, words[:90]), ((1, 5), 0, words), ((8, 5), 0, words[50:])], hasher)
     own = bundled[2] == 1
     assert all((a == b[own]).all() for a, b in zip(alone, bundled))
