@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from statistics import NormalDist
 
 BASE = """base AS MATERIALIZED (
@@ -1054,3 +1055,115 @@ def summary_report() -> str:
 
 def distribution_body() -> str:
     return _shape("sum_price", "sum_price", "base") + UNION + _shape("log1p(sum_price)", "ln(1 + sum_price)", "base")
+
+
+# ---------------------------------------------------------------- boosting and forests
+
+
+def grown(prefix: str, start: str, features: list[str], weight: str, depth: int, l2: float, step: float, symmetric: bool = False, leaves: int | None = None) -> list[str]:
+    """Tables for one more tree: ``{prefix}_done`` is ``start`` (with y, score and a weight expression) with the tree added to the score.
+
+    Each level splits every node where squared sums gain most; one split serves the whole level if it is symmetric, and with a number of leaves
+    only the best nodes of a level are split. Equal gains go to the first feature and the smallest value.
+    """
+    ctes = [f"{prefix}_0 AS MATERIALIZED (SELECT *, {weight} AS w, 0 AS node FROM {start})"]
+    open_leaves = 1
+    for d in range(depth):
+        now, upto, best = f"{prefix}_{d}", f"{prefix}_u{d}", f"{prefix}_b{d}"
+        sums = UNION.join(
+            f"SELECT node, {i} AS f, {c} AS v, sum(w * (y - score)) AS s, sum(w) AS n FROM {now} WHERE w > 0 GROUP BY node, {c}" for i, c in enumerate(features)
+        )
+        values = f"(SELECT DISTINCT f, v FROM ({sums}) q)"
+        # Every value of a feature is tried in every node, also where the node has no such row.
+        ctes.append(
+            f"""{upto} AS MATERIALIZED (SELECT node, f, v, sum(s) OVER w AS ls, sum(n) OVER w AS ln, sum(s) OVER (PARTITION BY node, f) AS ts, sum(n) OVER (PARTITION BY node, f) AS tn
+            FROM (SELECT k.node, a.f, a.v, coalesce(x.s, 0) AS s, coalesce(x.n, 0) AS n FROM {values} a CROSS JOIN (SELECT DISTINCT node FROM {now} WHERE w > 0) k
+                  LEFT JOIN ({sums}) x ON x.node = k.node AND x.f = a.f AND x.v = a.v) g
+            WINDOW w AS (PARTITION BY node, f ORDER BY v))"""
+        )
+        gain = f"CASE WHEN ln >= 1 AND tn - ln >= 1 THEN ls * ls / (ln + {l2}) + (ts - ls) * (ts - ls) / (tn - ln + {l2}) - ts * ts / (tn + {l2}) END"
+        if symmetric:
+            ctes.append(
+                f"""{best} AS MATERIALIZED (SELECT n.node, f, v, gain FROM (SELECT f, v, sum({gain}) AS gain FROM {upto} GROUP BY f, v HAVING sum({gain}) > 0
+                ORDER BY gain DESC, f, v LIMIT 1) b CROSS JOIN (SELECT DISTINCT node FROM {upto}) n)"""
+            )
+        else:
+            top = "" if leaves is None else f"QUALIFY row_number() OVER (ORDER BY gain DESC, node) <= {leaves - open_leaves}"
+            ctes.append(
+                f"""{best} AS MATERIALIZED (SELECT * FROM (SELECT node, f, v, {gain} AS gain FROM {upto} QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC NULLS LAST, f, v) = 1) b
+                WHERE gain > 1e-9 {top})"""
+            )
+        chosen = "CASE f " + " ".join(f"WHEN {i} THEN {c}" for i, c in enumerate(features)) + " END"
+        ctes.append(
+            f"""{prefix}_{d + 1} AS MATERIALIZED (SELECT r.* EXCLUDE (node), CASE WHEN b.f IS NULL THEN r.node ELSE 2 * r.node + CASE WHEN {chosen} <= b.v THEN 1 ELSE 2 END END AS node
+            FROM {now} r LEFT JOIN {best} b USING (node))"""
+        )
+        open_leaves = min(2 * open_leaves, leaves or 2 ** (d + 1))
+    last = f"{prefix}_{depth}"
+    ctes.append(
+        f"""{prefix}_done AS MATERIALIZED (SELECT r.* EXCLUDE (node, w, score), score + coalesce(value, 0) AS score FROM {last} r
+        LEFT JOIN (SELECT node, {step} * sum(w * (y - score)) / (sum(w) + {l2}) AS value FROM {last} WHERE w > 0 GROUP BY node) USING (node))"""
+    )
+    return ctes
+
+
+FEW = ["n_lines", "has_return", "o_month"]
+FEW_ROWS = f"""few AS MATERIALIZED (SELECT id, n_lines, has_return, o_month, o_year, CASE WHEN {hashed()} % 100 < 20 THEN 1 ELSE 0 END AS is_valid,
+    {hashed()} % 2147483647 AS h, ln(1 + sum_price) AS y FROM base WHERE sum_price IS NOT NULL AND n_lines IS NOT NULL)"""
+
+
+def boosted(name: str, rows: str, seen: str, rounds: int, step: float, **growth) -> list[str]:
+    """Tables ``{name}{r}_done`` with the score after each round; round 0 is the mean."""
+    ctes = [f"{name}0_done AS MATERIALIZED (SELECT *, (SELECT avg(y) FROM {rows} WHERE {seen}) AS score FROM {rows})"]
+    for r in range(1, rounds + 1):
+        ctes += grown(f"{name}{r}", f"{name}{r - 1}_done", FEW, f"CASE WHEN {seen} THEN 1.0 ELSE 0.0 END", step=step, **growth)
+    return ctes
+
+
+#: Ways for trees to grow, small enough to be told in SQL.
+SMALL_GROWTHS = {
+    "wide": dict(depth=2, l2=0.0, leaves=3),
+    "shallow": dict(depth=2, l2=1.0),
+    "symmetric": dict(depth=2, l2=3.0, symmetric=True),
+}
+
+
+def boosting_growths(rounds: int = 3, step: float = 0.3) -> str:
+    ctes = [c for n, g in SMALL_GROWTHS.items() for c in boosted(f"{n}_", "few", "is_valid = 0", rounds, step, **g)]
+    curves = [
+        f"SELECT '{n}' AS model, {r} AS round, sqrt(avg((y - score) * (y - score))) AS rmse FROM {n}_{r}_done WHERE is_valid = 1" for n in SMALL_GROWTHS for r in range(rounds + 1)
+    ]
+    return sql(UNION.join(curves), FEW_ROWS, *ctes)
+
+
+def boosting_refit(rounds: int = 6, step: float = 0.9, patience: int = 2) -> str:
+    """Errors after each round decide where a fit without the held-out rows ends; one on all rows of that length scores the others."""
+    growth = SMALL_GROWTHS["shallow"]
+    curve = UNION.join(f"SELECT {r} AS round, avg((y - score) * (y - score)) AS e FROM held_{r}_done WHERE o_year < 2000 AND is_valid = 1" for r in range(rounds + 1))
+    best = f"""best AS (SELECT best FROM (SELECT round, arg_min(round, e) OVER (ORDER BY round) AS best FROM ({curve}) c) x
+        WHERE round - best >= {patience} OR round = {rounds} ORDER BY round LIMIT 1)"""
+    scored = UNION.join(f"SELECT id, score, {r} AS round FROM all_{r}_done WHERE o_year >= 2000" for r in range(1, rounds + 1))
+    return sql(
+        f"SELECT id, exp(score) - 1 AS prediction, best AS rounds FROM ({scored}) s JOIN best ON round = greatest(best, 1)",
+        FEW_ROWS,
+        *boosted("held_", "few", "o_year < 2000 AND is_valid = 0", rounds, step, **growth),
+        *boosted("all_", "few", "o_year < 2000", rounds, step, **growth),
+        best,
+    )
+
+
+def forest_small(trees: int = 3, depth: int = 2) -> str:
+    """Bags from a hash of the key: the number of copies is that of Poisson shares at or below a uniform number."""
+    shares, total, term = [], 0.0, math.exp(-1)
+    for k in range(8):
+        total += term
+        shares.append(total)
+        term /= k + 1
+    ctes = []
+    for t in range(trees):
+        uniform = f"(h * {pow(48271, t + 1, 2147483647)} % 2147483647) / 2147483647.0::DOUBLE"
+        copies = " + ".join(f"CASE WHEN {uniform} >= {s!r} THEN 1.0 ELSE 0.0 END" for s in shares)
+        ctes += [f"bag{t} AS MATERIALIZED (SELECT *, 0.0::DOUBLE AS score FROM few)"]
+        ctes += grown(f"tree{t}", f"bag{t}", FEW, f"CASE WHEN o_year < 2000 THEN {copies} ELSE 0.0 END", depth, 0.0, 1.0)
+    every = UNION.join(f"SELECT id, score FROM tree{t}_done WHERE o_year >= 2000" for t in range(trees))
+    return sql(f"SELECT id, exp(avg(score)) - 1 AS prediction FROM ({every}) e GROUP BY id", FEW_ROWS, *ctes)

@@ -15,6 +15,7 @@ from ..operators import (
     encode,
     evaluate,
     features,
+    histograms,
     linear,
     missing,
     outliers,
@@ -821,6 +822,48 @@ def _(spark, folder):
     return trees.feature_importance(model, train, STUMP_FEATURES)
 
 
+# ---------------------------------------------------------------- boosting and forests from histograms
+
+GROWTHS = {
+    "wide": histograms.Growth(2, leaves=3),
+    "shallow": histograms.Growth(2, l2=1.0),
+    "symmetric": histograms.Growth(2, symmetric=True, l2=3.0),
+}
+HELD = histograms.Rows((("is_valid", 1),))
+
+
+def _few_rows(spark, folder):
+    rows = catalog.complete_rows(base(spark, folder), [TARGET, *STUMP_FEATURES]).withColumn("y", F.log1p(TARGET))
+    return split.with_validation(rows, KEY)
+
+
+@query("boosting_growths", "model:s round:l rmse:d", O.boosting_growths())
+def _(spark, folder):
+    """Error after each of three rounds, for the three ways trees grow, small enough to be told in SQL."""
+    jobs = {n: (histograms.Boosting(3, 0.3, g), HELD) for n, g in GROWTHS.items()}
+    models = histograms.boost(_few_rows(spark, folder), STUMP_FEATURES, "y", KEY, jobs, ["is_valid"])
+    return shaping.union_all([histograms.error_curve(m, base(spark, folder)).withColumn("model", F.lit(n)) for n, m in models.items()])
+
+
+@query("boosting_refit", "id:l prediction:d rounds:l", O.boosting_refit())
+def _(spark, folder):
+    """Early stop with patience, refit on all train rows with the best number of rounds, score the test rows on the original scale."""
+    rows = _few_rows(spark, folder)
+    train, test = rows.filter("o_year < 2000"), rows.filter("o_year >= 2000").drop("y")
+    spec = histograms.Boosting(6, 0.9, GROWTHS["shallow"], patience=2)
+    stopped, final = histograms.stopped_then_refit(train, STUMP_FEATURES, "y", KEY, "is_valid", spec)
+    scored = sinks.scored(test.withColumn("prediction", final.prediction()), KEY, "prediction")
+    return scored.withColumn("rounds", F.lit(stopped.best))
+
+
+@query("forest_small", "id:l prediction:d", O.forest_small())
+def _(spark, folder):
+    """Three trees of depth two on bags of the train rows."""
+    rows = _few_rows(spark, folder)
+    model = histograms.forest(rows.filter("o_year < 2000"), STUMP_FEATURES, "y", KEY, 3, histograms.Growth(2))["forest"]
+    return sinks.scored(rows.filter("o_year >= 2000").withColumn("prediction", model.prediction()), KEY, "prediction")
+
+
 MEMBERS = {
     "ridge": linear.LINEAR_MODELS["Ridge"],
     "wide": trees.TreeSpec("boost", 5, 5, 0.5),

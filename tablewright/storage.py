@@ -65,3 +65,12 @@ def pin_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     if len(rows) > max_rows:
         return stage(df, "pinned")
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a table that ``stage`` has written, once a later one holds all that is needed of it."""
+    spark, root = df.sparkSession, checkpoint_root(df.sparkSession).removeprefix("file://").removeprefix("file:")
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        if root in folder:
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
