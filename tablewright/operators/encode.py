@@ -9,11 +9,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
-from ..functions.scalar import col
+from ..functions.scalar import col, nan_to_null
 from ..storage import pin_small, stage
 from .catalog import Catalog, column_profile, is_missing, numeric_columns, present
 from .missing import fill_for_model
 from .shaping import labelled, union_all
+from .split import key_hash
 
 #: One-hot output is as wide as the levels; beyond this a column is not a category.
 MAX_LEVELS = 1_000
@@ -235,6 +236,34 @@ def target_encode(
     return joined.withColumn(name, value).select(*[col(c) for c in df.columns], name)
 
 
+def ordered_target_encode(df: DataFrame, column: str, target: str, key: str, name: str, weight: float = 1.0, seed: int | None = None) -> DataFrame:
+    """Mean target of the rows of the same level that come earlier in a shuffled order, drawn to the overall mean with the given weight.
+
+    The order is that of a hash of the key, so no row sees its own target and results do not depend on partitions. Sums are
+    made in two stages: blocks of the order are summed per level, then rows within their block, so that a level
+    that holds half of all rows is spread over as many tasks as there are blocks. A null level gets the overall mean; a row without
+    a target is encoded and adds nothing.
+    """
+    known = nan_to_null(col(target).cast("double"))
+    overall = df.agg(F.avg(known)).first()[0]
+    if overall is None:
+        return df.withColumn(name, F.lit(None).cast("double"))
+    blocks = 4 * max(16, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    place = key_hash(key, seed)
+    rows = df.withColumns({"__level": col(column).cast("string"), "__y": known, "__at": place, "__block": F.floor(place * blocks / 2**32).cast("int")})
+    summed = rows.where("__level IS NOT NULL").groupBy("__level", "__block").agg(F.sum("__y").alias("s"), F.count("__y").alias("n"))
+    earlier = Window.partitionBy("__level").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    before = summed.select("__level", "__block", F.sum("s").over(earlier).alias("__bs"), F.sum("n").over(earlier).alias("__bn"))
+    within = Window.partitionBy("__level", "__block").orderBy("__at", col(key)).rowsBetween(Window.unboundedPreceding, -1)
+    joined = rows.join(before, ["__level", "__block"], "left")
+    zero = lambda c: F.coalesce(c, F.lit(0.0))
+    total_s = zero(F.col("__bs")) + zero(F.sum("__y").over(within))
+    total_n = zero(F.col("__bn")) + zero(F.count("__y").over(within))
+    encoded = (total_s + F.lit(weight * overall)) / (total_n + F.lit(weight))
+    value = F.when(F.col("__level").isNull(), F.lit(overall)).otherwise(encoded)
+    return joined.withColumn(name, value).select(*[col(c) for c in df.columns], name)
+
+
 @dataclass
 class TargetMeans:
     """Target mean per column and level: one value per fold left out, and last the one over all rows."""

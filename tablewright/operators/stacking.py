@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +13,8 @@ from pyspark.sql import functions as F
 from ..functions.moments import rmse
 from ..functions.scalar import col
 from .catalog import complete_rows
-from .linear import LinearModel, fit_linear
+from .comoments import CoMoments, comoments
+from .linear import LINEAR_MODELS, LinearModel, fit_linear, held_out_mse, solve
 from .trees import TreeSpec, fit_trees, out_of_fold, predict
 
 RIDGE = ("ridge", 10.0, 0.0)
@@ -61,6 +63,57 @@ def fit_stack(
     return Stack(_fit_all(rows, features, label, specs), meta)
 
 
+#: Linear members of a stack, by their penalties.
+LINEAR_MEMBERS = {"ols": LINEAR_MODELS["Linear Regression"], "ridge": LINEAR_MODELS["Ridge"], "strong": ("ridge", 1000.0, 0.0)}
+
+
+def stack_linear(parts: Mapping[int, CoMoments], members: Mapping[str, tuple], meta: tuple = RIDGE) -> tuple:
+    """Weights and intercept of a stack of linear members, from the co-moments of its folds.
+
+    Predictions for a fold by members that have not seen it are linear in the features, so their co-moments with the label follow
+    from those of the fold, and so does the meta-model: nothing is fitted on rows, and no row is read again. As the members and the meta-model are
+    linear, the whole stack is one linear model.
+    """
+    blind = []
+    for fold, own in parts.items():
+        rest = [m for f, m in parts.items() if f != fold]
+        if rest:
+            seen = rest[0].merged(*rest[1:])
+            fitted = [solve(spec, seen) for spec in members.values()]
+            # A row for each member, then the label as it is.
+            turn = np.vstack([*[np.append(w, 0.0) for w, _ in fitted], np.append(np.zeros(len(own.mean) - 1), 1.0)])
+            shift = np.array([*[b for _, b in fitted], 0.0])
+            blind.append(CoMoments(own.n, turn @ own.mean + shift, turn @ own.cross @ turn.T))
+    weights, intercept = solve(meta, blind[0].merged(*blind[1:]))
+    everything = list(parts.values())
+    final = [solve(spec, everything[0].merged(*everything[1:])) for spec in members.values()]
+    return sum(v * w for v, (w, _) in zip(weights, final)), float(intercept + sum(v * b for v, (_, b) in zip(weights, final)))
+
+
+def fit_stack_linear(df: DataFrame, features: Sequence[str], label: str, fold: str, members: Mapping[str, tuple] | None = None) -> LinearModel:
+    """One scan, whatever the number of members and folds."""
+    parts = {k[0]: m for k, m in comoments(df, [*features, label], by=[fold]).items()}
+    return LinearModel.of(features, stack_linear(parts, members or LINEAR_MEMBERS))
+
+
+def cv_stack_linear(
+    df: DataFrame, features: Sequence[str], label: str, outer: str, inner: str, members: Mapping[str, tuple] | None = None
+) -> DataFrame:
+    """``(model, fold, rmse)``: the whole stack is fitted again without each outer fold, all from one scan."""
+    cells = comoments(df, [*features, label], by=[outer, inner])
+    out = []
+    for f in sorted({o for o, _ in cells}):
+        parts = {}
+        for (o, i), m in cells.items():
+            if o != f:
+                parts[i] = parts[i].merged(m) if i in parts else m
+        held = [m for (o, _), m in cells.items() if o == f]
+        if len(parts) > 1:
+            mse = held_out_mse(stack_linear(parts, members or LINEAR_MEMBERS), held[0].merged(*held[1:]))
+            out.append(("Stacking linear", int(f), mse**0.5))
+    return df.sparkSession.createDataFrame(out, "model string, fold int, rmse double")
+
+
 def cv_stack(
     df: DataFrame,
     features: Sequence[str],

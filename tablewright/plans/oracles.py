@@ -838,6 +838,66 @@ def csv_roundtrip() -> str:
     return "SELECT doc_id, md5(text) AS text_md5, lang, n_chars FROM documents"
 
 
+def csv_loaders() -> str:
+    return """SELECT CASE WHEN doc_id % 3 = 0 THEN 'test' ELSE 'train' END AS part, doc_id, md5(text) AS text_md5, lang, n_chars FROM documents"""
+
+
+def table_replaced() -> str:
+    """Blank texts are null in a table, other tokens stay."""
+    return "SELECT doc_id, md5(nullif(text, '')) AS text_md5, CASE WHEN doc_id % 4 = 0 THEN 'NA' WHEN doc_id % 4 = 1 THEN NULL ELSE lang END AS lang FROM documents"
+
+
+def whole_text() -> str:
+    return "SELECT CAST(sum(length(text) + 1) AS BIGINT) AS n_chars, CAST(sum((length(text) - length(replace(text, 'the', ''))) // 3) AS BIGINT) AS n_the FROM documents"
+
+
+def column_types() -> str:
+    """Listed categories, then the text columns that no dictionary covers; nulls of blank text; keys of the list; rows that only one table has."""
+    return sql(
+        """SELECT 'leftover category' AS what, unnest(['o_month', 'n_name', 'c_mktsegment', 'o_orderstatus', 'top_flag']) AS name, NULL::BIGINT AS n
+        UNION ALL SELECT 'blank', 'url', count(*) - count(nullif(CASE WHEN page_id % 3 = 0 THEN '' ELSE url END, '')) FROM pages
+        UNION ALL SELECT 'listed', n_name, count(*) FROM base WHERE n_name IN (SELECT n_name FROM nation WHERE n_regionkey = 1) GROUP BY n_name
+        UNION ALL SELECT 'train only', c_mktsegment, count(*) FROM train WHERE c_mktsegment || o_month NOT IN (SELECT c_mktsegment || o_month FROM test) GROUP BY c_mktsegment"""
+    )
+
+
+def ordered_target() -> str:
+    """A level with half of the rows, nulls, and rows without a target."""
+    return f"""WITH rows AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_totalprice END AS y, {hashed('o_orderkey')} AS h,
+        CASE WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderkey % 2 = 0 THEN 'hot' ELSE CAST(o_custkey AS VARCHAR) END AS level FROM orders),
+    mean AS (SELECT avg(y) AS m FROM rows)
+    SELECT id, CASE WHEN level IS NULL THEN m ELSE (coalesce(sum(y) OVER w, 0) + m) / (count(y) OVER w + 1) END AS encoded FROM rows CROSS JOIN mean
+    WINDOW w AS (PARTITION BY level ORDER BY h, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
+
+
+def stacking_linear() -> str:
+    """Members fitted without the outer and inner fold, their predictions for the inner one, and a ridge over these."""
+    inner = "CAST('0x' || substr(md5('7:' || CAST(id AS VARCHAR)), 1, 8) AS BIGINT) % 3"
+    penalties = {"m0": "0", "m1": "10.0 / n", "m2": "1000.0 / n"}
+    ctes = [
+        *ROWS,
+        f"placed AS MATERIALIZED (SELECT *, {inner} AS inn FROM scaled)",
+        f"cov_in AS MATERIALIZED ({cov3('(SELECT f, g, s.* FROM range(0, 5) t(f), range(0, 3) u(g), placed s WHERE s.fold <> f AND s.inn <> g)', 'y', 'f, g', Z)})",
+        f"cov_out AS MATERIALIZED ({cov3('(SELECT f, s.* FROM range(0, 5) t(f), placed s WHERE s.fold <> f)', 'y', 'f', Z)})",
+    ]
+    for m, p in penalties.items():
+        ctes += [f"in_{m} AS MATERIALIZED (SELECT f, g, w0, w1, w2, b FROM ({cramer3('SELECT * FROM cov_in', p, 'f, g, ')}) o)"]
+        ctes += [f"out_{m} AS MATERIALIZED (SELECT f, w0, w1, w2, b FROM ({cramer3('SELECT * FROM cov_out', p, 'f, ')}) o)"]
+
+    def value(w):
+        return f"{w}.b + {w}.w0 * z0 + {w}.w1 * z1 + {w}.w2 * z2"
+
+    blind = " ".join(f"JOIN in_{m} ON in_{m}.f = t.f AND in_{m}.g = s.inn" for m in penalties)
+    seen = " ".join(f"JOIN out_{m} ON out_{m}.f = s.fold" for m in penalties)
+    ctes += [
+        f"blind AS MATERIALIZED (SELECT t.f, y, {', '.join(f'{value(f'in_{m}')} AS p{i}' for i, m in enumerate(penalties))} FROM range(0, 5) t(f) JOIN placed s ON s.fold <> t.f {blind})",
+        f"meta AS ({cramer3(cov3('blind', 'y', 'f', ['p0', 'p1', 'p2']), '10.0 / n', 'f, ')})",
+        f"seen AS (SELECT s.fold, y, {', '.join(f'{value(f'out_{m}')} AS p{i}' for i, m in enumerate(penalties))} FROM placed s {seen})",
+    ]
+    body = "SELECT 'Stacking linear' AS model, fold, sqrt(avg(pow(y - (b + w0 * p0 + w1 * p1 + w2 * p2), 2))) AS rmse FROM seen JOIN meta ON meta.f = fold GROUP BY fold"
+    return sql(body, *ctes)
+
+
 def sql_fallback() -> str:
     return "SELECT n_name, 'PARQUET:nation' AS source FROM nation"
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,7 +30,7 @@ from ..operators import (
 )
 from ..operators.missing import ImputePlan
 from ..operators.outliers import SizePriceRule
-from ..sources import readers, sinks
+from ..sources import readers, sinks, store
 from ..sources.readers import table
 from ..storage import scratch, stage
 from . import oracles as O
@@ -592,6 +594,16 @@ def _(spark, folder):
     return encode.target_encode(split.with_fold(rows, "id"), "level", "o_totalprice", "fold", "encoded")
 
 
+@query("target_ordered", "id:l encoded:d", O.ordered_target(), digits=8)
+def _(spark, folder):
+    """Statistics of earlier rows only, with a level on half of the rows, nulls, and rows without a target."""
+    key = F.col("o_orderkey")
+    level = F.when(key % 5 == 0, None).when(key % 2 == 0, "hot").otherwise(F.col("o_custkey").cast("string"))
+    price = F.when(key % 7 != 0, F.col("o_totalprice"))
+    rows = table(spark, folder, "orders").select(key.alias("id"), level.alias("level"), price.alias("y"))
+    return encode.ordered_target_encode(rows, "level", "y", "id", "encoded")
+
+
 # ---------------------------------------------------------------- splits, linear models, residuals
 
 
@@ -696,6 +708,13 @@ def _shuffled_scores(spark, folder):
     return linear.cv_linear(split.with_fold(_scaled_log(spark, folder), KEY), X3, "y", "fold")
 
 
+@query("stacking_linear", "model:s fold:l rmse:d", O.stacking_linear(), digits=6)
+def _(spark, folder):
+    """A stack of linear members in five outer and three inner folds, from one scan."""
+    rows = split.with_fold(split.with_fold(_scaled_log(spark, folder), KEY), KEY, 3, seed=7, name="inner")
+    return stacking.cv_stack_linear(rows, X3, "y", "fold", "inner")
+
+
 def _contiguous_scores(spark, folder):
     rows = split.with_contiguous_fold(_scaled_log(spark, folder), KEY)
     return linear.cv_linear(rows, X3, "y", "fold", {"Ridge contiguous": linear.LINEAR_MODELS["Ridge"]})
@@ -898,6 +917,68 @@ def _(spark, folder):
     return again.withColumn("text_md5", F.md5(F.encode("text", "UTF-8")))
 
 
+@query("csv_loaders", "part:s doc_id:l text_md5:s lang:s n_chars:l", O.csv_loaders())
+def _(spark, folder):
+    """A pair of CSV files with line breaks in their cells, read as callers do: types are inferred, nothing said about line breaks."""
+    docs, top = table(spark, folder, "documents").select("doc_id", "text", "lang", "n_chars"), scratch(spark)
+    parts = {"train": docs.where("doc_id % 3 <> 0"), "test": docs.where("doc_id % 3 = 0")}
+    paths = {n: sinks.write_result(df, top, n, "csv") for n, df in parts.items()}
+    train, test, _ = readers.read_pair(spark, *({"path": paths[n], "na_tokens": ()} for n in ("train", "test")))
+    both = [df.withColumn("part", F.lit(n)) for n, df in (("train", train), ("test", test))]
+    return shaping.union_all(both).withColumn("text_md5", F.md5(F.encode("text", "UTF-8")))
+
+
+@query("table_replaced", "doc_id:l text_md5:s lang:s", O.table_replaced())
+def _(spark, folder):
+    """A CSV file takes the place of a table that was there: blanks become null, other tokens stay."""
+    key = F.col("doc_id")
+    lang = F.when(key % 4 == 0, "NA").when(key % 4 == 1, "").otherwise(F.col("lang"))
+    docs = table(spark, folder, "documents").select("doc_id", "text", lang.alias("lang"))
+    name, top = f"replaced_{uuid4().hex}", scratch(spark)
+    sinks.replace_table(docs.select(key, F.lit("old").alias("text")), name)
+    sinks.load_csv_into_table(spark, sinks.write_result(docs, top, "documents", "csv"), name)
+    out = stage(spark.table(name), "replaced")
+    spark.sql(f"DROP TABLE {name}")
+    return out.withColumn("text_md5", F.md5(F.encode("text", "UTF-8")))
+
+
+@query("whole_text", "n_chars:l n_the:l", O.whole_text())
+def _(spark, folder):
+    """Texts written as plain files, each read as one string."""
+    path = f"{scratch(spark)}/texts"
+    table(spark, folder, "documents").select("text").write.text(path)
+    text = readers.read_whole_text(spark, f"{path}/part-*")
+    said = (F.char_length("text") - F.char_length(F.replace("text", F.lit("the"), F.lit("")))) / 3
+    return text.agg(F.sum(F.char_length("text")).alias("n_chars"), F.sum(said).alias("n_the"))
+
+
+@query("model_saved", "id:l prediction:d", O.stump_scored())
+def _(spark, folder):
+    """A fitted model written and read again scores as before."""
+    rows, _, model = _stump(spark, folder)
+    path = f"{scratch(spark)}/model"
+    store.save_model(model, path)
+    scored = trees.predict(store.load_model(path), rows.filter("o_year >= 2000").drop("y"))
+    return sinks.scored(scored, KEY, "prediction")
+
+
+@query("column_types", "what:s name:s n:l", O.column_types())
+def _(spark, folder):
+    """Small operators on columns and keys: leftover categories, blanks to null, membership in a list, rows that one table has alone."""
+    rows = base(spark, folder)
+    train, test = split_by_time(rows)
+    names = catalog.categorical_columns(rows, ["o_month", "n_name"], ["o_orderpriority"])
+    nothing = F.lit(None).cast("long")
+    leftover = spark.createDataFrame([(c,) for c in names], "name string").select(F.lit("leftover category").alias("what"), "name", nothing.alias("n"))
+    url = F.when(F.col("page_id") % 3 == 0, "").otherwise(F.col("url"))
+    blank = table(spark, folder, "pages").agg(F.count_if(S.blank_to_null(url).isNull()).alias("n")).select(F.lit("blank").alias("what"), F.lit("url").alias("name"), "n")
+    wanted = table(spark, folder, "nation").where("n_regionkey = 1").select("n_name")
+    listed = shaping.occurs_in(rows, "n_name", wanted).groupBy(F.col("n_name").alias("name")).count()
+    alone = shaping.only_in_first(train, test, ["c_mktsegment", "o_month"]).groupBy(F.col("c_mktsegment").alias("name")).count()
+    counted = [df.select(F.lit(w).alias("what"), "name", F.col("count").alias("n")) for w, df in (("listed", listed), ("train only", alone))]
+    return shaping.union_all([leftover, blank, *counted])
+
+
 @query("sql_fallback", "n_name:s source:s", O.sql_fallback())
 def _(spark, folder):
     """A table that the catalogue doesn't have is read from its file."""

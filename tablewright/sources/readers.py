@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+import io
+from collections import Counter
 from collections.abc import Mapping, Sequence
 
 from py4j.protocol import Py4JError
@@ -11,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import col, nan_to_null, tokens_to_null
+from .records import csv_records
 
 #: The tokens the usual CSV readers take as missing.
 DEFAULT_NA_TOKENS = (
@@ -21,6 +25,9 @@ DEFAULT_NA_TOKENS = (
 #: Quoting of CSV files, read and written.
 CSV_FORMAT = {"header": True, "quote": '"', "escape": '"'}
 
+#: Cells are read as they are; what is null is decided afterwards.
+CSV_CELLS = {"emptyValue": "", "nullValue": "\u0001", "maxCharsPerColumn": -1}
+
 #: Tokens of a load that keeps ``NA`` and ``None`` as text.
 BLANK_ONLY = ("",)
 
@@ -30,28 +37,53 @@ def read_csv(
     path: str,
     schema: T.StructType | None = None,
     na_tokens: Sequence[str] = DEFAULT_NA_TOKENS,
-    multi_line: bool = False,
+    multi_line: bool = True,
 ) -> DataFrame:
     """CSV with a header. ``na_tokens`` decides what is null, in text and numeric columns alike.
 
-    A quote in a quoted cell is written twice (RFC 4180). ``multi_line`` is for cells with line breaks;
-    such a file can't be split, each is read by one task.
+    A quote in a quoted cell is written twice (RFC 4180). Cells may have line breaks: one more scan then finds where records start,
+    so that large files are still read by many tasks. ``multi_line=False`` saves that scan where no cell has one.
 
     With a schema the file is read once, as text, and cast; a cell that does not parse is
     null. Without one, Spark infers the types of what is left after the tokens are removed.
     """
-    reader = spark.read.options(**CSV_FORMAT, multiLine=multi_line, emptyValue="", nullValue="\u0001")
+    if multi_line:
+        raw = _parsed(spark, path, schema)
+    else:
+        reader = spark.read.options(**CSV_FORMAT, **CSV_CELLS)
+        raw = (reader if schema is None else reader.schema(_as_text(f.name for f in schema))).csv(path)
     if schema is None:
-        raw = reader.csv(path)
         cleaned = raw.select(*[tokens_to_null(col(c), na_tokens).alias(c) for c in raw.columns])
         return _infer_numbers(cleaned)
-    text = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema])
-    raw = reader.schema(text).csv(path)
     return raw.select(
         *[tokens_to_null(col(f.name), na_tokens).try_cast(f.dataType).alias(f.name) for f in schema.fields]
     )
 
 
+def _as_text(names) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+
+
+def _parsed(spark: SparkSession, path: str, schema: T.StructType | None) -> DataFrame:
+    """Cells as text, of records that may have line breaks."""
+    header, records = csv_records(spark, path)
+    if header is None and schema is None:
+        raise ValueError(f"no header in {path}")
+    names = [f.name for f in schema] if schema is not None else _names(header)
+    # The columns are numbered while they are parsed, so that any name will do.
+    ddl = ", ".join(f"_c{i} string" for i in range(len(names)))
+    options = {k: str(v) for k, v in (CSV_FORMAT | CSV_CELLS).items() if k != "header"}
+    cells = records.select(F.from_csv("record", ddl, options).alias("cells"))
+    return cells.select(*[F.col(f"cells._c{i}").alias(n) for i, n in enumerate(names)])
+
+
+def _names(header: str) -> list[str]:
+    """Column names as the plain reader gives them: with their number where they are blank or repeat."""
+    cells = next(csv.reader(io.StringIO(header)))
+    seen = Counter(c.lower() for c in cells)
+    return [f"_c{i}" if not c else f"{c}{i}" if seen[c.lower()] > 1 else c for i, c in enumerate(cells)]
+
+
 def _infer_numbers(df: DataFrame) -> DataFrame:
     """Long where every value is a whole number, double where every value is a number, else text."""
     checks = []

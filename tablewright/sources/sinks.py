@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,10 +24,17 @@ def write_results(results: dict[str, DataFrame], folder: str, fmt: str = "parque
 
 
 def replace_table(df: DataFrame, table: str) -> None:
-    """Replace a catalogue table; empty text becomes null, every other text stays."""
+    """Replace a catalogue table; empty text becomes null, every other text stays.
+
+    The rows are written aside first and the new table takes the name last, so the old one may be read while it is
+    replaced, also by ``df`` itself, and stays whole if writing fails.
+    """
     text = {f.name for f in df.schema.fields if f.dataType.simpleString() == "string"}
     cleaned = df.select(*[(blank_to_null(col(c)) if c in text else col(c)).alias(c) for c in df.columns])
-    cleaned.write.mode("overwrite").saveAsTable(table)
+    spark, aside = df.sparkSession, f"{table}_{uuid4().hex}"
+    cleaned.write.saveAsTable(aside)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"ALTER TABLE {aside} RENAME TO {table}")
 
 
 def load_csv_into_table(spark: SparkSession, path: str, table: str) -> None:
