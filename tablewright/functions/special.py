@@ -65,3 +65,21 @@ def correlation_p_value(r: Column, n: Column) -> Column:
 
 def normal_quantile(p: float) -> float:
     return NormalDist().inv_cdf(p)
+
+
+def normal_score_sums():
+    """A function of columns (first position, end, rows): sums of the normal scores of these positions and of their squares.
+
+    The score of a position is the normal quantile of the median of its order statistic.
+    """
+
+    @F.pandas_udf("s double, q double")
+    def sums(start: pd.Series, end: pd.Series, rows: pd.Series) -> pd.DataFrame:
+        inverse, out = NormalDist().inv_cdf, []
+        for a, b, n in zip(start, end, rows):
+            top = 0.5 ** (1.0 / n)
+            scores = [inverse(1.0 - top if i == 0 else top if i == n - 1 else (i + 1 - 0.3175) / (n + 0.365)) for i in range(a, b)]
+            out.append((math.fsum(scores), math.fsum(z * z for z in scores)))
+        return pd.DataFrame(out, columns=["s", "q"])
+
+    return sums

@@ -338,16 +338,15 @@ def histogram50_lines() -> str:
 
 
 def density_curve() -> str:
-    return sql(
-        """SELECT point, x, sum(n * exp(-0.5 * pow((x - mid) / h, 2))) / (any_value(total) * any_value(h) * sqrt(2 * pi())) AS density
-        FROM (SELECT p AS point, lo + p * (hi - lo) / 199 AS x, h, total FROM range(0, 200) t(p) CROSS JOIN m) g CROSS JOIN bars
-        GROUP BY point, x""",
-        """m AS (SELECT min(sum_price) AS lo, max(sum_price) AS hi, count(sum_price) AS total,
-        stddev_samp(sum_price) * pow(count(sum_price), -0.2) AS h FROM base)""",
-        """bars AS (SELECT any_value(lo) + (bin - 0.5) * (any_value(hi) - any_value(lo)) / 512 AS mid, count(*) AS n FROM
-        (SELECT lo, hi, least(floor(512 * (sum_price - lo) / (hi - lo)) + 1, 512) AS bin FROM base CROSS JOIN m WHERE sum_price IS NOT NULL) w
-        GROUP BY bin)""",
-    )
+    """Every row at every point."""
+    parts = [
+        f"""SELECT '{name}' AS version, point, x, sum(exp(-0.5 * pow((x - v) / h, 2))) / (any_value(n) * any_value(h) * sqrt(2 * pi())) AS density
+        FROM (SELECT p AS point, lo + p * (hi - lo) / 199 AS x, h, n FROM range(0, 200) t(p) CROSS JOIN
+              (SELECT min({x}) AS lo, max({x}) AS hi, count({x}) AS n, stddev_samp({x}) * pow(count({x}), -0.2) AS h FROM base) m) g
+        CROSS JOIN (SELECT {x} AS v FROM base WHERE sum_price IS NOT NULL) r GROUP BY point, x"""
+        for name, x in (("raw", "sum_price"), ("log1p", "ln(1 + sum_price)"))
+    ]
+    return sql(UNION.join(parts))
 
 
 FENCED = """fenced AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lower_fence, q3 + 1.5 * (q3 - q1) AS upper_fence FROM
@@ -373,20 +372,47 @@ def boxplot_outliers() -> str:
     )
 
 
+#: The rational approximations of the normal quantile (algorithm AS 241), numerators and denominators from the lowest power.
+NORMAL_MIDDLE = (
+    ["3.3871328727963666080", "133.14166789178437745", "1971.5909503065514427", "13731.693765509461125", "45921.953931549871457", "67265.770927008700853", "33430.575583588128105", "2509.0809287301226727"],
+    ["1.0", "42.313330701600911252", "687.18700749205790830", "5394.1960214247511077", "21213.794301586595867", "39307.895800092710610", "28729.085735721942674", "5226.4952788528545610"],
+)
+NORMAL_TAIL = (
+    ["1.42343711074968357734", "4.63033784615654529590", "5.76949722146069140550", "3.64784832476320460504", "1.27045825245236838258", "0.241780725177450611770", "0.0227238449892691845833", "0.000774545014278341407640"],
+    ["1.0", "2.05319162663775882187", "1.67638483018380384940", "0.689767334985100004550", "0.148103976427480074590", "0.0151986665636164571966", "0.000547593808499534494600", "1.05075007164441684324e-9"],
+)
+
+
+def normal_quantile(p: str) -> str:
+    """For probabilities not nearer than 10^-11 to 0 or 1."""
+
+    def ratio(tables, x):
+        above, below = (" + ".join(f"{c}::DOUBLE * pow({x}, {k})" for k, c in enumerate(t)) for t in tables)
+        return f"(({above}) / ({below}))"
+
+    q = f"({p} - 0.5)"
+    far = f"(sqrt(-ln(least({p}, 1 - {p}))) - 1.6)"
+    return f"CASE WHEN abs({q}) <= 0.425 THEN {q} * {ratio(NORMAL_MIDDLE, f'(0.180625 - {q} * {q})')} ELSE sign({q}) * {ratio(NORMAL_TAIL, far)} END"
+
+
 def qq_points() -> str:
+    """Points at even probabilities; the line is that of all rows, each at the median of its order statistic."""
     probs = [(i + 0.5) / 99 for i in range(99)]
     z = "z(point, probability, theoretical) AS (VALUES " + ", ".join(
         f"({i}, {p!r}::DOUBLE, {NormalDist().inv_cdf(p)!r}::DOUBLE)" for i, p in enumerate(probs)
     ) + ")"
-    values = f"""obs AS (SELECT 'raw' AS version, unnest(range(0, 99)) AS point, unnest(quantile_cont(sum_price, {probs!r})) AS observed FROM base
-    UNION ALL SELECT 'log1p', unnest(range(0, 99)), unnest(quantile_cont(ln(1 + sum_price), {probs!r})) FROM base)"""
+    versions = {"raw": "sum_price", "log1p": "ln(1 + sum_price)"}
+    obs = UNION.join(f"SELECT '{n}' AS version, unnest(range(0, 99)) AS point, unnest(quantile_cont({x}, {probs!r})) AS observed FROM base" for n, x in versions.items())
+    ranked = UNION.join(
+        f"SELECT '{n}' AS version, {x} AS y, row_number() OVER (ORDER BY {x}) AS i, count(*) OVER () AS n FROM base WHERE sum_price IS NOT NULL" for n, x in versions.items()
+    )
+    share = "CASE WHEN i = 1 THEN 1 - pow(0.5, 1.0 / n) WHEN i = n THEN pow(0.5, 1.0 / n) ELSE (i - 0.3175) / (n + 0.365) END"
     return sql(
-        """SELECT version, point, probability, theoretical, observed,
-        regr_slope(observed, theoretical) OVER (PARTITION BY version) AS slope,
-        regr_intercept(observed, theoretical) OVER (PARTITION BY version) AS intercept,
-        corr(observed, theoretical) OVER (PARTITION BY version) AS r FROM obs JOIN z USING (point)""",
+        "SELECT version, point, probability, theoretical, observed, slope, intercept, r FROM obs JOIN z USING (point) JOIN lines USING (version)",
         z,
-        values,
+        f"obs AS ({obs})",
+        f"scored AS MATERIALIZED (SELECT version, y, {normal_quantile('p')} AS x FROM (SELECT version, y, ({share})::DOUBLE AS p FROM ({ranked}) k) s)",
+        "lines AS (SELECT version, regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept, corr(y, x) AS r FROM scored GROUP BY version)",
     )
 
 

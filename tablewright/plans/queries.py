@@ -277,9 +277,11 @@ def _(spark, folder):
     return bins.histogram(table(spark, folder, "lineitem"), "l_extendedprice")
 
 
-@query("density_curve", "point:l x:d density:d", O.density_curve(), digits=6)
+@query("density_curve", "version:s point:l x:d density:d", O.density_curve(), digits=6)
 def _(spark, folder):
-    return bins.density_curve(base(spark, folder), TARGET)
+    rows = base(spark, folder).select(TARGET, F.log1p(TARGET).alias("logged"))
+    curves = [("raw", bins.density_curve(rows, TARGET)), ("log1p", bins.density_curve(rows, "logged"))]
+    return shaping.union_all([shaping.labelled(df, version=n) for n, df in curves])
 
 
 @query("boxplot_stats", "n_name:s n:l q1:d median:d q3:d lower_fence:d12 upper_fence:d12 whisker_low:d whisker_high:d n_outliers:l", O.boxplot_stats())
