@@ -552,9 +552,34 @@ def correlation_importance() -> str:
     return sql("SELECT a AS feature, r AS pearson FROM matrix WHERE b = 'sum_price' AND a <> 'sum_price' ORDER BY r DESC LIMIT 3", MATRIX)
 
 
-def top_submatrix() -> str:
-    best = "(SELECT a FROM matrix WHERE b = 'sum_price' ORDER BY r DESC LIMIT 3)"
-    return sql(f"SELECT * FROM matrix WHERE a IN {best} AND b IN {best}", MATRIX)
+def top_submatrix(k: int = 3) -> str:
+    return sql(
+        f"SELECT m.a, m.b, m.r FROM matrix m JOIN ranked x ON m.a = x.a JOIN ranked y ON m.b = y.a WHERE x.place <= {k} AND y.place <= {k}",
+        MATRIX,
+        "ranked AS MATERIALIZED (SELECT a, row_number() OVER (ORDER BY r DESC, a) AS place FROM matrix WHERE b = 'sum_price')",
+    )
+
+
+def top_submatrix_wide(k: int = 10) -> str:
+    return sql(
+        f"SELECT m.a, m.b, m.r FROM matrix m JOIN ranked x ON m.a = x.a JOIN ranked y ON m.b = y.a WHERE x.place <= {k} AND y.place <= {k}",
+        WIDE_BASE,
+        f"matrix AS MATERIALIZED {_matrix(WIDE, 'wide')}",
+        "ranked AS MATERIALIZED (SELECT a, row_number() OVER (ORDER BY r DESC, a) AS place FROM matrix WHERE b = 'sum_price' AND r IS NOT NULL)",
+    )
+
+
+def correlation_importance_encoded(k: int = 15) -> str:
+    return f"SELECT * FROM ({encoded_correlation()}) e WHERE feature <> 'sum_price' ORDER BY pearson DESC, feature LIMIT {k}"
+
+
+def row_profile_wide(k: int = 10) -> str:
+    columns, out = [c for c in WIDE if c != "sum_price"], []
+    for which, order in (("high", "DESC"), ("low", "ASC")):
+        values = UNION.join(f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM {which}_row" for c in columns)
+        out.append(f"(SELECT '{which}' AS which, feature, value FROM ({values}) v WHERE value IS NOT NULL ORDER BY value DESC, feature LIMIT {k})")
+    rows = [f"{w}_row AS (SELECT * FROM wide WHERE sum_price IS NOT NULL ORDER BY sum_price {o}, id LIMIT 1)" for w, o in (("high", "DESC"), ("low", "ASC"))]
+    return sql(UNION.join(out), WIDE_BASE, *rows)
 
 
 def _spearman(x: str, y: str, table: str) -> str:
@@ -896,6 +921,83 @@ def ordered_target() -> str:
     WINDOW w AS (PARTITION BY level ORDER BY h, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
 
 
+#: Twelve features of a wide linear model.
+TWELVE = {
+    "n_lines": "n_lines", "sum_qty": "sum_qty", "avg_disc": "avg_disc", "o_totalprice": "o_totalprice", "c_acctbal": "c_acctbal", "o_year": "o_year",
+    "o_month": "o_month", "has_return": "has_return", "lines_squared": "n_lines * n_lines", "qty_disc": "sum_qty * avg_disc",
+    "log_total": "ln(o_totalprice)", "balance_year": "c_acctbal * (o_year - 1995)",
+}
+
+
+def cv_linear_wide() -> str:
+    """Least squares and ridge on twelve features: columns are made orthogonal one after the other on the rows of the other folds.
+
+    Ridge is least squares with a row for each feature that holds the root of the penalty.
+    """
+    names, scores = list(TWELVE), []
+    values = ", ".join(f"({x})::DOUBLE AS x{i}" for i, x in enumerate(TWELVE.values()))
+    ctes = [
+        f"rows AS MATERIALIZED (SELECT {hashed()} % 5 AS fold, ln(1 + sum_price) AS y, {values} FROM base WHERE sum_price IS NOT NULL AND n_lines IS NOT NULL)",
+        "means AS MATERIALIZED (SELECT f, avg(y) AS my, " + ", ".join(f"avg(x{i}) AS m{i}" for i in range(len(names))) + " FROM range(0, 5) t(f) JOIN rows ON fold <> f GROUP BY f)",
+    ]
+    for model, alpha in (("Linear Regression", 0.0), ("Ridge", 10.0)):
+        tag = "ols" if alpha == 0 else "ridge"
+        centred = ", ".join(f"x{i} - m{i} AS x{i}" for i in range(len(names)))
+        pseudo = UNION.join(
+            f"SELECT f, 1 AS seen, 0 AS real, 0.0::DOUBLE AS y, " + ", ".join(f"{math.sqrt(alpha) if i == k else 0.0}::DOUBLE AS x{i}" for i in range(len(names))) + " FROM range(0, 5) t(f)"
+            for k in range(len(names))
+        )
+        ctes.append(f"{tag}0 AS MATERIALIZED (SELECT f, CASE WHEN fold <> f THEN 1 ELSE 0 END AS seen, 1 AS real, y - my AS y, {centred} FROM means CROSS JOIN rows UNION ALL {pseudo})")
+        for k in range(len(names)):
+            later = [*[f"x{j}" for j in range(k + 1, len(names))], "y"]
+            shares = ", ".join(f"sum(x{k} * {c}) / sum(x{k} * x{k}) AS s_{c}" for c in later)
+            ctes.append(f"{tag}_s{k} AS MATERIALIZED (SELECT f, {shares} FROM {tag}{k} WHERE seen = 1 GROUP BY f)")
+            ctes.append(f"{tag}{k + 1} AS MATERIALIZED (SELECT f, seen, real, {', '.join(f'{c} - s_{c} * x{k} AS {c}' for c in later)} FROM {tag}{k} JOIN {tag}_s{k} USING (f))")
+        scores.append(f"SELECT '{model}' AS model, f AS fold, sqrt(avg(y * y)) AS rmse FROM {tag}{len(names)} WHERE seen = 0 AND real = 1 GROUP BY f")
+    return sql(UNION.join(scores), *ctes)
+
+
+def sparse_matrix() -> str:
+    """Places of a row: ten of numbers and codes, then a place per level of each category, in the order of their text; zeros and unknown levels have none."""
+    nominal = ["top_flag", "cust", "o_month"]
+    rows = """rows AS MATERIALIZED (SELECT o.o_orderkey AS id, o_orderdate < DATE '1998-01-01' AS seen, o_totalprice, CAST(l.n AS DOUBLE) AS n_lines,
+        CASE WHEN o.o_orderkey % 11 = 0 THEN NULL ELSE CAST(o_custkey AS VARCHAR) END AS cust, l.top_flag, CAST(month(o_orderdate) AS VARCHAR) AS o_month,
+        CASE o_orderpriority WHEN '5-LOW' THEN 0 WHEN '4-NOT SPECIFIED' THEN 1 WHEN '3-MEDIUM' THEN 2 WHEN '2-HIGH' THEN 3 WHEN '1-URGENT' THEN 4 ELSE -1 END AS prio
+        FROM orders o LEFT JOIN (SELECT l_orderkey, count(*) AS n, min(l_returnflag) AS top_flag FROM lineitem GROUP BY 1) l ON l_orderkey = o_orderkey)"""
+    stats = "stats AS (SELECT avg(o_totalprice) AS m0, avg(n_lines) AS m1 FROM rows WHERE seen)"
+    ctes, offset = [rows, stats], "3"
+    for c in nominal:
+        ctes.append(f"lv_{c} AS MATERIALIZED (SELECT {c} AS level, row_number() OVER (ORDER BY {c}) - 1 AS code FROM (SELECT DISTINCT {c} FROM rows WHERE seen AND {c} IS NOT NULL))")
+    offsets = {}
+    for c in nominal:
+        offsets[c] = offset
+        offset += f" + (SELECT count(*) FROM lv_{c})"
+    # The two scaled numbers, in order of their roles, then the ordinal code.
+    parts = [
+        "CASE WHEN o_totalprice <> m0 THEN [0] ELSE [] END", "CASE WHEN n_lines <> m1 THEN [1] ELSE [] END", "CASE WHEN prio <> 0 THEN [2] ELSE [] END",
+        *[f"CASE WHEN lv_{c}.code IS NOT NULL THEN [lv_{c}.code + {offsets[c]}] ELSE [] END" for c in nominal],
+    ]
+    joined = " ".join(f"LEFT JOIN lv_{c} ON lv_{c}.level = {c}" for c in nominal)
+    touched = "[]"
+    for p in parts:
+        touched = f"list_concat({touched}, {p})"
+    return (
+        "WITH " + ",\n".join(ctes) + f"""
+        SELECT id, {offset} AS size, len(touched) AS n_touched, list_aggregate(list_transform(touched, lambda i: CAST(i AS VARCHAR)), 'string_agg', ' ') AS places
+        FROM (SELECT id, {touched} AS touched FROM rows CROSS JOIN stats {joined}) t"""
+    )
+
+
+def sparse_ridge() -> str:
+    """With one place per level and nothing else the weights have a closed form."""
+    return """WITH rows AS (SELECT o_orderkey AS id, ln(o_totalprice) AS y, CASE WHEN o_orderkey % 11 = 0 THEN NULL WHEN o_orderkey % 3 = 0 THEN 'hot' ELSE CAST(o_custkey AS VARCHAR) END AS level,
+        o_orderdate < DATE '1998-01-01' AS seen FROM orders),
+    sums AS (SELECT level, sum(y) AS s, count(*) AS n FROM rows WHERE seen AND level IS NOT NULL GROUP BY level),
+    none AS (SELECT coalesce(sum(y), 0) AS s, count(*) AS n FROM rows WHERE seen AND level IS NULL),
+    start AS (SELECT (sum(10 * s / (n + 10)) + (SELECT s FROM none)) / (sum(10 * n / (n + 10)) + (SELECT n FROM none)) AS b FROM sums)
+    SELECT id, b + coalesce((s - n * b) / (n + 10), 0) AS prediction FROM rows CROSS JOIN start LEFT JOIN sums USING (level) WHERE NOT seen"""
+
+
 def stacking_linear() -> str:
     """Members fitted without the outer and inner fold, their predictions for the inner one, and a ridge over these."""
     inner = "CAST('0x' || substr(md5('7:' || CAST(id AS VARCHAR)), 1, 8) AS BIGINT) % 3"

@@ -24,6 +24,7 @@ from ..operators import (
     ranks,
     segments,
     shaping,
+    sparse,
     split,
     stacking,
     trees,
@@ -401,6 +402,24 @@ def _(spark, folder):
     return correlation.top_submatrix(correlation.pearson_matrix(base(spark, folder), COLUMNS), TARGET, 3)
 
 
+@query("top_submatrix_wide", "a:s b:s r:d", O.top_submatrix_wide(), digits=7)
+def _(spark, folder):
+    return correlation.top_submatrix(correlation.pearson_matrix(_wide(spark, folder), WIDE), TARGET, 10)
+
+
+@query("correlation_importance_encoded", "feature:s pearson:d", O.correlation_importance_encoded(), digits=6)
+def _(spark, folder):
+    """The 15 best of all encoded columns."""
+    train, _ = _modelled(spark, folder)
+    encoded = encode.encode(train, _encoder(train), [TARGET])
+    return correlation.correlation_importance(correlation.wide_pearson_matrix(encoded, encoded.columns), TARGET)
+
+
+@query("row_profile_wide", "which:s feature:s value:d", O.row_profile_wide())
+def _(spark, folder):
+    return shaping.row_profile(_wide(spark, folder), TARGET, KEY, [c for c in WIDE if c != TARGET])
+
+
 @query("spearman_ranking", "feature:s n:l spearman:d", O.spearman_ranking(), digits=7)
 def _(spark, folder):
     return ranks.spearman_ranking(base(spark, folder), NUMERIC, TARGET)
@@ -710,6 +729,53 @@ def _shuffled_scores(spark, folder):
     return linear.cv_linear(split.with_fold(_scaled_log(spark, folder), KEY), X3, "y", "fold")
 
 
+@query("cv_linear_wide", "model:s fold:l rmse:d", O.cv_linear_wide(), digits=6)
+def _(spark, folder):
+    """Least squares and ridge on twelve features."""
+    made = {
+        "lines_squared": col("n_lines") * col("n_lines"),
+        "qty_disc": col("sum_qty") * col("avg_disc"),
+        "log_total": F.log("o_totalprice"),
+        "balance_year": col("c_acctbal") * (col("o_year") - 1995),
+    }
+    names = [*NUMERIC, "o_year", "o_month", "has_return", *made]
+    rows = catalog.complete_rows(base(spark, folder), [TARGET, *NUMERIC]).withColumns(made).withColumn("y", F.log1p(TARGET))
+    models = {n: linear.LINEAR_MODELS[n] for n in ("Linear Regression", "Ridge")}
+    return linear.cv_linear(split.with_fold(rows, KEY), names, "y", "fold", models)
+
+
+SPARSE_CATALOG = catalog.Catalog(
+    roles={"numeric continuous": ["o_totalprice"], "numeric count": ["n_lines"], "ordinal": ["o_orderpriority"], "nominal": ["top_flag", "cust"], "special": ["o_month"]},
+    treatments={},
+    ordinal_levels=CATALOG.ordinal_levels,
+    binary_maps={},
+)
+
+
+@query("sparse_matrix", "id:l size:l n_touched:l places:s", O.sparse_matrix())
+def _(spark, folder):
+    """The whole encoder with a level for each customer: fitted on the rows before 1998, applied to all."""
+    lines = table(spark, folder, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"), F.min("l_returnflag").alias("top_flag"))
+    cust = F.when(F.col("o_orderkey") % 11 != 0, F.col("o_custkey").cast("string"))
+    rows = table(spark, folder, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    rows = rows.select(F.col("o_orderkey").alias("id"), "o_orderdate", "o_totalprice", "n_lines", "o_orderpriority", "top_flag", cust.alias("cust"), F.month("o_orderdate").alias("o_month"))
+    fitted = sparse.fit_sparse_encoder(rows.where("o_orderdate < DATE '1998-01-01'"), SPARSE_CATALOG)
+    return sparse.touched(sparse.sparse_encode(rows, fitted, ["id"]), "id")
+
+
+@query("sparse_ridge", "id:l prediction:d", O.sparse_ridge(), digits=6)
+def _(spark, folder):
+    """A ridge model over a level for each customer, one of them on a third of the rows."""
+    key = F.col("o_orderkey")
+    level = F.when(key % 11 == 0, None).when(key % 3 == 0, "hot").otherwise(F.col("o_custkey").cast("string"))
+    rows = table(spark, folder, "orders").select(key.alias("id"), level.alias("level"), F.log("o_totalprice").alias("y"), (F.col("o_orderdate") < "1998-01-01").alias("seen"))
+    only = catalog.Catalog(roles={"nominal": ["level"]}, treatments={}, ordinal_levels={}, binary_maps={})
+    fitted = sparse.fit_sparse_encoder(rows.where("seen"), only)
+    encoded = sparse.sparse_encode(rows, fitted, ["id", "y", "seen"])
+    model = sparse.fit_sparse_ridge(encoded.where("seen"), "row", "y")
+    return encoded.where("NOT seen").select("id", model.prediction().alias("prediction"))
+
+
 @query("stacking_linear", "model:s fold:l rmse:d", O.stacking_linear(), digits=6)
 def _(spark, folder):
     """A stack of linear members in five outer and three inner folds, from one scan."""
