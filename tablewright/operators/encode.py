@@ -216,6 +216,7 @@ def target_encode(
     sums = known.groupBy(col(column).alias("level"), col(fold).alias("f")).agg(
         F.sum(target).alias("s"), F.count(F.lit(1)).alias("n")
     )
+    sums = stage(sums, "sums")
     folds = sums.groupBy("f").agg(F.sum("s").alias("fold_s"), F.sum("n").alias("fold_n"))
     levels = sums.groupBy("level").agg(F.sum("s").alias("level_s"), F.sum("n").alias("level_n"))
     per_fold = {r["f"]: (r["fold_s"], r["fold_n"]) for r in folds.collect()}
@@ -384,6 +385,24 @@ def alignment_check(train: DataFrame, test: DataFrame, target: str) -> DataFrame
     return train.sparkSession.createDataFrame(rows, "check string, result string")
 
 
+def tables_aligned(train: DataFrame, test: DataFrame, target: str | None, levels: Sequence[str]) -> DataFrame:
+    """``(check, result, n)``: columns, types and levels of two tables as they are, with the number of differences of each kind."""
+    a, b = ({f.name: f.dataType.simpleString() for f in df.schema if f.name != target} for df in (train, test))
+    counts = {
+        "Same columns count": abs(len(a) - len(b)),
+        "Exactly matching columns": len(set(a) ^ set(b)),
+        "Missing cols in test": len(set(a) - set(b)),
+        "Missing cols in train": len(set(b) - set(a)),
+        "Same types": sum(a[c] != b[c] for c in set(a) & set(b)),
+    }
+    plain = train.sparkSession.createDataFrame([(k, int(v)) for k, v in counts.items()], "check string, n long")
+    drift = level_drift(train, test, [c for c in levels if c in a and c in b]).agg(
+        *[F.count_if(F.col("status") == s).alias(s) for s in ("train only", "test only")]
+    )
+    alone = drift.select(F.stack(F.lit(2), F.lit("Levels only in train"), F.col("train only"), F.lit("Levels only in test"), F.col("test only")).alias("check", "n"))
+    return plain.unionByName(alone).withColumn("result", F.when(F.col("n") == 0, "PASS").otherwise("FAIL"))
+
+
 def level_drift(train: DataFrame, test: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(feature, level, train_rows, test_rows, status)``: levels that only one table has."""
     parts = [p for c in columns for p in (F.lit(c), col(c).cast("string"))]

@@ -183,6 +183,12 @@ def binned(df: DataFrame, features: Sequence[str], label: str, key: str, marks:
     return out.withColumnsRenamed({f"_k{i}": c for i, c in enumerate(keep)})
 
 
+def dealt_out(rows: DataFrame) -> DataFrame:
+    """The table that all scans read, written in parts of equal size, at least one for each core."""
+    least = rows.sparkSession.sparkContext.defaultParallelism
+    return stage(rows.repartition(max(least, rows.rdd.getNumPartitions())), "binned")
+
+
 def fixed(values: np.ndarray) -> pa.Array:
     """A row of numbers each as one binary value."""
     width = values.shape[1] * values.itemsize
@@ -478,7 +484,7 @@ def boost(
     fits = {n: Fit(i, r, b.growth, b.step, Ensemble(list(features), cuts, gains=np.zeros(len(features)))) for i, (n, (b, r)) in enumerate(jobs.items())}
     if not fits:
         return {}
-    table = stage(rows.withColumn("scores", F.lit(bytes(8 * len(fits)))), "binned", even=True)
+    table = dealt_out(rows.withColumn("scores", F.lit(bytes(8 * len(fits)))))
     scan = Scan(table, marks, widths, len(fits))
     start_values(scan, list(fits.values()), widths)
 
@@ -529,7 +535,7 @@ def forest(
     complete = complete_rows(df, [*features, label])
     cuts = cut_points(complete, features, bins)
     widths = [len(c) + 1 for c in cuts]
-    table = stage(binned(complete, features, label, key, marks, cuts).withColumn("scores", F.lit(b"")), "binned", even=True)
+    table = dealt_out(binned(complete, features, label, key, marks, cuts).withColumn("scores", F.lit(b"")))
     scan = Scan(table, marks, widths, 0)
     models = {n: Ensemble(list(features), cuts, gains=np.zeros(len(features))) for n in jobs}
     every = [(n, t) for n in jobs for t in range(trees)]

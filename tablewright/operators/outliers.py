@@ -14,7 +14,7 @@ from .catalog import complete_rows
 from .features import keep_where_not
 from .linear import LinearModel, solve_ols
 from .comoments import comoments
-from .shaping import flag_where, union_all
+from .shaping import flag_where
 
 
 @dataclass(frozen=True)
@@ -51,7 +51,7 @@ def outlier_sensitivity(
     """The same least squares fit with and without flagged rows, scored on the held-out rows.
 
     One scan gives the co-moments per (validation, flag), from which both fits follow; one
-    more scores both on the held-out rows.
+    more scores both on the held-out rows, each by sums over its own rows.
     """
     features = [c for c in features if c in df.columns]
     spark = df.sparkSession
@@ -60,24 +60,24 @@ def outlier_sensitivity(
     rows = complete_rows(df.select(*features, target, flag, validation), [*features, target])
     groups = comoments(rows, [*features, target], by=[validation, flag])
     held_in = {f: m for (v, f), m in groups.items() if v == 0}
-    out = []
-    for scenario, flags in (("with_outliers", (0, 1)), ("without_outliers", (0,))):
+    sums, scenarios = [], []
+    for i, (scenario, flags) in enumerate((("with_outliers", (0, 1)), ("without_outliers", (0,)))):
         parts = [held_in[f] for f in flags if f in held_in]
         if not parts:
             return spark.createDataFrame([], SENSITIVITY_SCHEMA)
         fitted = parts[0].merged(*parts[1:])
         model = LinearModel.of(features, solve_ols(fitted))
-        kept = rows.filter(col(flag).isin(list(flags)))
-        held = col(validation) == 1
+        kept = col(flag).isin(list(flags))
+        held = kept & (col(validation) == 1)
         predicted = F.when(held, model.prediction())
         actual = F.when(held, col(target))
-        out.append(
-            kept.agg(
-                F.count(F.lit(1)).alias("n_rows"),
-                mae(actual - predicted).alias("mae"),
-                rmse(actual - predicted).alias("rmse"),
-                r2(actual, predicted).alias("r2"),
-                F.sum(F.lit(1 if len(flags) == 2 else 0) * col(flag)).alias("outlier_count"),
-            ).select(F.lit(scenario).alias("scenario"), "*")
-        )
-    return union_all(out)
+        scores = {
+            "n_rows": F.count_if(kept),
+            "mae": mae(actual - predicted),
+            "rmse": rmse(actual - predicted),
+            "r2": r2(actual, predicted),
+            "outlier_count": F.sum(F.when(kept, col(flag)).otherwise(0)),
+        }
+        sums += [value.alias(f"{name}{i}") for name, value in scores.items()]
+        scenarios.append(F.struct(F.lit(scenario).alias("scenario"), *[F.col(f"{name}{i}").alias(name) for name in scores]))
+    return rows.agg(*sums).select(F.inline(F.array(*scenarios)))

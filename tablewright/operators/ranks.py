@@ -1,4 +1,8 @@
-"""Average ranks and Spearman correlation without a global sort in one task."""
+"""Average ranks and Spearman correlation without a global sort in one task.
+
+Rows are reduced to counts of their distinct pairs of values first; only these are ranked, joined and shuffled, and the correlation is
+one of pairs with weights.
+"""
 
 from __future__ import annotations
 
@@ -7,10 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.moments import pearson
-from ..functions.scalar import clean_number, col
+from ..functions.scalar import clean_number, col, safe_ratio
 from ..storage import stage
-from .frequency import counts_of, cut_points, positions, with_ranges
+from .frequency import cut_points, positions, with_ranges
 from .missing import missing_columns
 
 #: Least value of ``hot_share``.
@@ -26,18 +29,20 @@ def hot_share(df: DataFrame) -> int:
 
 
 def rank_table(pairs: DataFrame) -> DataFrame:
-    """``(feature, side, value, rank, hot)``: average rank of every distinct value of both sides.
+    """``(feature, side, value, rank, hot)``: average rank of every distinct value of both sides, and by how much it exceeds the mean rank.
 
-    Written once, as the joins below read it several times.
+    Written once, as the joins below read it several times. The mean rank is known, so that nothing cancels in the sums.
     """
     x = F.struct(F.lit("x").alias("side"), "feature", F.col("xr").alias("rng"), F.col("x").alias("value"))
     y = F.struct(F.lit("y").alias("side"), F.col("y_feature").alias("feature"), F.col("yr").alias("rng"), F.col("y").alias("value"))
     sides = F.when(F.col("ranks_y"), F.array(x, y)).otherwise(F.array(x))
-    ranked = positions(counts_of(pairs.select(F.inline(sides)), ["side"]), ["side"]).select(
+    values = pairs.select("n", F.inline(sides)).groupBy("side", "feature", "rng", "value").agg(F.sum("n").alias("n"))
+    rank = F.struct((F.col("before") + (F.col("n") + 1) / 2.0).alias("rank"), (F.col("before") + (F.col("n") - F.col("total")) / 2.0).alias("off"))
+    ranked = positions(values, ["side"]).select(
         "feature",
         "side",
         "value",
-        (F.col("before") + (F.col("n") + 1) / 2.0).alias("rank"),
+        rank.alias("rank"),
         (F.col("n") * hot_share(pairs) > F.col("total")).alias("hot"),
     )
     return stage(ranked, "ranks")
@@ -66,7 +71,15 @@ def attach_average_ranks(pairs: DataFrame, ranked: DataFrame, side: str, feature
 
 
 def rank_pairs(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
-    """``(feature, x, y, rx, ry)``: ranks over the complete pairs of each feature with the target.
+    """``(feature, x, y, rx, ry)``: ranks over the complete pairs of each feature with the target, a row for each."""
+    each = F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy")
+    ranked = ranked_pairs(df, features, target)
+    return ranked.select("feature", "x", "y", F.col("rx.rank").alias("rx"), F.col("ry.rank").alias("ry"), each).drop("copy")
+
+
+def ranked_pairs(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
+    """``(feature, x, y, n, rx, ry)``: the distinct complete pairs of each feature with the target, their rows, and the ranks of both sides
+    (``rank``, and ``off``, its distance from the mean rank).
 
     Features without gaps share one ranking of the target.
     """
@@ -87,15 +100,18 @@ def rank_pairs(df: DataFrame, features: Sequence[str], target: str) -> DataFrame
         .withColumn("y_feature", F.when(in_shared, F.lit(shared[0] if shared else None)).otherwise(F.col("feature")))
         .withColumn("ranks_y", F.col("y_feature") == F.col("feature"))
     )
+    pairs = stage(pairs.groupBy(*pairs.columns).agg(F.count(F.lit(1)).alias("n")), "pairs")
     ranked = rank_table(pairs)
     placed = attach_average_ranks(pairs, ranked, "x", "feature", "rx")
-    return attach_average_ranks(placed, ranked, "y", "y_feature", "ry").select("feature", "x", "y", "rx", "ry")
+    return attach_average_ranks(placed, ranked, "y", "y_feature", "ry").select("feature", "x", "y", "n", "rx", "ry")
 
 
 def spearman(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
     """``(feature, n, spearman)``: Pearson correlation of the average ranks, nulls left out per pair."""
-    ranked = rank_pairs(df, features, target)
-    found = ranked.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), pearson(F.col("rx"), F.col("ry")).alias("spearman"))
+    ranked = ranked_pairs(df, features, target)
+    x, y, n = F.col("rx.off"), F.col("ry.off"), F.col("n")
+    spread = F.sqrt(F.sum(n * x * x)) * F.sqrt(F.sum(n * y * y))
+    found = ranked.groupBy("feature").agg(F.sum("n").alias("n"), safe_ratio(F.sum(n * x * y), spread).alias("spearman"))
     listed = df.sparkSession.createDataFrame([(c,) for c in features], "feature string")
     return listed.join(found, "feature", "left").select("feature", F.coalesce("n", F.lit(0)).alias("n"), "spearman")
 

@@ -105,6 +105,13 @@ def term_coverage() -> str:
     )
 
 
+def term_coverage_many(k: int = 1000) -> str:
+    """The words in the most texts, and the texts that hold them anywhere."""
+    return f"""WITH words AS (SELECT DISTINCT doc_id, unnest(string_split(text, ' ')) AS word FROM documents),
+    terms AS (SELECT word AS term FROM words WHERE length(word) >= 3 GROUP BY word ORDER BY count(*) DESC, word LIMIT {k})
+    SELECT term, count(*) FILTER (WHERE contains(text, term)) AS n_texts FROM terms CROSS JOIN documents GROUP BY term"""
+
+
 def na_semantics() -> str:
     parts = []
     for c, meaning in MEANINGS.items():
@@ -794,6 +801,21 @@ def alignment_check() -> str:
     )
 
 
+def tables_aligned() -> str:
+    """Customers against suppliers, their columns without prefix; the balance of suppliers as a whole number."""
+    return """WITH c AS (SELECT c_custkey AS custkey, c_name AS name, c_nationkey AS nationkey, c_acctbal AS acctbal, c_mktsegment AS mktsegment FROM customer),
+    s AS (SELECT s_suppkey AS suppkey, s_name AS name, s_nationkey AS nationkey, CAST(floor(s_acctbal) AS BIGINT) AS acctbal FROM supplier),
+    a AS (SELECT column_name AS n, column_type AS t FROM (DESCRIBE c)), b AS (SELECT column_name AS n, column_type AS t FROM (DESCRIBE s)),
+    joint AS (SELECT count(a.n) AS na, count(b.n) AS nb, count(*) FILTER (WHERE b.n IS NULL) AS ma, count(*) FILTER (WHERE a.n IS NULL) AS mb,
+             count(*) FILTER (WHERE a.t <> b.t) AS types FROM a FULL JOIN b ON a.n = b.n),
+    drift AS (SELECT unnest(['name', 'nationkey']) AS f, unnest([(SELECT count(*) FROM (SELECT name FROM c EXCEPT SELECT name FROM s)), (SELECT count(*) FROM (SELECT nationkey FROM c EXCEPT SELECT nationkey FROM s))]) AS da,
+             unnest([(SELECT count(*) FROM (SELECT name FROM s EXCEPT SELECT name FROM c)), (SELECT count(*) FROM (SELECT nationkey FROM s EXCEPT SELECT nationkey FROM c))]) AS db)
+    SELECT "check", n, CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END AS result FROM (
+      SELECT 'Same columns count' AS "check", abs(na - nb) AS n FROM joint UNION ALL SELECT 'Exactly matching columns', ma + mb FROM joint
+      UNION ALL SELECT 'Missing cols in test', ma FROM joint UNION ALL SELECT 'Missing cols in train', mb FROM joint UNION ALL SELECT 'Same types', types FROM joint
+      UNION ALL SELECT 'Levels only in train', CAST(sum(da) AS BIGINT) FROM drift UNION ALL SELECT 'Levels only in test', CAST(sum(db) AS BIGINT) FROM drift) x"""
+
+
 def level_drift() -> str:
     columns = ["n_name", "c_mktsegment", "o_month", "o_year", "top_flag"]
     levels = UNION.join(

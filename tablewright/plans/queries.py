@@ -85,6 +85,15 @@ def _(spark, folder):
     return missing.term_coverage(table(spark, folder, "documents"), "text", O.TERMS)
 
 
+@query("term_coverage_many", "term:s n_texts:l", O.term_coverage_many())
+def _(spark, folder):
+    """The 1,000 words that are in the most texts, looked for anywhere in all texts in one scan."""
+    docs = table(spark, folder, "documents")
+    words = docs.select("doc_id", F.explode(F.split("text", " ")).alias("word")).where(F.char_length("word") >= 3).distinct()
+    top = words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "word").limit(1000)
+    return missing.term_coverage_many(docs, "text", [r["word"] for r in top.collect()])
+
+
 @query(
     "na_semantics",
     "column:s na_meaning:s term:s in_table:l n_texts:l missing_count:l mentioned:l",
@@ -584,6 +593,14 @@ def _(spark, folder):
     return encode.alignment_check(encoded, encode.encode(test, fitted), TARGET)
 
 
+@query("tables_aligned", "check:s n:l result:s", O.tables_aligned())
+def _(spark, folder):
+    """Two tables that do differ in columns, types and levels."""
+    bare = lambda name, n: table(spark, folder, name).toDF(*[c[n:] for c in table(spark, folder, name).columns])
+    suppliers = bare("supplier", 2).withColumn("acctbal", F.floor("acctbal").cast("long"))
+    return encode.tables_aligned(bare("customer", 2), suppliers, None, ["name", "nationkey"])
+
+
 @query("level_drift", "feature:s level:s train_rows:l test_rows:l status:s", O.level_drift())
 def _(spark, folder):
     train, test = split_by_time(base(spark, folder))
@@ -951,6 +968,22 @@ def _(spark, folder):
     return sinks.scored(rows.filter("o_year >= 2000").withColumn("prediction", model.prediction()), KEY, "prediction")
 
 
+LONG = {n: histograms.Boosting(300, 0.05, b.growth, patience=50) for n, b in histograms.FLAVOURS.items()}
+
+
+@query("boosting_long", "model:s round:l rmse:d is_best:l")
+def _(spark, folder):
+    """Up to 300 rounds of the three flavours side by side: the error on held-out rows after each, and the best round."""
+    models = histograms.boost(_tree_rows(spark, folder), TREE_FEATURES, "y", KEY, {n: (b, HELD) for n, b in LONG.items()}, ["is_valid"])
+    return shaping.union_all([histograms.error_curve(m, base(spark, folder)).withColumn("model", F.lit(n)) for n, m in models.items()])
+
+
+@query("forest_cv", "model:s fold:l rmse:d")
+def _(spark, folder):
+    """300 trees in five folds, grown as the small ones are."""
+    return histograms.cv_forest(_tree_rows(spark, folder), TREE_FEATURES, "y", KEY, "fold", 5, 300, histograms.Growth(6))
+
+
 MEMBERS = {
     "ridge": linear.LINEAR_MODELS["Ridge"],
     "wide": trees.TreeSpec("boost", 5, 5, 0.5),

@@ -119,5 +119,14 @@ def test_registry_is_complete():
     queries, oracles = entry.queries(), entry.oracle_sql()
     without = set(REGISTRY) - set(oracles)
     assert set(REGISTRY) <= set(queries)
-    assert without == {"rf_cv", "gbt_cv", "gbt_early_stop", "feature_importance", "scored_output", "stacking", "leaderboard_all"}
+    assert without == {"boosting_long", "forest_cv", "rf_cv", "gbt_cv", "gbt_early_stop", "feature_importance", "scored_output", "stacking", "leaderboard_all"}
     assert set(oracles) <= set(queries)
+
+
+def test_ranks_shuffle_distinct_pairs_only(spark):
+    """Two columns of few values: however many rows there are, what is ranked is a row per pair of values."""
+    from tablewright.operators import ranks
+
+    df = spark.range(50_000).selectExpr("cast(id % 7 as double) x", "cast(id % 5 as double) y", "cast(id % 3 as double) z")
+    pairs = ranks.ranked_pairs(df, ["x", "z"], "y")
+    assert pairs.count() == 7 * 5 + 3 * 5 and pairs.agg({"n": "sum"}).first()[0] == 100_000
