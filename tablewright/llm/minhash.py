@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from ..storage import pin_small, stage
 from .components import components
-from .hot import join_unique
+from .hot import join_unique, likely_in
 from .near_copies import shortest
 from .simhash import pairs_of
 from .words import WordHashes, mix, record_batches, rows
@@ -111,7 +111,9 @@ def sets_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
         return record_batches(sets(), SETS, 256)
 
     named = stage(nodes.select("node", "doc_id", *DIGEST).join(wanted, "node", "left_semi"), "wanted")
-    texts = docs.select(F.col("doc_id").cast("long"), "text").join(named.select("doc_id").distinct(), "doc_id", "left_semi")
+    texts = likely_in(docs.select(F.col("doc_id").cast("long"), "text"), named, "doc_id", named.count())
+    # An inner join, as the optimizer puts a semi join before the filter.
+    texts = texts.join(named.select("doc_id").distinct(), "doc_id")
     found = texts.select("text").mapInArrow(run, "d0 long, d1 long, shingles array<long>").join(named.select("node", *DIGEST), DIGEST)
     return stage(found.groupBy("node").agg(F.first("shingles").alias("shingles")), "sets")
 
@@ -200,14 +202,14 @@ def first_candidates(found: DataFrame, nodes: DataFrame) -> DataFrame:
     return placed.repartition("key", "cell").sortWithinPartitions("key", "cell").mapInArrow(_forests, "a long, b long")
 
 
-def linked(docs: DataFrame, nodes: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """The candidates whose full sets are similar enough."""
+def linked(docs: DataFrame, nodes: DataFrame, found: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The candidates whose full sets are similar enough, and the sets."""
     found = stage(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
     sets = sets_of(docs, nodes, found.select(F.col("a").alias("node")).unionByName(found.select(F.col("b").alias("node"))).distinct())
     one, other = (sets.select(F.col("node").alias(s), F.col("shingles").alias(f"of_{s}")) for s in "ab")
     common = F.size(F.array_intersect("of_a", "of_b"))
     alike = 100 * common >= percent * (F.size("of_a") + F.size("of_b") - common)
-    return stage(found.join(one, "a").join(other, "b").where(alike).select("a", "b"), "links")
+    return stage(found.join(one, "a").join(other, "b").where(alike).select("a", "b"), "links"), sets
 
 
 def _left_over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,7 +271,7 @@ def _confirmed(percent: int):
     return run
 
 
-def second_links(docs: DataFrame, nodes: DataFrame, found: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def second_links(docs: DataFrame, nodes: DataFrame, found: DataFrame, sets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Links between classes that still share a bucket, from all their candidates."""
     labelled = nodes.select("node", "n_shingles").join(classes, "node", "left").select("node", "n_shingles", F.coalesce("component", "node").alias("label"))
     members = stage(found.select("band", "key", "node").join(labelled, "node"), "members")
@@ -294,7 +296,8 @@ def second_links(docs: DataFrame, nodes: DataFrame, found: DataFrame, classes: D
     cell = ["key", "h", "v"]
     cells = as_home.unionByName(as_guest).join(nodes.select("node", "signature"), "node").repartition(*cell).sortWithinPartitions(*cell)
     left = stage(cells.mapInArrow(_left_over, "key long, h int, v int, home boolean, label long, node long"), "left")
-    sets = sets_of(docs, nodes, left.select("node").distinct())
+    new = left.select("node").distinct().join(sets.select("node"), "node", "left_anti")
+    sets = sets.unionByName(sets_of(docs, nodes, new))
     placed = left.join(sets, "node").repartition(*cell).sortWithinPartitions(*cell)
     return stage(placed.mapInArrow(_confirmed(percent), "a long, b long"), "links")
 
@@ -327,8 +330,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     nodes = distinct.agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"))
     nodes = stage(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     met = buckets(nodes)
-    first = linked(docs, nodes, first_candidates(met, nodes), percent)
-    second = second_links(docs, nodes, met, stage(components(first), "classes"), percent)
+    first, sets = linked(docs, nodes, first_candidates(met, nodes), percent)
+    second = second_links(docs, nodes, met, sets, stage(components(first), "classes"), percent)
     out = classes_of_documents(found, nodes, first.unionByName(second))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 

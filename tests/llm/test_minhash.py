@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tablewright.llm import components, hot, minhash
 
@@ -150,6 +151,12 @@ def test_hot_keys_join_like_others(spark, n):
 
 
 def unique_y():
-    from pyspark.sql import functions as F
-
     return F.col("k") * 2
+
+
+def test_filter_keeps_what_is_in_and_drops_most_else(spark):
+    rows = spark.range(20_000).withColumnRenamed("id", "doc_id")
+    ids = rows.where("doc_id % 50 = 0")
+    got = {r.doc_id for r in hot.likely_in(rows, ids, "doc_id", 400).collect()}
+    assert got >= set(range(0, 20_000, 50)) and len(got) < 4_000
+    assert hot.likely_in(rows, ids.where("false"), "doc_id", 0).count() == 0
