@@ -1,5 +1,7 @@
+import math
 import random
 import zlib
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -145,3 +147,58 @@ def test_queries(spark, folder):
         assert len(out) == 121
         assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % folds == held) for r in out if r.doc_id is not None)
         assert all(r.predicted == int(r.score >= 0.3) for r in out)
+
+
+def plain_ftrl(rows, labels, swapped, normed, balance, least_rows=2, alpha=0.3, beta=1.0, l1=1.0, l2=1.0, epochs=4, seed=3):
+    """The same model by loops over dictionaries, one weight at a time."""
+    in_rows = Counter(f for features, _ in rows for f in features.tolist())
+    kept = {f for f, n in in_rows.items() if n >= least_rows}
+
+    def values(row):
+        counts = dict(zip(row[0].tolist(), row[1].tolist()))
+        if not normed:
+            return {f: 1.0 for f in counts if f in kept}
+        length = max(1.0, math.sqrt(sum((1 + math.log(c)) ** 2 for c in counts.values())))
+        return {f: (1 + math.log(c)) / length for f, c in counts.items() if f in kept}
+
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(f):
+        penalty = 0.0 if f == "bias" else l1
+        if abs(z[f]) <= penalty:
+            return 0.0
+        return -(z[f] - math.copysign(penalty, z[f])) / ((beta + math.sqrt(n[f])) / alpha + l2)
+
+    def update(gradients):
+        before = {f: weight(f) for f in gradients}
+        for f, g in gradients.items():
+            z[f] += g - (math.sqrt(n[f] + g * g) - math.sqrt(n[f])) / alpha * before[f]
+            n[f] += g * g
+
+    order = np.random.default_rng(seed)
+    for _ in range(epochs):
+        for i in order.permutation(len(rows)):
+            x = values(rows[i]) | {"bias": 1.0}
+            p = 1 / (1 + math.exp(-max(-30.0, min(30.0, sum(weight(f) * v for f, v in x.items())))))
+            update({f: (p - labels[i]) * v for f, v in x.items()})
+            for version in swapped[i]:
+                u = values(version)
+                change = {f: x.get(f, 0.0) - u.get(f, 0.0) for f in (set(x) | set(u)) - {"bias"}}
+                change = {f: c for f, c in change.items() if c}
+                apart = balance * sum(weight(f) * c for f, c in change.items())
+                update({f: apart * c for f, c in change.items()})
+    return {f: weight(f) for f in kept if weight(f)}, weight("bias")
+
+
+@pytest.mark.parametrize("normed,balance", [(False, 0.0), (True, 0.0), (True, 4.0), (False, 2.0)])
+def test_ftrl_equals_plain_loops(normed, balance):
+    r, grams = random.Random(9), Grams(True)
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(r.choices(words[: 40 if i % 3 else 60], k=r.randrange(0, 30))) for i in range(150)]
+    labels = [int("w45" in t or "w3 " in t) for t in texts]
+    rows = [grams(t) for t in texts]
+    swapped = [[grams(t.replace("w7", "w8")), grams(t.replace("w1 ", "w50 "))] if balance else [] for t in texts]
+    model = ftrl(rows, labels, swapped, normed=normed, balance=balance, least_rows=2)
+    weights, bias = plain_ftrl(rows, labels, swapped, normed, balance)
+    assert dict(zip(model.features.tolist(), model.weights.tolist())) == pytest.approx(weights, rel=1e-9)
+    assert model.bias == pytest.approx(bias, rel=1e-9) and len(weights) > 20
