@@ -29,8 +29,8 @@ from .split import key_hash
 
 #: Bins of a feature, a byte each.
 BINS = 64
-#: Rounds after which scores are written anew, and trees of a forest that grow at once.
-CUT, TREES_AT_ONCE = 20, 50
+#: Rounds after which scores are written anew (every scan adds the trees that are newer), and trees of a forest that grow at once.
+CUT, TREES_AT_ONCE = 4, 50
 #: From so many tasks on their sums are merged in tasks before the driver adds them up.
 DIRECT_TASKS = 64
 #: A split must gain more than this share of what its node has.
@@ -139,6 +139,23 @@ class Ensemble:
         return df.sparkSession.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
 
+def predictions(models: Sequence[Ensemble]) -> Column:
+    """The fitted values of several models of one fit, ``array<double>``; rows are binned once for all."""
+    cuts, names, parts = models[0].cuts, models[0].features, [(m.start, m.trees) for m in models]
+
+    @F.pandas_udf("array<double>")
+    def score(*columns: pd.Series) -> pd.Series:
+        bins = np.column_stack([np.searchsorted(c, x.to_numpy(dtype="float64")) for c, x in zip(cuts, columns)])
+        out = np.empty((len(bins), len(parts)))
+        for i, (start, trees) in enumerate(parts):
+            out[:, i] = start
+            for tree in trees:
+                out[:, i] += tree.predict(bins)
+        return pd.Series(list(out))
+
+    return score(*[col(c).cast("double") for c in names])
+
+
 # ---------------------------------------------------------------- bins
 
 

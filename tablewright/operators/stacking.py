@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 
 from ..functions.moments import rmse
 from ..functions.scalar import col
+from ..storage import stage
 from .catalog import complete_rows
 from .comoments import CoMoments, comoments
 from .linear import LINEAR_MODELS, LinearModel, fit_linear, held_out_mse, solve
+from .histograms import Boosting, Rows, boost, predictions
 from .trees import TreeSpec, fit_trees, out_of_fold, predict
 
 RIDGE = ("ridge", 10.0, 0.0)
@@ -114,6 +116,64 @@ def cv_stack_linear(
     return df.sparkSession.createDataFrame(out, "model string, fold int, rmse double")
 
 
+def cv_stack_boosted(
+    df: DataFrame,
+    features: Sequence[str],
+    label: str,
+    key: str,
+    outer: str,
+    outer_folds: int,
+    inner: str,
+    inner_folds: int,
+    boosters: Mapping[str, Boosting],
+    linear: Mapping[str, tuple] | None = None,
+) -> DataFrame:
+    """``(model, fold, rmse)`` of a ridge over linear members and boosters of any length.
+
+    All boosters of all outer and inner folds grow side by side in the same scans. One scan more scores the rows by all of
+    them, and one gives the co-moments of members and label for every outer fold, from which meta-models and held-out errors follow.
+    """
+    linear = linear or {"ridge": LINEAR_MODELS["Ridge"]}
+    rows = complete_rows(df, [*features, label])
+    inside = [None, *range(inner_folds)]
+    jobs = {
+        f"{n}\t{f}\t{g}": (b, Rows(((outer, f),) if g is None else ((outer, f), (inner, g)))) for n, b in boosters.items() for f in range(outer_folds) for g in inside
+    }
+    models = boost(rows, features, label, key, jobs, [outer, inner])
+    place = {k: i + 1 for i, k in enumerate(models)}
+    cells = comoments(rows, [*features, label], by=[outer, inner])
+    columns = [col(c).cast("double").alias(f"x{i}") for i, c in enumerate(features)]
+    said = predictions(list(models.values())).alias("p")
+    scored = stage(rows.select(*columns, col(label).cast("double").alias("y"), col(outer).alias("o"), col(inner).alias("i"), said), "scored")
+
+    def members(f: int) -> Column:
+        """What members say of a row that is not in outer fold ``f``, blind to its inner fold; of one that is, fitted on all the others."""
+        values = []
+        for spec in linear.values():
+            fitted = {g: LinearModel.of([f"x{i}" for i in range(len(features))], solve(spec, _rest(cells, f, g))) for g in inside}
+            values.append(_chosen({g: m.prediction() for g, m in fitted.items()}, f))
+        for n in boosters:
+            values.append(_chosen({g: F.element_at("p", place[f"{n}\t{f}\t{g}"]) for g in inside}, f))
+        held = (F.col("o") == f).cast("int")
+        return F.struct(F.lit(f).alias("f"), held.alias("held"), *[v.alias(f"m{i}") for i, v in enumerate(values)], F.col("y"))
+
+    long = scored.select(F.inline(F.array(*[members(f) for f in range(outer_folds)])))
+    names = [f"m{i}" for i in range(len(linear) + len(boosters))]
+    found = comoments(long, [*names, "y"], by=["f", "held"])
+    out = [("Stacking", f, held_out_mse(solve(RIDGE, found[f, 0]), found[f, 1]) ** 0.5) for f in range(outer_folds) if (f, 0) in found and (f, 1) in found]
+    return df.sparkSession.createDataFrame(out, "model string, fold int, rmse double")
+
+
+def _rest(cells: Mapping[tuple, CoMoments], f: int, g: int | None) -> CoMoments:
+    parts = [m for (o, i), m in cells.items() if o != f and i != g]
+    return parts[0].merged(*parts[1:])
+
+
+def _chosen(by_fold: Mapping, f: int) -> Column:
+    blind = F.coalesce(*[F.when(F.col("i") == g, v) for g, v in by_fold.items() if g is not None])
+    return F.when(F.col("o") == f, by_fold[None]).otherwise(blind)
+
+
 def cv_stack(
     df: DataFrame,
     features: Sequence[str],

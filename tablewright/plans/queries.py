@@ -968,14 +968,19 @@ def _(spark, folder):
     return sinks.scored(rows.filter("o_year >= 2000").withColumn("prediction", model.prediction()), KEY, "prediction")
 
 
-LONG = {n: histograms.Boosting(300, 0.05, b.growth, patience=50) for n, b in histograms.FLAVOURS.items()}
+@query("boosting_long", "round:l rmse:d is_best:l")
+def _(spark, folder):
+    """300 rounds, or fewer if 100 go by without a better one: the error on held-out rows after each, and the best round."""
+    spec = histograms.Boosting(300, 0.03, histograms.FLAVOURS["Boosting shallow"].growth, patience=100)
+    model = histograms.boost(_tree_rows(spark, folder), TREE_FEATURES, "y", KEY, {"long": (spec, HELD)}, ["is_valid"])["long"]
+    return histograms.error_curve(model, base(spark, folder))
 
 
-@query("boosting_long", "model:s round:l rmse:d is_best:l")
+@query("boosting_flavours", "model:s fold:l rounds:l rmse:d")
 def _(spark, folder):
-    """Up to 300 rounds of the three flavours side by side: the error on held-out rows after each, and the best round."""
-    models = histograms.boost(_tree_rows(spark, folder), TREE_FEATURES, "y", KEY, {n: (b, HELD) for n, b in LONG.items()}, ["is_valid"])
-    return shaping.union_all([histograms.error_curve(m, base(spark, folder)).withColumn("model", F.lit(n)) for n, m in models.items()])
+    """The three flavours in five folds, 30 larger steps each."""
+    flavours = {n: histograms.Boosting(30, 0.1, b.growth) for n, b in histograms.FLAVOURS.items()}
+    return histograms.cv_boosting(_tree_rows(spark, folder), TREE_FEATURES, "y", KEY, "fold", 5, flavours)
 
 
 @query("forest_cv", "model:s fold:l rmse:d")
@@ -998,6 +1003,14 @@ def _(spark, folder):
     return stacking.cv_stack(rows, TREE_FEATURES, "y", "fold", 5, "inner", 3, MEMBERS)
 
 
+@query("stacking_boosted", "model:s fold:l rmse:d")
+def _(spark, folder):
+    """A ridge over a ridge and two boosters of 40 rounds, in five outer and three inner folds, all grown side by side."""
+    rows = split.with_fold(_tree_rows(spark, folder), KEY, 3, seed=7, name="inner")
+    boosters = {n: histograms.Boosting(40, 0.1, histograms.FLAVOURS[f"Boosting {n}"].growth) for n in ("wide", "shallow")}
+    return stacking.cv_stack_boosted(rows, TREE_FEATURES, "y", KEY, "fold", 5, "inner", 3, boosters)
+
+
 @query("leaderboard_all", "model:s cv_rmse:d cv_std:d group:s")
 def _(spark, folder):
     rows = _tree_rows(spark, folder)

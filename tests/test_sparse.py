@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tablewright.operators import encode, sparse, split, stacking
+from tablewright.operators import encode, histograms, sparse, split, stacking
 from tablewright.operators.catalog import Catalog
 from tablewright.operators.linear import solve
 from tablewright.operators.comoments import CoMoments
@@ -132,3 +132,32 @@ def test_linear_stack_equals_fits_on_rows(spark):
     model = stacking.fit_stack_linear(df, ["a", "b", "c"], "y", "fold")
     got = [r.p for r in df.select("id", model.prediction().alias("p")).orderBy("id").collect()]
     assert got == pytest.approx(list(want), rel=1e-8)
+
+
+def test_stack_of_boosters_equals_fits_one_by_one(spark):
+    r = random.Random(6)
+    data = [(i, float(r.randrange(8)), float(r.randrange(5)), r.random()) for i in range(240)]
+    data = [(i, a, b, a * 0.7 - (b > 2) * a + e, i % 3, (i // 3) % 2) for i, a, b, e in data]
+    df = spark.createDataFrame(data, "id long, a double, b double, y double, o int, g int")
+    spec = histograms.Boosting(3, 0.5, histograms.Growth(2, l2=1.0))
+    got = {x.fold: x.rmse for x in stacking.cv_stack_boosted(df, ["a", "b"], "y", "id", "o", 3, "g", 2, {"b": spec}).collect()}
+
+    def said(where, rows):
+        """A ridge and a booster fitted where told, on rows."""
+        seen = [d for d in data if where(d)]
+        z = np.array([[d[1], d[2], d[3]] for d in seen])
+        w, b = solve(("ridge", 10.0, 0.0), CoMoments(len(z), z.mean(0), (z - z.mean(0)).T @ (z - z.mean(0))))
+        train = spark.createDataFrame(seen, df.schema)
+        model = histograms.boost(train, ["a", "b"], "y", "id", {"m": (spec, histograms.Rows())})["m"]
+        scored = {x.id: x.p for x in df.select("id", model.prediction().alias("p")).collect()}
+        return {d[0]: (d[1] * w[0] + d[2] * w[1] + b, scored[d[0]]) for d in rows}
+
+    for f in range(3):
+        blind = {}
+        for g in range(2):
+            blind |= said(lambda d: d[4] != f and d[5] != g, [d for d in data if d[4] != f and d[5] == g])
+        z = np.array([[*blind[d[0]], d[3]] for d in data if d[4] != f])
+        w, b = solve(stacking.RIDGE, CoMoments(len(z), z.mean(0), (z - z.mean(0)).T @ (z - z.mean(0))))
+        held = said(lambda d: d[4] != f, [d for d in data if d[4] == f])
+        errors = [np.dot(held[d[0]], w) + b - d[3] for d in data if d[4] == f]
+        assert got[f] == pytest.approx(float(np.sqrt(np.mean(np.square(errors)))), rel=1e-6)
