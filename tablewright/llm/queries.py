@@ -24,5 +24,6 @@ SQL = {
     "op1_line_dedup": line_dedup.OP1_SQL,
     "op3_licenses": licenses.OP3_SQL,
     "op11_divergence": divergence.OP11_SQL,
+    "op12_minhash": minhash.OP12_SQL,
     "op13_merkle": merkle.OP13_SQL,
 }
