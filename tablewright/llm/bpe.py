@@ -9,7 +9,8 @@ The vocabulary is read from a tokenizer file in JSON: BPE over byte characters w
 end of a piece, a normalizer of composition, white space and lower case, no decoder.
 
 Defined cases: a null text is an empty one, which has no ids; special tokens written in a text are their ids,
-as in the library; other columns are not looked at.
+as in the library; rows that repeat are encoded alike; very long texts are encoded whole; an empty table gives no row; other columns are
+not looked at.
 """
 
 from __future__ import annotations

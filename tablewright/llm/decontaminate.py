@@ -15,7 +15,8 @@ takes several passes over the documents, which makes no difference to the rows.
 
 Defined cases: items of fewer than five words say nothing and match nothing; a null text has no words; a
 document shorter than an item is one window; rows without doc_id are searched like any other; equal items
-are all reported.
+are all reported; of equally similar windows the earliest is; rows that repeat are searched alike; very long texts are searched whole; without
+documents or items there is no row.
 """
 
 from __future__ import annotations

@@ -6,7 +6,7 @@ is found in a longer document too. Known licenses are a short fixed list, so the
 Texts without any of the words that all known licenses have one of are passed over; they can't be equal to one.
 
 Defined cases: a null text has no license; rows without doc_id are reported under a null id; rows that repeat
-a doc_id are counted together.
+a doc_id are counted together; very long texts are looked up whole and by all their paragraphs and lines; an empty table gives no row.
 """
 
 from __future__ import annotations

@@ -13,7 +13,7 @@ group are compared by their sets, in a grid of cells. Cells return spanning fore
 in proportion to that of the texts, and no pair is left out.
 
 Defined cases: blank and null texts are equal; texts of fewer than five words are one shingle; rows without doc_id
-have no class; rows that share a doc_id are one document.
+have no class; rows that share a doc_id are one document; very long texts are read whole; an empty table gives no row.
 """
 
 from __future__ import annotations

@@ -11,7 +11,7 @@ Tasks compare the fingerprints of an anchor in blocks and return a spanning fore
 Anchors with many homes are cut into a grid of blocks. Classes come from ``components``.
 
 Defined cases: a null or blank text has fingerprint zero; a row without doc_id gets its fingerprint and no
-class; rows that share a doc_id are one document.
+class; rows that share a doc_id are one document; very long texts are read whole; an empty table gives no row.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ before it compares.
 
 Defined cases: a null text is empty and has the empty set; two empty sets are alike (1), an empty and another
 are not (0); a text without any spot takes all neighbouring words for spots, or its only word; rows without
-doc_id stand first in the order of documents; rows that share a doc_id follow each other by text.
+doc_id stand first in the order of documents; rows that share a doc_id follow each other by text; very long texts are read whole; an
+empty table gives no row.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ NOT_WORDS = r"[^\p{L}\p{N}]+"
 
 
 def spots(text: Column) -> Column:
-    """The set of hashed spots as a sorted array of ints."""
+    """The hashes of the words of a text, in order."""
     plain = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), NOT_WORDS, " "))
     return F.when(F.length(plain) == 0, F.array().cast("array<long>")).otherwise(F.transform(F.split(plain, " "), lambda w: F.xxhash64(w)))
 
