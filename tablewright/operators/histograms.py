@@ -31,6 +31,8 @@ from .split import key_hash
 BINS = 64
 #: Rounds after which scores are written anew (every scan adds the trees that are newer), and trees of a forest that grow at once.
 CUT, TREES_AT_ONCE = 4, 50
+#: Rows of a part of the table, at least.
+PART_ROWS = 10_000
 #: From so many tasks on their sums are merged in tasks before the driver adds them up.
 DIRECT_TASKS = 64
 #: A split must gain more than this share of what its node has.
@@ -200,10 +202,10 @@ def binned(df: DataFrame, features: Sequence[str], label: str, key: str, marks:
     return out.withColumnsRenamed({f"_k{i}": c for i, c in enumerate(keep)})
 
 
-def dealt_out(rows: DataFrame) -> DataFrame:
-    """The table that all scans read, written in parts of equal size, at least one for each core."""
-    least = rows.sparkSession.sparkContext.defaultParallelism
-    return stage(rows.repartition(max(least, rows.rdd.getNumPartitions())), "binned")
+def dealt_out(rows: DataFrame, n: int) -> DataFrame:
+    """The table that all scans read, written in parts of equal size: as many as there are cores or were parts, unless these get very few rows."""
+    most = max(rows.sparkSession.sparkContext.defaultParallelism, rows.rdd.getNumPartitions())
+    return stage(rows.repartition(max(1, min(most, -(-n // PART_ROWS)))), "binned")
 
 
 def fixed(values: np.ndarray) -> pa.Array:
@@ -501,7 +503,7 @@ def boost(
     fits = {n: Fit(i, r, b.growth, b.step, Ensemble(list(features), cuts, gains=np.zeros(len(features)))) for i, (n, (b, r)) in enumerate(jobs.items())}
     if not fits:
         return {}
-    table = dealt_out(rows.withColumn("scores", F.lit(bytes(8 * len(fits)))))
+    table = dealt_out(rows.withColumn("scores", F.lit(bytes(8 * len(fits)))), complete.count())
     scan = Scan(table, marks, widths, len(fits))
     start_values(scan, list(fits.values()), widths)
 
@@ -552,7 +554,7 @@ def forest(
     complete = complete_rows(df, [*features, label])
     cuts = cut_points(complete, features, bins)
     widths = [len(c) + 1 for c in cuts]
-    table = dealt_out(binned(complete, features, label, key, marks, cuts).withColumn("scores", F.lit(b"")))
+    table = dealt_out(binned(complete, features, label, key, marks, cuts).withColumn("scores", F.lit(b"")), complete.count())
     scan = Scan(table, marks, widths, 0)
     models = {n: Ensemble(list(features), cuts, gains=np.zeros(len(features))) for n in jobs}
     every = [(n, t) for n in jobs for t in range(trees)]
