@@ -74,8 +74,16 @@ def stability(board: DataFrame) -> DataFrame:
     return complete_rows(board, ["cv_std"])
 
 
+def plain_text(c: Column) -> Column:
+    """A value as text; a number without an exponent, down to 18 decimals and below 10^20."""
+    text = c.cast("string")
+    digits = F.regexp_replace(text.try_cast("decimal(38,18)").cast("string"), "0+$", "")
+    shown = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
+    return F.when(text.rlike(r"^-?[0-9.]+E-?[0-9]+$") & ~shown.rlike(r"^-?0\.0$"), shown).otherwise(text)
+
+
 def best_model(board: DataFrame) -> DataFrame:
     """``(field, value)`` of the first row, as text."""
     first = board.orderBy(F.asc_nulls_last("cv_rmse"), "model").limit(1)
-    parts = [p for c in first.columns for p in (F.lit(c), col(c).cast("string"))]
+    parts = [p for c in first.columns for p in (F.lit(c), plain_text(col(c)))]
     return first.select(F.stack(F.lit(len(first.columns)), *parts).alias("field", "value"))

