@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -199,3 +200,31 @@ def test_many_values_are_cut_at_quantiles(spark):
     assert len(cuts) == 15
     model = histograms.boost(df, ["x"], "y", "id", {"m": (Boosting(1, 1.0, Growth(1)), Rows())}, bins=16)["m"]
     assert model.cuts[0][model.trees[0].cut[0]] == pytest.approx(5000, abs=20)
+
+
+def test_scans_read_blocks_of_rows(spark):
+    n = 50_000
+    df = spark.range(n).select("id", (F.col("id") % 9).cast("double").alias("x"), F.col("id").cast("double").alias("y"), (F.col("id") % 3).cast("int").alias("held"))
+    rows = histograms.binned(df, ["x"], "y", "id", ["held"], histograms.cut_points(df, ["x"]))
+    blocks = histograms.dealt_out(rows, n, 1).select("n", F.length("bins").alias("b"), F.length("y").alias("y")).collect()
+    assert len(blocks) <= 5 and sum(r.n for r in blocks) == n
+    assert all((r.b, r.y) == (r.n, 8 * r.n) for r in blocks)
+
+
+def test_fast_bags_and_leaves_equal_plain_ones():
+    r = random.Random(5)
+    h = np.array([0, 1, 2**31 - 2, *[r.randrange(2**31 - 1) for _ in range(2000)]])
+    for tree in (0, 7, 299):
+        u = (h * pow(48271, tree + 1, 2**31 - 1) % (2**31 - 1)) / (2**31 - 1)
+        assert histograms.bag_weights(h, tree).tolist() == np.searchsorted(histograms.BAG_SHARES, u, "right").tolist()
+    tree, leaves = histograms.Tree(), [0]
+    for _ in range(300):  # more nodes than a byte counts
+        node = leaves.pop(r.randrange(len(leaves)))
+        left = tree.split(node, r.randrange(3), r.randrange(60))
+        leaves += [left, left + 1]
+    bins = np.array([[r.randrange(64) for _ in range(500)] for _ in range(3)], np.uint8)
+    for row, got in enumerate(tree.leaf_of(bins).tolist()):
+        node = 0
+        while tree.feature[node] >= 0:
+            node = tree.left[node] + int(bins[tree.feature[node], row] > tree.cut[node])
+        assert got == node
