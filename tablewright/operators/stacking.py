@@ -17,7 +17,7 @@ from .catalog import complete_rows
 from .comoments import CoMoments, comoments
 from .linear import LINEAR_MODELS, LinearModel, fit_linear, held_out_mse, solve
 from .histograms import Boosting, Rows, boost, predictions
-from .trees import TreeSpec, fit_trees, out_of_fold, predict
+from .trees import PARALLEL_FITS, TreeSpec, fit_trees, fits_at_once, out_of_fold, predict
 
 RIDGE = ("ridge", 10.0, 0.0)
 
@@ -48,19 +48,19 @@ class Stack:
 
 
 def out_of_fold_predictions(
-    df: DataFrame, features: Sequence[str], label: str, fold: str, folds: int, specs: Mapping[str, TreeSpec | tuple]
+    df: DataFrame, features: Sequence[str], label: str, fold: str, folds: int, specs: Mapping[str, TreeSpec | tuple], fits: int = PARALLEL_FITS
 ) -> DataFrame:
     """Rows with one column per member, each value from a model that has not seen the row."""
     return out_of_fold(
-        df, fold, folds, lambda rest, held: _predict_all(_fit_all(rest, features, label, specs), held)
+        df, fold, folds, lambda rest, held: _predict_all(_fit_all(rest, features, label, specs), held), fits
     )
 
 
 def fit_stack(
-    df: DataFrame, features: Sequence[str], label: str, fold: str, folds: int, specs: Mapping[str, TreeSpec | tuple]
+    df: DataFrame, features: Sequence[str], label: str, fold: str, folds: int, specs: Mapping[str, TreeSpec | tuple], fits: int | None = None
 ) -> Stack:
     rows = complete_rows(df, [*features, label])
-    blind = out_of_fold_predictions(rows, features, label, fold, folds, specs)
+    blind = out_of_fold_predictions(rows, features, label, fold, folds, specs, fits or fits_at_once(rows, specs.values()))
     meta = fit_linear(blind, list(specs), label, RIDGE)
     return Stack(_fit_all(rows, features, label, specs), meta)
 
@@ -186,11 +186,14 @@ def cv_stack(
 ) -> DataFrame:
     """``(model, fold, rmse)``: the whole stack is fitted again without each outer fold."""
     rows = complete_rows(df, [*features, label])
+    fits = fits_at_once(rows, specs.values(), PARALLEL_FITS**2)  # some of the inner folds in each of some outer ones
+    within = min(fits, PARALLEL_FITS)
     scored = out_of_fold(
         rows,
         outer,
         outer_folds,
-        lambda rest, held: fit_stack(rest, features, label, inner, inner_folds, specs).transform(held),
+        lambda rest, held: fit_stack(rest, features, label, inner, inner_folds, specs, within).transform(held),
+        fits // within,
     )
     scores = scored.groupBy(outer).agg(rmse(col(label) - F.col("prediction")).alias("rmse"))
     return scores.select(F.lit("Stacking").alias("model"), col(outer).alias("fold"), "rmse")

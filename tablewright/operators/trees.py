@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
@@ -35,8 +35,9 @@ def with_rounds(spec: TreeSpec, rounds: int, step: float) -> TreeSpec:
     return replace(spec, trees=rounds, step=step)
 
 
-#: Fits of one cross-validation that run at the same time.
-PARALLEL_FITS = 4
+#: Fits of one cross-validation that run at the same time, at most, and bytes that MLlib keeps of a row during a fit: its
+#: objects, and a count for each tree.
+PARALLEL_FITS, ROW_BYTES, TREE_BYTES = 4, 160, 4
 
 #: A forest and three boosting variants: wide, shallow and default trees. Boosting takes larger and fewer steps
 #: than usual libraries do (a job for each level of each tree); ``with_rounds`` sets their number.
@@ -84,19 +85,34 @@ def feature_importance(model: PipelineModel, df: DataFrame, features: Sequence[s
     return df.sparkSession.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
 
+def storage_bytes(session: SparkSession) -> int:
+    """What the executors may keep in memory."""
+    found, total = session.sparkContext._jsc.sc().getExecutorMemoryStatus().values().iterator(), 0
+    while found.hasNext():
+        total += found.next()._1()
+    return total
+
+
+def fits_at_once(rows: DataFrame, specs: Iterable, most: int = PARALLEL_FITS) -> int:
+    """So many fits that the rows they keep fill half of the executors' storage, at least one; beyond it they would be written to disk and read again for each level."""
+    trees = max((s.trees for s in specs if isinstance(s, TreeSpec) and s.kind == "forest"), default=1)
+    kept = rows.count() * (ROW_BYTES + TREE_BYTES * trees)
+    return max(1, min(most, storage_bytes(rows.sparkSession) // 2 // max(kept, 1)))
+
+
 def out_of_fold(
-    df: DataFrame, fold: str, folds: int, fit_predict: Callable[[DataFrame, DataFrame], DataFrame]
+    df: DataFrame, fold: str, folds: int, fit_predict: Callable[[DataFrame, DataFrame], DataFrame], fits: int = PARALLEL_FITS
 ) -> DataFrame:
     """Each fold predicted by a model that has not seen it; all rows of ``df`` once.
 
     The fits do not depend on each other, so some run at the same time and fill the cluster.
     """
-    return union_all(at_once(df.sparkSession, lambda f: fit_predict(df.filter(col(fold) != f), df.filter(col(fold) == f)), range(folds)))
+    return union_all(at_once(df.sparkSession, lambda f: fit_predict(df.filter(col(fold) != f), df.filter(col(fold) == f)), range(folds), fits))
 
 
-def at_once(session: SparkSession, task: Callable, items) -> list:
-    """Results in order of independent driver-side fits, ``PARALLEL_FITS`` at a time."""
-    with ThreadPoolExecutor(PARALLEL_FITS) as pool:
+def at_once(session: SparkSession, task: Callable, items, fits: int = PARALLEL_FITS) -> list:
+    """Results in order of independent driver-side fits, ``fits`` at a time."""
+    with ThreadPoolExecutor(fits) as pool:
         return list(pool.map(inheritable_thread_target(session)(task), items))
 
 
@@ -111,7 +127,8 @@ def cv_trees(
         model = fit_trees(rows.filter(col(fold) != f), features, label, models[name])
         return predict(model, rows.filter(col(fold) == f)).withColumn("model", F.lit(name))
 
-    predicted = union_all(at_once(df.sparkSession, fit_and_predict, [(name, f) for name in models for f in range(folds)]))
+    jobs = [(name, f) for name in models for f in range(folds)]
+    predicted = union_all(at_once(df.sparkSession, fit_and_predict, jobs, fits_at_once(rows, models.values())))
     scores = predicted.groupBy("model", col(fold).alias("fold"))
     return scores.agg(rmse(col(label) - F.col("prediction")).alias("rmse"))
 

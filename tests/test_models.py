@@ -173,3 +173,30 @@ def test_best_model_has_plain_numbers(spark, value, text):
     found = {r["field"]: r["value"] for r in evaluate.best_model(board).collect()}
     assert found == {"model": "a", "cv_rmse": "0.5", "cv_std": text if value != 1e30 else found["cv_std"], "group": "g"}
     assert value != 1e30 or float(found["cv_std"]) == value
+
+
+def test_fits_at_once_follow_memory_and_give_the_same(df, monkeypatch):
+    names, forest, boost = ["a", "b", "c"], trees.TreeSpec("forest", 6, 2), trees.TreeSpec("boost", 2, 2, 0.5)
+    assert trees.storage_bytes(df.sparkSession) > 0
+    assert trees.fits_at_once(df, [forest]) == trees.PARALLEL_FITS
+    several = sorted(map(tuple, trees.cv_trees(df, names, "y", "fold", 5, {"f": forest}).collect()))
+    for storage, fits in ((N * 164 * 2 * 3, 3), (1, 1)):
+        monkeypatch.setattr(trees, "storage_bytes", lambda session: storage)
+        assert trees.fits_at_once(df, [boost, ("ridge", 1.0, 0.0)]) == fits
+        assert trees.fits_at_once(df, [trees.TreeSpec("forest", 300, 6)]) == 1
+    running, most = [0], [0]
+
+    def counted(*args, plain=trees.fit_trees, **rest):
+        running[0] += 1
+        most[0] = max(most[0], running[0])
+        try:
+            return plain(*args, **rest)
+        finally:
+            running[0] -= 1
+
+    monkeypatch.setattr(trees, "fit_trees", counted)
+    assert sorted(map(tuple, trees.cv_trees(df, names, "y", "fold", 5, {"f": forest}).collect())) == several
+    monkeypatch.setattr(stacking, "fit_trees", counted)
+    rows = split.with_fold(df, "id", 2, seed=7, name="inner")
+    assert stacking.cv_stack(rows, names, "y", "fold", 2, "inner", 2, {"boosted": boost, "ridge": stacking.RIDGE}).count() == 2
+    assert most == [1]
