@@ -228,3 +228,62 @@ def test_fast_bags_and_leaves_equal_plain_ones():
         while tree.feature[node] >= 0:
             node = tree.left[node] + int(bins[tree.feature[node], row] > tree.cut[node])
         assert got == node
+
+
+def random_tree(r, splits, widths):
+    tree, leaves = histograms.Tree(), [0]
+    for k in range(splits):
+        node, f = leaves.pop(r.randrange(len(leaves))), r.randrange(len(widths))
+        left = tree.split(node, f, r.randrange(max(1, widths[f] - 1)))
+        leaves += [left, left + 1]
+        tree.depth = k + 1
+    tree.value = [r.random() for _ in tree.feature]
+    return tree
+
+
+@pytest.mark.parametrize("widths", [[3, 64, 5], [64], [1, 2, 64, 60]])
+def test_leaves_by_table_equal_splits_one_by_one(widths):
+    r = random.Random(len(widths))
+    bins = np.array([[r.randrange(w) for _ in range(700)] for w in widths], np.uint8)
+    lines = histograms.Lines(bins, widths)
+    for splits in (0, 1, 4, 7, 8, 31, 32, 63, 64, 200):
+        tree = random_tree(r, splits, widths)
+        route = tree.route(widths)
+        assert bool(route.tables) == (4 <= splits < 64)
+        assert route.predict(lines).tolist() == np.array(tree.value).take(tree.leaf_of(bins)).tolist()
+
+
+def test_tasks_hold_few_blocks_of_many_models(spark, monkeypatch):
+    """Neither a block nor a row group of the table grows with the number of models."""
+    import pyarrow.parquet as pq
+
+    monkeypatch.setattr(histograms, "CUT", 1)
+    for name, value in (("BLOCK_BYTES", 2**19), ("GROUP_BYTES", 2**20)):
+        monkeypatch.setattr(histograms, name, value)
+    tables, plain = [], histograms.stage
+
+    def staged(df, *args, **how):
+        tables.append(plain(df, *args, **how))
+        return tables[-1]
+
+    sizes = []
+
+    def discarded(table):
+        files = [f.removeprefix("file://") for f in tables[-1].inputFiles()]
+        for meta in (pq.read_metadata(f) for f in files):
+            sizes.extend(meta.row_group(i).total_byte_size for i in range(meta.num_row_groups))
+
+    monkeypatch.setattr(histograms, "stage", staged)
+    monkeypatch.setattr(histograms, "discard", discarded)
+    df = spark.range(20_000).select("id", (F.col("id") % 9).alias("x"), F.hash("id").cast("double").alias("y")).coalesce(1)
+    jobs = {str(i): (Boosting(2, 0.5, Growth(1)), Rows()) for i in range(40)}
+    models = histograms.boost(df, ["x"], "y", "id", jobs)
+    assert len({m.trees[1].value[1] for m in models.values()}) == 1
+    assert sum(sizes) > 40 * 8 * 20_000 and max(sizes) < 2**20 + 2**19
+
+
+def test_rows_are_predicted_by_the_model_of_their_fold_alone(df):
+    models = histograms.forest(df, FEATURES, "y", "id", 3, Growth(3), {str(f): Rows((("held", f),)) for f in (0, 1)}, ["held"])
+    said = df.select("held", *[m.prediction().alias(f"p{f}") for f, m in models.items()], histograms.blind_prediction({int(f): m for f, m in models.items() if f == "1"}, F.col("held")).alias("p"))
+    for r in said.collect():
+        assert r.p == (r.p1 if r.held == 1 else None)
