@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
+from math import ceil
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.moments import rmse
 from ..functions.scalar import col
 from .catalog import complete_rows
+from .histograms import Boosting, Growth, cv_boosting, cv_forest
 from .shaping import union_all
 
 
@@ -39,6 +41,11 @@ def with_rounds(spec: TreeSpec, rounds: int, step: float) -> TreeSpec:
 #: objects, and a count for each tree.
 PARALLEL_FITS, ROW_BYTES, TREE_BYTES = 4, 160, 4
 
+#: Rows up to which a cross-validation is fitted by MLlib, model by model. Beyond, the same models grow side by side from histograms, as MLlib reads
+#: all rows for each level of each tree of a model. It takes the splits it tries from a sample of 10,000 rows; histograms take them from all. Both have
+#: ``MAX_BINS`` bins a feature.
+MLLIB_ROWS, MAX_BINS = 100_000, 32
+
 #: A forest and three boosting variants: wide, shallow and default trees. Boosting takes larger and fewer steps
 #: than usual libraries do (a job for each level of each tree); ``with_rounds`` sets their number.
 TREE_MODELS = {
@@ -116,11 +123,30 @@ def at_once(session: SparkSession, task: Callable, items, fits: int = PARALLEL_F
         return list(pool.map(inheritable_thread_target(session)(task), items))
 
 
+def boosting(spec: TreeSpec) -> Boosting:
+    """What MLlib's boosting does, for histograms: a whole first tree, then steps along the gradient of the squared error, twice the residual."""
+    return Boosting(spec.trees, 2 * spec.step, Growth(spec.depth), first=1.0)
+
+
+def cv_from_histograms(rows: DataFrame, features: Sequence[str], label: str, fold: str, folds: int, models: dict[str, TreeSpec]) -> DataFrame:
+    """``cv_trees`` for many rows: all folds in the same scans. A forest looks at a third of the features in each node and draws bags by row, as MLlib's does."""
+    rows, kind, out = rows.withColumn("__row", F.monotonically_increasing_id()), rows.schema[fold].dataType, []
+    if boosted := {n: boosting(s) for n, s in models.items() if s.kind == "boost"}:
+        out.append(cv_boosting(rows, features, label, "__row", fold, folds, boosted, MAX_BINS))
+    for name, s in models.items():
+        if s.kind == "forest":
+            growth = Growth(s.depth, features=ceil(len(features) / 3))
+            out.append(cv_forest(rows, features, label, "__row", fold, folds, s.trees, growth, MAX_BINS).withColumn("model", F.lit(name)))
+    return union_all([x.select("model", F.col("fold").cast(kind).alias("fold"), "rmse") for x in out])
+
+
 def cv_trees(
     df: DataFrame, features: Sequence[str], label: str, fold: str, folds: int, models: dict[str, TreeSpec]
 ) -> DataFrame:
     """``(model, fold, rmse)`` of tree ensembles."""
     rows = complete_rows(df.select(*features, label, fold))
+    if rows.count() > MLLIB_ROWS:
+        return cv_from_histograms(rows, features, label, fold, folds, models)
 
     def fit_and_predict(job: tuple[str, int]) -> DataFrame:
         name, f = job

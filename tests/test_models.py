@@ -200,3 +200,24 @@ def test_fits_at_once_follow_memory_and_give_the_same(df, monkeypatch):
     rows = split.with_fold(df, "id", 2, seed=7, name="inner")
     assert stacking.cv_stack(rows, names, "y", "fold", 2, "inner", 2, {"boosted": boost, "ridge": stacking.RIDGE}).count() == 2
     assert most == [1]
+
+
+def test_many_rows_are_fitted_side_by_side_as_mllib_fits_them(spark, monkeypatch):
+    r = np.random.default_rng(9)
+    x = np.column_stack([r.integers(0, 20, 900), r.integers(0, 12, 900), r.integers(0, 3, 900)]).astype(float)
+    y = x[:, 0] * 1.7 - (x[:, 1] > 5) * x[:, 0] + x[:, 2] ** 2 + r.normal(0, 0.5, 900)
+    df = spark.createDataFrame([(*map(float, x[i]), float(y[i]), i % 2, i // 2 % 2) for i in range(900)], "a double, b double, c double, y double, fold long, inner int").coalesce(1)
+    names, boosted = ["a", "b", "c"], {"wide": trees.TreeSpec("boost", 2, 3, 0.3), "shallow": trees.TreeSpec("boost", 4, 2, 0.5)}
+    models = boosted | {"forest": trees.TreeSpec("forest", 30, 4)}
+    cv = lambda: {(r["model"], r["fold"]): r["rmse"] for r in trees.cv_trees(df, names, "y", "fold", 2, models).collect()}
+    stack = lambda: {r["fold"]: r["rmse"] for r in stacking.cv_stack(df, names, "y", "fold", 2, "inner", 2, boosted | {"ridge": stacking.RIDGE}).collect()}
+    want, stacked = cv(), stack()
+    monkeypatch.setattr(trees, "MLLIB_ROWS", 899)
+    for module in (trees, stacking):
+        monkeypatch.setattr(module, "fit_trees", None)  # not one model is fitted on its own
+    got = cv()
+    assert set(got) == set(want)
+    for k in want:
+        assert got[k] == pytest.approx(want[k], rel=0.35 if k[0] == "forest" else 1e-9)  # a forest's bags and features are drawn in another way
+    assert trees.cv_trees(df, names, "y", "fold", 2, boosted).schema["fold"].dataType.simpleString() == "bigint"
+    assert stack() == pytest.approx(stacked, rel=1e-6)
